@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Symbols such as 007 are text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Archive bytes travel to Python in batches of bounded size.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -21,6 +21,7 @@ from wickline.constants import (
     FUNDING_ARCHIVE_TIME,
     SHA256_HEX_LENGTH,
 )
+from wickline.sources import listing
 
 #: Checksum tables up to this many bytes are broadcast to the zip scan.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -32,25 +33,24 @@ BLOCK_BYTES = 4 * 1024 * 1024
 _SUFFIX = ".CHECKSUM"
 
 
-def read_zips(spark: SparkSession, path: str) -> DataFrame:
+def read_zips(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     """Landed archives: ``path``, ``content``."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-    return reader.option("recursiveFileLookup", True).load(path).select("path", "content")
+    return listing.files(spark, path, glob, content=True).select("path", "content")
 
 
-def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+def read_checksums(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     """Landed checksum texts under the path of their archive: ``path``, ``checksum_text``."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", f"*.zip{_SUFFIX}")
-    files = reader.option("recursiveFileLookup", True).text(path)
-    archive = F.regexp_replace(F.col("_metadata.file_path"), r"\.CHECKSUM$", "")
-    return files.select(archive.alias("path"), F.col("value").alias("checksum_text"))
+    found = listing.files(spark, path, glob + _SUFFIX, content=True)
+    return found.select(
+        F.regexp_replace("path", r"\.CHECKSUM$", "").alias("path"),
+        F.decode("content", F.lit("UTF-8")).alias("checksum_text"),
+    )
 
 
-def checksum_bytes(spark: SparkSession, path: str) -> int:
+def checksum_bytes(spark: SparkSession, path: str, glob: str = "*.zip") -> int:
     """Size of the landed checksum texts with their paths, from file metadata alone."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.zip{_SUFFIX}")
-    files = reader.option("recursiveFileLookup", True).load(path)
-    total = files.agg(F.sum(F.col("length") + F.length("path"))).first()[0]
+    found = listing.files(spark, path, glob + _SUFFIX)
+    total = found.agg(F.sum(F.col("length") + F.length("path"))).first()[0]
     return int(total or 0)
 
 

@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 from wickline.constants import PREMIUM_CELLS
 from wickline.functions import keys as key_functions
 from wickline.functions import variants
+from wickline.sources import listing
 
 
-def read_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per file: ``path``, ``text``."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), "value").select(
-        "path", F.col("value").alias("text")
-    )
+def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """One row per landed text file below ``path``: ``path``, ``text``. None when there is none."""
+    files = listing.files(spark, path, glob, content=True)
+    return files.select("path", F.decode("content", F.lit("UTF-8")).alias("text"))
 
 
 def _parsed(pages: DataFrame, text: str, convert, complete) -> DataFrame:
