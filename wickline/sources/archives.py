@@ -43,7 +43,7 @@ def read_checksums(spark: SparkSession, path: str, glob: str = "*.zip") -> DataF
     found = listing.files(spark, path, glob + _SUFFIX, content=True)
     return found.select(
         F.regexp_replace("path", r"\.CHECKSUM$", "").alias("path"),
-        F.decode("content", F.lit("UTF-8")).alias("checksum_text"),
+        F.decode("content", "UTF-8").alias("checksum_text"),
     )
 
 

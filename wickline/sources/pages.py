@@ -21,7 +21,7 @@ from wickline.sources import listing
 def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """One row per landed text file below ``path``: ``path``, ``text``. None when there is none."""
     files = listing.files(spark, path, glob, content=True)
-    return files.select("path", F.decode("content", F.lit("UTF-8")).alias("text"))
+    return files.select("path", F.decode("content", "UTF-8").alias("text"))
 
 
 def _parsed(pages: DataFrame, text: str, convert, complete) -> DataFrame:
