@@ -16,8 +16,9 @@ from wickline import configure
 from wickline.constants import DATASETS
 from wickline.functions import errors, keys, numbers, times
 from wickline.operators import candles, coverage, funding, gaps, status, universe
-from wickline.plans import adapters
-from wickline.sources import archives, pages
+from wickline.plans import adapters, compaction
+from wickline.schemas import SOURCE
+from wickline.sources import archives, ledgers, listing, pages, tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -423,6 +424,118 @@ def status_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rolled.withColumn("valid", status.is_valid(F.col("status"), F.lit("run")))
 
 
+# --- stored forms ---
+
+
+def compact_overlap_latest(spark: SparkSession, sf: str) -> DataFrame:
+    rows = compaction.compacted_rows(adapters.overlapping_raw(spark, sf), "1m", "latest_period")
+    return _seconds(_rounded(rows, "volume")).select(
+        "symbol", "year", "open_time", *candles.OHLCV, "trade_count"
+    )
+
+
+def compact_overlap_summed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = compaction.compacted_rows(adapters.overlapping_raw(spark, sf), "1h", None)
+    return _seconds(_rounded(rows, "volume")).select(
+        "symbol", "year", "open_time", *candles.OHLCV, "trade_count"
+    )
+
+
+def touched_years(spark: SparkSession, sf: str) -> DataFrame:
+    rows = adapters.line_candles(spark, sf).withColumn("interval", F.lit("1d"))
+    return compaction.touched_years(rows)
+
+
+def strict_normalise(spark: SparkSession, sf: str) -> DataFrame:
+    rows = adapters.text_candles(spark, sf).withColumn("trade_count", F.col("number_of_trades"))
+    return _seconds(tables.normalise_strict(rows))
+
+
+def gap_ledger_records(spark: SparkSession, sf: str) -> DataFrame:
+    return ledgers.gap_records(adapters.gap_lines(spark, sf))
+
+
+def source_ledger_records(spark: SparkSession, sf: str) -> DataFrame:
+    return ledgers.strict_records(adapters.source_lines(spark, sf), SOURCE)
+
+
+def universe_documents(spark: SparkSession, sf: str) -> DataFrame:
+    rows = universe.universe_from_json(adapters.universe_documents(spark, sf))
+    return rows.select(
+        "symbol",
+        "quote_asset",
+        "storage_key",
+        F.element_at("datasets", "klines").alias("has_klines"),
+        F.element_at("datasets", "premium_index_klines").alias("has_premium"),
+    )
+
+
+def raw_archive_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.stored_files(adapters.stored_paths(spark, sf)).drop("name")
+
+
+def local_symbol_list(spark: SparkSession, sf: str) -> DataFrame:
+    found = listing.stored_files(adapters.stored_paths(spark, sf))
+    return found.select("symbol").distinct().orderBy("symbol")
+
+
+def manifest_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    events = adapters.table(spark, sf, "events")
+    symbol = F.concat(F.upper("event_type"), "user_id", F.lit("USDT"))
+    source = F.concat(symbol, F.lit("_klines_1m_"), F.date_format("ts", "yyyy-MM"), F.lit(".parquet"))
+    manifests = events.select(
+        symbol.alias("symbol"),
+        F.lit("1m").alias("interval"),
+        F.when(F.col("event_type") != "error", F.concat(F.lit("raw/"), source)).alias("last_source"),
+        F.when(F.col("event_type") != "view", F.col("user_id")).alias("source_files"),
+    )
+    observed = status.manifest_observations(manifests)
+    return observed.groupBy("dataset", "interval", "symbol").agg(
+        F.max("latest_complete_utc_day").alias("latest_complete_utc_day"),
+        F.sum("source_count").alias("source_count"),
+    )
+
+
+def dataset_names(spark: SparkSession, sf: str) -> DataFrame:
+    events = adapters.table(spark, sf, "events")
+    alias = (
+        F.when(F.col("event_type") == "click", "premium_index_klines")
+        .when(F.col("event_type") == "view", "premiumIndexKlines")
+        .when(F.col("event_type") == "error", "funding_rate")
+        .when(F.col("event_type") == "signup", "fundingRate")
+        .otherwise("klines")
+    )
+    return events.select("event_id", keys.dataset_name(alias).alias("dataset"))
+
+
+def checksum_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    customers = adapters.table(spark, sf, "customer")
+    digest = F.sha2("c_name", 256)
+    text = (
+        F.when(F.col("c_mktsegment") == "BUILDING", F.concat(digest, F.lit("  "), "c_name"))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("\n "), digest, F.lit("\tx\n")))
+        .when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat("c_name", F.lit(" "), digest))
+        .otherwise(F.left(digest, F.lit(63)))
+    )
+    return customers.select("c_custkey", archives.checksum_token(text).alias("token"))
+
+
+def funding_archive_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    zips, checksums = adapters.funding_archives(spark, sf)
+    extracted = archives.extract(archives.verify(zips, checksums), funding=True)
+    rows = archives.funding_rows(extracted)
+    return _seconds(rows, "funding_time").drop("source_row")
+
+
+def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
+    resolved = coverage.resolve_archives(*adapters.fetch_outcomes(spark, sf), FALLBACK_URL)
+    existing = ledgers.strict_records(adapters.source_lines(spark, sf), SOURCE)
+    appended = existing.unionByName(coverage.sources_of(resolved))
+    return appended.groupBy("dataset", "interval", "target_date").agg(
+        F.count("*").alias("sources"), F.sum("row_count").alias("row_count")
+    )
+
+
 # --- keys ---
 
 
@@ -546,6 +659,20 @@ def queries() -> dict[str, Query]:
         published_freshness,
         run_rollup,
         status_rollup,
+        compact_overlap_latest,
+        compact_overlap_summed,
+        touched_years,
+        strict_normalise,
+        gap_ledger_records,
+        source_ledger_records,
+        universe_documents,
+        raw_archive_listing,
+        local_symbol_list,
+        manifest_freshness,
+        dataset_names,
+        checksum_tokens,
+        funding_archive_ingest,
+        ledger_append,
         symbol_key,
         storage_key,
         interval_widths,

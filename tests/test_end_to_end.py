@@ -331,3 +331,58 @@ def test_stream_resample_equals_batch_behind_the_watermark(spark, tmp_path):
     emitted = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(*columns).collect()}
     batch = {tuple(r) for r in candles.resample(tables.read_raw_candles(spark, layout, "klines"), 900).select(*columns).collect()}
     assert emitted and emitted == {r for r in batch if r[1] < START + 2700}
+
+
+NEW_YEAR = 1767225600  # 2026-01-01
+
+
+def test_rows_outside_their_period_are_found(spark, tmp_path):
+    root, layout = str(tmp_path), Layout(str(tmp_path))
+    # A December minute in a January archive, and regular rows of both years.
+    compaction.store_raw_candles(raw_rows(spark, [NEW_YEAR - 60, NEW_YEAR], "2026-01-01"), layout)
+    compaction.store_raw_candles(raw_rows(spark, [NEW_YEAR - 120], "2025-12-31"), layout)
+    assert ledgers.stray_periods(spark, layout, "klines") == ["2026-01-01"]
+    for year in ("2025", "2026"):
+        touched = spark.createDataFrame([("X", "1m", year)], "symbol string, interval string, year string")
+        compaction.compact_klines(spark, root, touched=touched)
+    assert [r[1] - NEW_YEAR for r in compacted(spark, root)] == [-120, -60, 0]
+    premium = raw_rows(spark, [NEW_YEAR - 60, NEW_YEAR], "2026-01-01").withColumn("dataset", F.lit("premiumIndexKlines"))
+    compaction.store_raw_candles(premium, layout)
+    window = api.load_premium_index_klines(spark, root, "X", "1m", NEW_YEAR - 60, NEW_YEAR - 60)
+    assert [r["timestamp"] for r in window.collect()] == [NEW_YEAR - 60]
+
+
+def test_windows_open_only_their_periods(spark, tmp_path):
+    root, layout = str(tmp_path), Layout(str(tmp_path))
+    for day in range(3):
+        period = (dt.date(2026, 6, 1) + dt.timedelta(days=day)).isoformat()
+        rows = raw_rows(spark, [START + day * DAY], period).withColumn("dataset", F.lit("premiumIndexKlines"))
+        compaction.store_raw_candles(rows, layout)
+        events = rows.select(
+            F.col("open_time").alias("funding_time"), F.col("open").alias("funding_rate"),
+            F.lit(None).cast("double").alias("mark_price"), "source_row", "symbol", "period",
+        )
+        compaction.store_raw_funding(events, layout)
+    window = (START + DAY, START + DAY + 10)
+    for df in (
+        api.load_premium_index_klines(spark, root, "X", "1m", *window),
+        api.load_funding_rates(spark, root, "X", *window),
+    ):
+        assert [r["timestamp"] for r in df.collect()] == [START + DAY]
+        files = df.select(F.lit(1)).inputFiles()
+        plan = df._jdf.queryExecution().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+        assert files and "period" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_buckets_across_the_year_end(spark, tmp_path):
+    root, layout = str(tmp_path), Layout(str(tmp_path))
+    # Buckets of seven days start on Thursdays; one runs from 2025-12-25 to the end of the year, the next from 2026-01-01.
+    days = [NEW_YEAR - 2 * DAY, NEW_YEAR + DAY, NEW_YEAR + 5 * DAY]
+    for second in days:
+        period = dt.datetime.fromtimestamp(second, dt.UTC).date().isoformat()
+        compaction.store_raw_candles(raw_rows(spark, [second], period).withColumn("interval", F.lit("5d")), layout)
+    rows = tables.read_raw_candles(spark, layout, "klines")
+    compaction.compact_klines(spark, root, interval="5d", touched=compaction.touched_years(rows))
+    width = 5 * DAY
+    assert [r[1] for r in compacted(spark, root)] == sorted({s // width * width for s in days})

@@ -168,10 +168,14 @@ def test_file_names(spark):
         "BTCUSDT_klines_1m_2026-06.parquet", "BTCUSDT_premiumIndexKlines_1m_2026-06-15.parquet",
         "A_B_fundingRate_2026-05.parquet", "BTCUSDT_fundingRate_2026-05-01.parquet", "x.parquet",
     ]
-    found = [None if r is None else tuple(r) for r in column(spark, names, times.file_name_parts)]
+    def parts(name):
+        part = times.file_name_parts(name)
+        return F.struct(*[part[n] for n in ("dataset", "symbol", "interval", "period")])
+
+    found = [tuple(r) if r[0] else None for r in column(spark, [*names, "A_klines_2026-06.parquet"], parts)]
     assert found == [
         ("klines", "BTCUSDT", "1m", "2026-06"), ("premiumIndexKlines", "BTCUSDT", "1m", "2026-06-15"),
-        ("fundingRate", "A_B", None, "2026-05"), ("fundingRate", "BTCUSDT", None, "2026-05-01"), None,
+        ("fundingRate", "A_B", None, "2026-05"), ("fundingRate", "BTCUSDT", None, "2026-05-01"), None, None,
     ]
 
 

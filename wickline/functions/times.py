@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickline.constants import MILLIS_THRESHOLD
+from wickline.constants import FUNDING, MILLIS_THRESHOLD
 from wickline.functions.numbers import to_long
 
-# --- Fixed values: names of stored files (symbol, dataset, interval, period) ---
-KLINE_FILE = r"^(.+)_klines_([A-Za-z0-9]+)_(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
-PREMIUM_FILE = r"^(.+)_premiumIndexKlines_([A-Za-z0-9]+)_(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
-FUNDING_FILE = r"^(.+)_fundingRate_(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
+# --- Fixed values: names of stored files, symbol_dataset[_interval]_period.parquet ---
+STORED_FILE = (
+    r"^(.+)_(klines|premiumIndexKlines|fundingRate)_(?:([A-Za-z0-9]+)_)?"
+    r"(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
+)
 
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
@@ -91,28 +92,24 @@ def day_end_millis(day: Column) -> Column:
     return day_start_millis(day) + F.lit(86_399_999)
 
 
-def file_name_parts(name: Column) -> Column:
-    """STRUCT(dataset, symbol, interval, period) of a stored file name; NULL if it is none."""
-
-    def text(value: str | None) -> Column:
-        return F.lit(value).cast("string")
-
-    def part(pattern: str, dataset: str, interval: bool) -> Column:
-        return F.when(
-            name.rlike(pattern),
-            F.struct(
-                text(dataset).alias("dataset"),
-                F.regexp_extract(name, pattern, 1).alias("symbol"),
-                (F.regexp_extract(name, pattern, 2) if interval else text(None)).alias("interval"),
-                F.regexp_extract(name, pattern, 3 if interval else 2).alias("period"),
-            ),
-        )
-
-    return F.coalesce(
-        part(PREMIUM_FILE, "premiumIndexKlines", True),
-        part(FUNDING_FILE, "fundingRate", False),
-        part(KLINE_FILE, "klines", True),
-    )
+def file_name_parts(name: Column) -> dict[str, Column]:
+    """Columns symbol, dataset, interval and period of a stored file name.
+
+    Funding files, and only these, have no interval. ``dataset`` is empty for
+    any other name.
+    """
+
+    def group(number: int) -> Column:
+        return F.regexp_extract(name, STORED_FILE, number)
+
+    lacks_interval = group(3) == ""
+    well_formed = (group(2) == FUNDING) == lacks_interval
+    return {
+        "symbol": group(1),
+        "dataset": F.when(well_formed, group(2)).otherwise(""),
+        "interval": F.nullif(group(3), F.lit("")),
+        "period": group(4),
+    }
 
 
 def timestamp_literal(df: DataFrame, name: str, epoch: int) -> Column:

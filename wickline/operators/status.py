@@ -15,12 +15,13 @@ def file_observations(files: DataFrame) -> DataFrame:
 
     Takes ``name``; files of other names are ignored.
     """
-    parts = files.select(times.file_name_parts(F.col("name")).alias("part"))
-    return parts.where(F.col("part").isNotNull()).select(
-        F.col("part.dataset").alias("dataset"),
-        F.col("part.interval").alias("interval"),
-        F.col("part.symbol").alias("symbol"),
-        times.period_end_day(F.col("part.period")).alias("latest_complete_utc_day"),
+    part = times.file_name_parts(F.col("name"))
+    named = files.select(*[column.alias(name) for name, column in part.items()])
+    return named.where(F.col("dataset") != "").select(
+        "dataset",
+        "interval",
+        "symbol",
+        times.period_end_day(F.col("period")).alias("latest_complete_utc_day"),
         F.lit(1).cast("bigint").alias("source_count"),
     )
 

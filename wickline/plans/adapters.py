@@ -286,3 +286,112 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.when(turn == 1, "404: page Not Found").when(turn == 2, "timed out").alias("error_message"),
     )
     return targets, archive_outcomes, page_outcomes
+
+
+def overlapping_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as raw candles of daily archives, and again, dearer, of monthly ones.
+
+    Purchases come in daily archives only.
+    """
+    candles = event_candles(spark, sf_dir)
+    millis = F.timestamp_millis(timestamp_millis(F.col("open_time")))
+    copies = F.when(F.col("symbol") == "PURCHASEUSDT", F.array(F.lit(0))).otherwise(
+        F.array(F.lit(0), F.lit(1))
+    )
+    rows = candles.select("*", F.explode(copies).alias("monthly"))
+    month, day = F.date_format("open_time", "yyyy-MM"), F.date_format("open_time", "yyyy-MM-dd")
+    return rows.select(
+        millis.alias("open_time"),
+        *[(F.col(n) + F.col("monthly")).alias(n) for n in ("open", "high", "low", "close")],
+        "volume",
+        F.col("trade_count"),
+        F.col("source_key").alias("source_row"),
+        F.lit(KLINES).alias("dataset"),
+        "symbol",
+        F.lit("1m").alias("interval"),
+        F.when(F.col("monthly") == 1, month).otherwise(day).alias("period"),
+    )
+
+
+def gap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of a gap ledger; views have a text count, errors a boolean one."""
+    count = (
+        F.when(F.col("event_type") == "view", _quoted(F.col("user_id")))
+        .when(F.col("event_type") == "error", F.lit("true"))
+        .otherwise(F.col("user_id").cast("string"))
+    )
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    line = F.format_string(
+        '{"dataset":"klines","symbol":"%s","interval":"1m","missing_start_ts":%d,'
+        '"missing_end_ts":%d,"missing_count":%s,"observed_before_ts":%d,'
+        '"observed_after_ts":%d,"reason":"timestamp_gap"}',
+        _symbol(),
+        second,
+        second + 60,
+        count,
+        second - 60,
+        second + 120,
+    )
+    return table(spark, sf_dir, "events").select(line.alias("value"))
+
+
+def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of a source ledger; only open orders have a checksum and an interval."""
+    is_open = F.col("o_orderstatus") == "O"
+    line = F.format_string(
+        '{"checksum":%s,"dataset":"klines","interval":%s,"output_path":"out/%d",'
+        '"row_count":%d,"source_url":"url","symbol":"C%d","target_date":"%s"}',
+        F.when(is_open, F.lit('"abc"')).otherwise("null"),
+        F.when(is_open, F.lit('"1m"')).otherwise("null"),
+        "o_orderkey",
+        "o_orderkey",
+        "o_custkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+    )
+    return table(spark, sf_dir, "orders").select(line.alias("value"))
+
+
+def universe_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as universe documents of up to ``PAGE_ROWS`` entries of varying form."""
+    customers = table(spark, sf_dir, "customer")
+    name = F.concat(F.lit("C"), "c_custkey", F.lit("USDT"))
+    segment = F.col("c_mktsegment")
+    entry = (
+        F.when(segment == "BUILDING", _quoted(name))
+        .when(segment == "MACHINERY", F.format_string('{"symbol":"%s","datasets":{"klines":true,"premiumIndexKlines":true}}', name))
+        .when(segment == "HOUSEHOLD", F.format_string('{"symbol":"%s","quote_asset":null,"datasets":{"klines":1}}', name))
+        .otherwise(F.format_string('{"symbol":"%s","quote_asset":"USDT","storage_key":"k%d"}', name, "c_nationkey"))
+    )
+    rows = customers.select(F.col("c_custkey").alias("event_id"), entry.alias("entry"))
+    return _pages(rows, [], F.col("entry")).select(
+        F.concat(F.lit('{"quote_asset":"USDC","symbols":['), "text", F.lit("]}")).alias("value")
+    )
+
+
+def stored_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as paths of stored archives, with plain and encoded directory names."""
+    symbol = F.concat(F.upper("event_type"), "user_id", F.lit("왜USDT"))
+    key = F.replace(symbol, F.lit("왜"), F.lit("%EC%99%9C"))
+    named = F.when(F.col("value") >= 10, key).otherwise(symbol)
+    day = F.date_format("ts", "yyyy-MM-dd")
+    name = F.concat(named, F.lit("_klines_1m_"), day, F.lit(".parquet"))
+    return table(spark, sf_dir, "events").select(
+        F.concat_ws("/", F.lit("file:/data/klines"), named, name).alias("path")
+    )
+
+
+def funding_archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as funding archives and their checksum texts."""
+    orders = order_funding(spark, sf_dir).withColumn("event_id", F.col("o_orderkey"))
+    line = F.concat_ws(
+        ",",
+        timestamp_millis(F.col("funding_time")).cast("string"),
+        F.lit("8"),
+        F.col("o_totalprice").cast("string"),
+    )
+    texts = _pages(orders, ["symbol"], line, "\n").select(
+        F.concat_ws("/", "symbol", F.concat("page_no", F.lit(".zip"))).alias("path"),
+        F.concat(F.lit("calc_time,funding_interval_hours,last_funding_rate\n"), "text").alias("csv"),
+    )
+    zips = texts.select("path", _zipped("csv").alias("content"))
+    return zips, zips.select("path", F.sha2("content", 256).alias("checksum_text"))

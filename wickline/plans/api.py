@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.constants import BASE_SECONDS, DEFAULT_INTERVAL, PREMIUM
+from wickline.constants import FUNDING as FUNDING_DATASET
 from wickline.functions import keys
 from wickline.operators import candles, funding, gaps
 from wickline.schemas import FUNDING
@@ -45,6 +46,28 @@ def _compacted(
     return rows
 
 
+def _raw_of_window(
+    df: DataFrame,
+    root: str,
+    dataset: str,
+    start_ts: int | None,
+    end_ts: int | None,
+) -> DataFrame:
+    """Raw rows, pruned to the periods that can hold rows of the window."""
+    if start_ts is None and end_ts is None:
+        return df
+    strays = ledgers.stray_periods(df.sparkSession, Layout(root), dataset)
+    inside = F.lit(True)
+    if start_ts is not None:
+        day = F.date_format(F.timestamp_seconds(F.lit(start_ts - 1)), "yyyy-MM-dd")
+        # A month is compared as a month, a day as a day.
+        inside = inside & (F.col("period") >= F.left(day, F.length("period")))
+    if end_ts is not None:
+        day = F.date_format(F.timestamp_seconds(F.lit(end_ts + 1)), "yyyy-MM-dd")
+        inside = inside & (F.col("period") <= F.left(day, F.length("period")))
+    return df.where(inside | F.col("period").isin(strays))
+
+
 def _in_order(df: DataFrame, ordered: bool, *columns: str) -> DataFrame:
     return df.orderBy(*columns) if ordered else df
 
@@ -119,6 +142,7 @@ def load_funding_rates(
 ) -> DataFrame:
     """Funding events: symbol, timestamp, funding_rate."""
     rows = _of_symbols(tables.read_raw_funding(spark, Layout(root)), symbols)
+    rows = _raw_of_window(rows, root, FUNDING_DATASET, start_ts, end_ts)
     rows = rows.select("symbol", *FUNDING.names)
     events = funding.funding_events(rows, start_ts, end_ts)
     return _in_order(events, ordered, "symbol", "timestamp")
@@ -136,6 +160,7 @@ def load_premium_index_klines(
     """Raw premium-index candles of the window."""
     rows = _of_symbols(tables.read_raw_candles(spark, Layout(root), PREMIUM), symbols)
     rows = rows.where(F.col("interval") == keys.require_interval(interval))
+    rows = _raw_of_window(rows, root, PREMIUM, start_ts, end_ts)
     return _in_order(candles.candle_rows(rows, start_ts, end_ts), ordered, "symbol", "timestamp")
 
 

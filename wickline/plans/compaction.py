@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.constants import DEFAULT_INTERVAL, KLINES
+from wickline.constants import DEFAULT_INTERVAL, FUNDING, KLINES
 from wickline.functions import keys, times
 from wickline.operators import candles
-from wickline.sources import tables
+from wickline.sources import ledgers, tables
 from wickline.sources.tables import Layout
 
+#: Up to this many touched symbols are named in the partition filter.
+PRUNED_SYMBOLS = 1000
+
+DAY_MILLIS = 86_400_000
+
 _VALUES = [*candles.OHLCV, "trade_count"]
 
 
@@ -66,9 +71,26 @@ def _all_values() -> Column:
     return present
 
 
+def store_raw_candles(rows: DataFrame, layout: Layout) -> None:
+    """Replace raw partitions and note those that hold rows of other days."""
+    tables.write_raw_candles(rows, layout)
+    ledgers.record_strays(rows, "open_time", layout)
+
+
+def store_raw_funding(rows: DataFrame, layout: Layout) -> None:
+    """As :func:`store_raw_candles` for funding events."""
+    tables.write_raw_funding(rows, layout)
+    placed = rows.withColumn("dataset", F.lit(FUNDING))
+    placed = placed.withColumn("interval", F.lit(None).cast("string"))
+    ledgers.record_strays(placed, "funding_time", layout)
+
+
 def touched_years(rows: DataFrame) -> DataFrame:
-    """Distinct (symbol, interval, year) of raw rows."""
-    years = rows.select("symbol", "interval", _year(F.col("open_time")).alias("year"))
+    """Distinct (symbol, interval, year) of the buckets that raw rows fall in."""
+    width = keys.interval_millis_column(F.col("interval"))
+    time = times.timestamp_millis(F.col("open_time"))
+    year = _year(F.timestamp_millis(time - F.pmod(time, width)))
+    years = rows.select("symbol", "interval", year.alias("year"))
     return years.where(F.col("year").isNotNull()).distinct()
 
 
@@ -91,11 +113,30 @@ def compact_klines(
     if symbols is not None:
         raw = raw.where(F.col("symbol").isin([keys.partition_symbol(s) for s in symbols]))
     if touched is not None:
-        years = raw.withColumn("year", _year(F.col("open_time")))
-        raw = years.join(touched, ["symbol", "interval", "year"], "left_semi").drop("year")
+        raw = _rows_of_years(spark, layout, raw, touched, interval)
     tables.write_compacted(compacted_rows(raw, interval, dedupe), layout)
 
 
+def _rows_of_years(
+    spark: SparkSession, layout: Layout, raw: DataFrame, touched: DataFrame, interval: str
+) -> DataFrame:
+    """All raw rows of the touched years, opening only directories that can hold some."""
+    width = keys.interval_millis(interval)
+    years = [int(row["year"]) for row in touched.select("year").distinct().collect()]
+    # A bucket that does not divide the day may hold rows of the following year.
+    later = 0 if DAY_MILLIS % width == 0 else 1 + width // (365 * DAY_MILLIS)
+    years = [str(year + more) for year in years for more in range(later + 1)]
+    strays = ledgers.stray_periods(spark, layout, KLINES)
+    raw = raw.where(F.left("period", F.lit(4)).isin(years) | F.col("period").isin(strays))
+    few = touched.select("symbol").distinct().limit(PRUNED_SYMBOLS + 1).collect()
+    if len(few) <= PRUNED_SYMBOLS:
+        raw = raw.where(F.col("symbol").isin([row["symbol"] for row in few]))
+    # The year of the bucket: what the compacted partition is named after.
+    bucket = times.bucket_start(times.timestamp_millis(F.col("open_time")), width)
+    placed = raw.withColumn("year", _year(F.timestamp_millis(bucket)))
+    return placed.join(touched, ["symbol", "interval", "year"], "left_semi").drop("year")
+
+
 def import_stored_klines(
     spark: SparkSession,
     root: str,
@@ -106,11 +147,11 @@ def import_stored_klines(
 ) -> None:
     """Take one-file-per-period archives written by others into the raw table."""
     rows = tables.read_stored_klines(spark, raw_root, dataset, symbol, interval)
-    tables.write_raw_candles(rows, Layout(root))
+    store_raw_candles(rows, Layout(root))
 
 
 def import_stored_funding(
     spark: SparkSession, root: str, raw_root: str, symbol: str | None = None
 ) -> None:
     """As :func:`import_stored_klines` for funding archives."""
-    tables.write_raw_funding(tables.read_stored_funding(spark, raw_root, symbol), Layout(root))
+    store_raw_funding(tables.read_stored_funding(spark, raw_root, symbol), Layout(root))

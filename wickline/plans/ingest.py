@@ -34,7 +34,7 @@ from wickline.operators import coverage, funding, status
 from wickline.plans import compaction
 from wickline.schemas import RUN, STATUS
 from wickline.session import materialise
-from wickline.sources import archives, ledgers, listing, pages, tables
+from wickline.sources import archives, ledgers, listing, pages
 from wickline.sources.tables import Layout
 
 
@@ -233,7 +233,7 @@ def _refresh_candles(
     outcomes, touched = None, None
     for dataset in [name for name in request.datasets if name != FUNDING]:
         rows, found = _extracted(spark, landed, glob, targets, dataset, layout.root)
-        tables.write_raw_candles(rows, layout)
+        compaction.store_raw_candles(rows, layout)
         if dataset == KLINES:
             touched = compaction.touched_years(rows)
         outcomes = found if outcomes is None else outcomes.unionByName(found)
@@ -248,7 +248,7 @@ def _refresh_candles(
     resolved = materialise(resolved, layout.root)
     rows = pages.premium_rows(parsed, [*_DAY, "page_no"])
     stored = _stored_days(rows, resolved, PREMIUM, request.premium_url)
-    tables.write_raw_candles(
+    compaction.store_raw_candles(
         stored.select(
             "*",
             F.lit(PREMIUM).alias("dataset"),
@@ -280,7 +280,7 @@ def _refresh_funding(
     """Store funding events; returns resolved targets."""
     glob = _period_glob(request)
     rows, outcomes = _extracted(spark, landed, glob, targets, FUNDING, layout.root)
-    tables.write_raw_funding(rows, layout)
+    compaction.store_raw_funding(rows, layout)
     texts, errors = _landed_pages(spark, landed, FUNDING)
     parsed = materialise(pages.parse_funding_pages(_in_days(texts, request)), layout.root)
     items = pages.funding_rows(parsed, [*_DAY, "page_no"])
@@ -304,7 +304,7 @@ def _refresh_funding(
     resolved = coverage.resolve_funding(wanted, archived, days, request.funding_url)
     resolved = materialise(resolved, layout.root)
     stored = _stored_days(events, resolved, FUNDING, request.funding_url)
-    tables.write_raw_funding(
+    compaction.store_raw_funding(
         stored.select(
             "*",
             F.col("day").alias("period"),

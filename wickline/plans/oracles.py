@@ -387,4 +387,94 @@ written AS (
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, TRY_CAST(t AS DOUBLE) AS as_double,
        TRY_CAST(t AS BIGINT) AS as_long
 FROM written""",
+    # Daily archives rank by their day, monthly ones by the end of the month: the month wins.
+    "compact_overlap_latest": f"""WITH {_EVENTS},
+times AS (
+  SELECT symbol, epoch_ms(open_time) AS ms, arg_max(k, k) AS k, arg_max("open", k) AS o,
+         arg_max(high, k) AS h, arg_max(low, k) AS l, arg_max("close", k) AS c,
+         arg_max(volume, k) AS volume, arg_max(trades, k) AS trades,
+         CASE symbol WHEN 'PURCHASEUSDT' THEN 0 ELSE 1 END AS more
+  FROM events_k GROUP BY 1, 2)
+SELECT symbol, strftime(make_timestamp(ms // 60000 * 60000000), '%Y') AS "year",
+       ms // 60000 * 60000 AS open_time, arg_min(o + more, ms) AS "open",
+       max(h + more) AS high, min(l + more) AS low, arg_max(c + more, ms) AS "close",
+       round(sum(volume), 6) AS volume, CAST(sum(trades) AS BIGINT) AS trade_count
+FROM times GROUP BY 1, 2, 3""",
+    "compact_overlap_summed": f"""WITH {_EVENTS},
+copies AS (
+  SELECT symbol, epoch_ms(open_time) AS ms, k, more, "open" + more AS o, high + more AS h,
+         low + more AS l, "close" + more AS c, volume, trades,
+         CASE more WHEN 0 THEN CAST(open_time AS DATE) ELSE last_day(open_time) END AS last
+  FROM events_k, (VALUES (0), (1)) AS m(more)
+  WHERE more = 0 OR symbol <> 'PURCHASEUSDT')
+SELECT symbol, strftime(make_timestamp(ms // 3600000 * 3600000000), '%Y') AS "year",
+       ms // 3600000 * 3600000 AS open_time,
+       arg_min(o, (ms, last, more, k)) AS "open", max(h) AS high, min(l) AS low,
+       arg_max(c, (ms, -(last - DATE '1970-01-01'), -more, -k)) AS "close",
+       round(sum(volume), 6) AS volume, CAST(sum(trades) AS BIGINT) AS trade_count
+FROM copies GROUP BY 1, 2, 3""",
+    "touched_years": f"""WITH {_LINES}
+SELECT DISTINCT symbol, '1d' AS "interval", strftime(open_time, '%Y') AS "year" FROM lines_k""",
+    "strict_normalise": f"""WITH {_EVENTS}
+SELECT epoch_ms(open_time) AS open_time, "open", high, low, "close", volume,
+       trades AS trade_count
+FROM events_k""",
+    "gap_ledger_records": """SELECT 'klines' AS dataset, upper(event_type) || 'USDT' AS symbol,
+       '1m' AS "interval", s AS missing_start_ts, s + 60 AS missing_end_ts,
+       user_id AS missing_count, s - 60 AS observed_before_ts, s + 120 AS observed_after_ts,
+       'timestamp_gap' AS reason
+FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events)
+WHERE event_type NOT IN ('view', 'error')""",
+    "source_ledger_records": """SELECT 'klines' AS dataset, 'C' || o_custkey AS symbol,
+       CASE o_orderstatus WHEN 'O' THEN '1m' END AS "interval",
+       strftime(o_orderdate, '%Y-%m-%d') AS target_date, 'url' AS source_url,
+       'out/' || o_orderkey AS output_path, CASE o_orderstatus WHEN 'O' THEN 'abc' END AS checksum,
+       o_orderkey AS row_count
+FROM orders""",
+    "universe_documents": """SELECT 'C' || c_custkey || 'USDT' AS symbol,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN 'USDC'
+            ELSE 'USDT' END AS quote_asset,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
+            THEN 'C' || c_custkey || 'USDT' ELSE 'k' || c_nationkey END AS storage_key,
+       c_mktsegment <> 'HOUSEHOLD' AS has_klines, c_mktsegment = 'MACHINERY' AS has_premium
+FROM customer""",
+    "raw_archive_listing": """WITH named AS (
+  SELECT upper(event_type) || user_id || '왜USDT' AS symbol, strftime(ts, '%Y-%m-%d') AS period,
+         upper(event_type) || user_id || CASE WHEN value >= 10 THEN '%EC%99%9C' ELSE '왜' END
+           || 'USDT' AS "key"
+  FROM events)
+SELECT 'file:/data/klines/' || "key" || '/' || "key" || '_klines_1m_' || period || '.parquet'
+         AS "path",
+       'klines' AS dataset, symbol, '1m' AS "interval", period
+FROM named""",
+    "local_symbol_list": """SELECT DISTINCT upper(event_type) || user_id || '왜USDT' AS symbol
+FROM events""",
+    "manifest_freshness": """SELECT 'klines' AS dataset, '1m' AS "interval",
+       upper(event_type) || user_id || 'USDT' AS symbol,
+       max(CASE WHEN event_type <> 'error' THEN strftime(last_day(ts), '%Y-%m-%d') END)
+         AS latest_complete_utc_day,
+       CAST(sum(CASE WHEN event_type <> 'view' AND user_id > 0 THEN user_id ELSE 1 END) AS BIGINT)
+         AS source_count
+FROM events GROUP BY ALL""",
+    "dataset_names": """SELECT event_id,
+       CASE WHEN event_type IN ('click', 'view') THEN 'premiumIndexKlines'
+            WHEN event_type IN ('error', 'signup') THEN 'fundingRate' ELSE 'klines' END AS dataset
+FROM events""",
+    "checksum_tokens": """SELECT c_custkey,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN sha256(c_name) END AS "token"
+FROM customer""",
+    "funding_archive_ingest": f"""WITH {_FUNDING}
+SELECT symbol || '/' || (o_orderkey // 500) || '.zip' AS "path", epoch_ms(t) AS funding_time,
+       o_totalprice AS funding_rate, CAST(NULL AS DOUBLE) AS mark_price
+FROM funding""",
+    "ledger_append": f"""WITH {_RESOLVED},
+appended AS (
+  SELECT dataset, "interval", target_date, row_count FROM resolved WHERE kind = 'source'
+  UNION ALL
+  SELECT 'klines', CASE o_orderstatus WHEN 'O' THEN '1m' END,
+         strftime(o_orderdate, '%Y-%m-%d'), o_orderkey
+  FROM orders)
+SELECT dataset, "interval", target_date, count(*) AS sources,
+       CAST(sum(row_count) AS BIGINT) AS row_count
+FROM appended GROUP BY 1, 2, 3""",
 }

@@ -90,5 +90,8 @@ UNIVERSE = T.StructType(
     ]
 )
 
+#: Raw partitions holding rows of other days than their own period.
+STRAY = _struct(dataset=_S, symbol=_S, interval=_S, period=_S)
+
 #: Columns that may be NULL in an otherwise strict ledger row.
 OPTIONAL_FIELDS = {"interval", "checksum", "finished_at", "last_error", "latest_complete_utc_day"}

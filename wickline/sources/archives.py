@@ -119,13 +119,11 @@ FUNDING_EXTRACT = (
 
 def _typed(text: pa.Array, kind: pa.DataType) -> pa.Array:
     """Numbers of a text column; raises on a bad cell. Whole numbers may be written as 1e3."""
-    values = pc.utf8_trim_whitespace(text)
-    if not pa.types.is_integer(kind):
-        return pc.cast(values, kind)
     try:
-        return pc.cast(values, kind)
+        return pc.cast(text, kind)
     except pa.ArrowInvalid:
-        return pc.cast(pc.trunc(pc.cast(values, pa.float64())), kind)
+        number = pc.cast(pc.utf8_trim_whitespace(text), pa.float64())
+        return pc.cast(pc.trunc(number), kind) if pa.types.is_integer(kind) else number
 
 
 class _Member:
@@ -146,8 +144,11 @@ class _Member:
                 header = start.read(len(ARCHIVE_HEADER_PREFIX)) == ARCHIVE_HEADER_PREFIX
             trades = ARCHIVE_HEADER_TRADES if header else "trade_count"
             wanted = [*ARCHIVE_COLUMNS[:6], trades]
+        # Spark runs a task per core already.
         self._read = pacsv.ReadOptions(
-            block_size=BLOCK_BYTES, column_names=None if header else list(ARCHIVE_COLUMNS)
+            use_threads=False,
+            block_size=BLOCK_BYTES,
+            column_names=None if header else list(ARCHIVE_COLUMNS),
         )
         # Cells are read as text first, so that a bad cell is an error of the
         # whole archive and the type never depends on the first block.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickline.functions import variants
+from wickline.functions import times, variants
 from wickline.operators import universe as universe_operators
 from wickline.operators.gaps import new_gaps
 from wickline.schemas import (
@@ -16,6 +16,7 @@ from wickline.schemas import (
     OPTIONAL_FIELDS,
     SOURCE,
     STATUS,
+    STRAY,
     UNIVERSE,
 )
 from wickline.sources import listing
@@ -30,8 +31,11 @@ _GETTERS = {
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a ledger as JSON values; malformed JSON is an error."""
-    lines = listing.or_empty(spark, lambda: spark.read.text(path), _TEXT)
+    return listing.or_empty(spark, lambda: spark.read.text(path), _TEXT)
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Lines (``value``) as JSON values; malformed JSON is an error."""
     return lines.where(F.col("value") != "").select(F.parse_json("value").alias("record"))
 
 
@@ -51,8 +55,14 @@ def _strict(field: T.StructField) -> Column:
     return F.when(wrong, F.raise_error(F.lit(message)).cast(field.dataType)).otherwise(typed)
 
 
-def _read_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _lines(spark, path).select(*[_strict(f).alias(f.name) for f in schema.fields])
+def strict_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Ledger rows of JSON lines; a field of another type is an error."""
+    return _records(lines).select(*[_strict(f).alias(f.name) for f in schema.fields])
+
+
+def gap_records(lines: DataFrame) -> DataFrame:
+    """Gap rows of JSON lines; records with a field of another type are left out."""
+    return _records(lines).select(*[_typed(f).alias(f.name) for f in GAP.fields]).dropna()
 
 
 def _sorted_keys(df: DataFrame) -> DataFrame:
@@ -68,11 +78,11 @@ def _append(df: DataFrame, path: str) -> None:
 
 
 def read_failures(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read_strict(spark, layout.ledger("failures"), FAILURE)
+    return strict_records(_lines(spark, layout.ledger("failures")), FAILURE)
 
 
 def read_sources(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read_strict(spark, layout.ledger("sources"), SOURCE)
+    return strict_records(_lines(spark, layout.ledger("sources")), SOURCE)
 
 
 def append_failures(failures: DataFrame, layout: Layout) -> None:
@@ -87,8 +97,7 @@ def append_sources(sources: DataFrame, layout: Layout) -> None:
 
 def read_gaps(spark: SparkSession, layout: Layout) -> DataFrame:
     """Missing-candle ranges by key. Records with a field of another type are left out."""
-    typed = [_typed(f).alias(f.name) for f in GAP.fields]
-    return _lines(spark, layout.ledger("gaps")).select(*typed).dropna().orderBy(*GAP_KEY)
+    return gap_records(_lines(spark, layout.ledger("gaps"))).orderBy(*GAP_KEY)
 
 
 def record_gaps(found: DataFrame, layout: Layout) -> None:
@@ -101,6 +110,36 @@ def record_gaps(found: DataFrame, layout: Layout) -> None:
     _append(new_gaps(existing, found), layout.ledger("gaps"))
 
 
+def _read_strays(spark: SparkSession, layout: Layout) -> DataFrame:
+    reader = spark.read.schema(STRAY)
+    return listing.or_empty(spark, lambda: reader.json(layout.ledger("strays")), STRAY)
+
+
+def record_strays(rows: DataFrame, time: str, layout: Layout) -> None:
+    """Note raw partitions with rows outside their own period.
+
+    Takes raw rows with their partition columns. Reads of a time range open the
+    partitions of the range and the noted ones, so none has to open them all.
+    """
+    day = F.col(time).cast("date")
+    period = F.col("period")
+    outside = (day < times.period_start_day(period)) | (
+        day > times.period_end_day(period).cast("date")
+    )
+    found = rows.where(outside).select(*STRAY.names).distinct()
+    known = _read_strays(rows.sparkSession, layout)
+    same = [found[name].eqNullSafe(known[name]) for name in STRAY.names]
+    new = found.join(known, same, "left_anti")
+    if not new.isEmpty():
+        _append(new, layout.ledger("strays"))
+
+
+def stray_periods(spark: SparkSession, layout: Layout, dataset: str) -> list[str]:
+    """Periods of noted partitions: at most one per day or month of the calendar."""
+    noted = _read_strays(spark, layout).where(F.col("dataset") == dataset)
+    return [row["period"] for row in noted.select("period").distinct().collect()]
+
+
 def read_status(spark: SparkSession, layout: Layout) -> DataFrame:
     """The published status, one row; status ``missing`` when none has been published."""
     reader = spark.read.schema(STATUS).option("mode", "FAILFAST")

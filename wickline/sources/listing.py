@@ -53,16 +53,15 @@ def stored_files(found: DataFrame) -> DataFrame:
     ``name``. The symbol comes from the directory, made canonical, so that
     encoded and plain directory names meet.
     """
-    name = segment(F.col("path"), 1)
-    named = found.withColumn("name", name).withColumn("part", times.file_name_parts(name))
-    return named.where(F.col("part").isNotNull()).select(
+    part = times.file_name_parts(segment(F.col("path"), 1))
+    return found.select(
         "path",
-        "name",
-        F.col("part.dataset").alias("dataset"),
+        segment(F.col("path"), 1).alias("name"),
+        part["dataset"].alias("dataset"),
         keys.canonical_symbol(segment(F.col("path"), 2), strict=False).alias("symbol"),
-        F.col("part.interval").alias("interval"),
-        F.col("part.period").alias("period"),
-    )
+        part["interval"].alias("interval"),
+        part["period"].alias("period"),
+    ).where(F.col("dataset") != "")
 
 
 def find_raw_archives(
