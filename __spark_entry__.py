@@ -7,6 +7,7 @@ Every query reads the whole driver tables through the adapters of
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["resample_15m"](spark, SMOKE_DIR)
 
 
+@functools.cache
+def _input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the driver tables, from their file listing."""
+    found = listing.files(spark, sf_dir, "*.parquet")
+    return int(found.agg(F.sum("length")).first()[0] or 0)
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     for name in names:
         df = df.withColumn(name, F.round(name, 6))
@@ -244,13 +252,16 @@ def checksum_failures(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _listed(spark: SparkSession, sf: str) -> DataFrame:
-    prefixes = pages.listed_prefixes(adapters.listing_pages(spark, sf), keep=["dataset"])
-    return pages.listed_symbols(prefixes, ["dataset"])
+def _prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.listed_prefixes(adapters.listing_pages(spark, sf), keep=["dataset"])
 
 
 def listing_xml(spark: SparkSession, sf: str) -> DataFrame:
-    return _listed(spark, sf)
+    return pages.listed_symbols(_prefixes(spark, sf), ["dataset"])
+
+
+def _listed(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.prefix_symbols(_prefixes(spark, sf), ["dataset"])
 
 
 # --- universe ---
@@ -682,7 +693,10 @@ def queries() -> dict[str, Query]:
         named[function.__name__] = function
 
     def configured(query: Query) -> Query:
-        return lambda spark, sf_dir: query(configure(spark), sf_dir)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return query(configure(spark, _input_bytes(spark, sf_dir)), sf_dir)
+
+        return run
 
     return {name: configured(query) for name, query in named.items()}
 

@@ -386,3 +386,18 @@ def test_buckets_across_the_year_end(spark, tmp_path):
     compaction.compact_klines(spark, root, interval="5d", touched=compaction.touched_years(rows))
     width = 5 * DAY
     assert [r[1] for r in compacted(spark, root)] == sorted({s // width * width for s in days})
+
+
+def test_import_of_compacted_files(spark, tmp_path):
+    import pandas as pd
+
+    prices = {"open": ["100"], "high": ["110"], "low": ["99"], "close": ["105"], "volume": ["10"]}
+    for key, trades in (("1000%EC%99%9CUSDT", {"trade_count": [7]}), ("007", {})):
+        folder = tmp_path / f"optimized/klines/symbol={key}/interval=1m"
+        folder.mkdir(parents=True)
+        frame = pd.DataFrame({"open_time": [pd.Timestamp(START, unit="s", tz="UTC")], **prices, **trades})
+        frame.to_parquet(folder / "candles.parquet", coerce_timestamps="us")
+    root = str(tmp_path / "store")
+    compaction.import_stored_compacted(spark, root, str(tmp_path / "optimized"))
+    assert compacted(spark, root) == [("007", START, 100.0, 10.0, 0), ("1000왜USDT", START, 100.0, 10.0, 7)]
+    assert api.load_klines(spark, root, "1000%ec%99%9cusdt").count() == 1

@@ -168,15 +168,14 @@ def test_file_names(spark):
         "BTCUSDT_klines_1m_2026-06.parquet", "BTCUSDT_premiumIndexKlines_1m_2026-06-15.parquet",
         "A_B_fundingRate_2026-05.parquet", "BTCUSDT_fundingRate_2026-05-01.parquet", "x.parquet",
     ]
-    def parts(name):
-        part = times.file_name_parts(name)
-        return F.struct(*[part[n] for n in ("dataset", "symbol", "interval", "period")])
-
-    found = [tuple(r) if r[0] else None for r in column(spark, [*names, "A_klines_2026-06.parquet"], parts)]
-    assert found == [
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([*names, "A_klines_2026-06.parquet"])], "i int, v string")
+    parsed = df.select("i", times.file_name_parts(F.col("v")).alias("parts")).orderBy("i")
+    found = parsed.select(*[times.part(n) for n in ("dataset", "symbol", "interval", "period")]).collect()
+    assert [tuple(r) if r[0] else None for r in found] == [
         ("klines", "BTCUSDT", "1m", "2026-06"), ("premiumIndexKlines", "BTCUSDT", "1m", "2026-06-15"),
         ("fundingRate", "A_B", None, "2026-05"), ("fundingRate", "BTCUSDT", None, "2026-05-01"), None, None,
     ]
+    assert [r[1] for r in found][-2:] == [None, None]
 
 
 def test_missing_errors(spark):

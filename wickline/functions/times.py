@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickline.constants import FUNDING, MILLIS_THRESHOLD
+from wickline.constants import MILLIS_THRESHOLD
 from wickline.functions.numbers import to_long
 
 # --- Fixed values: names of stored files, symbol_dataset[_interval]_period.parquet ---
+# Funding files, and only these, have no interval.
 STORED_FILE = (
-    r"^(.+)_(klines|premiumIndexKlines|fundingRate)_(?:([A-Za-z0-9]+)_)?"
-    r"(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
+    r"^(.+)_(?:(klines|premiumIndexKlines)_([A-Za-z0-9]+)|(fundingRate))"
+    r"_(\d{4}-\d{2}(?:-\d{2})?)\.parquet$"
 )
 
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -92,24 +93,25 @@ def day_end_millis(day: Column) -> Column:
     return day_start_millis(day) + F.lit(86_399_999)
 
 
-def file_name_parts(name: Column) -> dict[str, Column]:
-    """Columns symbol, dataset, interval and period of a stored file name.
+def file_name_parts(name: Column) -> Column:
+    """ARRAY of symbol, dataset, interval and period of a stored file name.
 
-    Funding files, and only these, have no interval. ``dataset`` is empty for
-    any other name.
+    The interval of funding files is empty. Any other name gives an array of one.
+    Read it with :func:`part` from a column of its own, so that the pattern is
+    matched once per name.
     """
+    return F.split(F.regexp_replace(name, STORED_FILE, "$1\u0001$2$4\u0001$3\u0001$5"), "\u0001")
 
-    def group(number: int) -> Column:
-        return F.regexp_extract(name, STORED_FILE, number)
-
-    lacks_interval = group(3) == ""
-    well_formed = (group(2) == FUNDING) == lacks_interval
-    return {
-        "symbol": group(1),
-        "dataset": F.when(well_formed, group(2)).otherwise(""),
-        "interval": F.nullif(group(3), F.lit("")),
-        "period": group(4),
-    }
+
+_PARTS = ("symbol", "dataset", "interval", "period")
+
+
+def part(name: str, parts: str = "parts") -> Column:
+    """One of symbol, dataset, interval, period of a parsed file name; NULL if it has none."""
+    value = F.get(F.col(parts), F.lit(_PARTS.index(name)))
+    if name == "symbol":
+        return F.when(F.size(parts) == len(_PARTS), value)
+    return F.nullif(value, F.lit(""))
 
 
 def timestamp_literal(df: DataFrame, name: str, epoch: int) -> Column:

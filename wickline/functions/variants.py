@@ -41,25 +41,21 @@ def boolean_of(value: Column) -> Column:
     return F.when(kind_of(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
 
 
-def number_of(value: Column) -> Column:
-    """DOUBLE from a JSON number or a JSON string holding a number; never from a boolean."""
-    kind = kind_of(value)
-    return F.when(kind == "STRING", text_to_double(F.try_variant_get(value, "$", "string"))).when(
-        (kind == "BIGINT") | kind.rlike(_FRACTION), F.try_variant_get(value, "$", "double")
-    )
+def number_of(value: Column, path: str = "$") -> Column:
+    """DOUBLE from a JSON number or a JSON string holding a number; never from a boolean.
 
+    Every JSON value has a text form, and only those of numbers read as one.
+    """
+    return text_to_double(F.try_variant_get(value, path, "string"))
 
-def whole_number_of(value: Column) -> Column:
+
+def whole_number_of(value: Column, path: str = "$") -> Column:
     """BIGINT from a JSON number (fraction cut) or a JSON string of digits."""
-    kind = kind_of(value)
-    text = F.try_variant_get(value, "$", "string")
-    digits = F.when(text.rlike(_PLAIN_INTEGER), F.replace(text, F.lit("_"), F.lit("")))
-    cut = F.try_variant_get(value, "$", "double").try_cast("bigint")
-    return (
-        F.when(kind == "STRING", digits.try_cast("bigint"))
-        .when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-        .when(kind.rlike(_FRACTION), cut)
-    )
+    text = F.try_variant_get(value, path, "string")
+    digits = F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")
+    fraction = kind_of(item(value, path)).rlike(_FRACTION)
+    cut = F.try_variant_get(value, path, "double").try_cast("bigint")
+    return F.when(text.rlike(_PLAIN_INTEGER), digits).when(fraction, cut)
 
 
 def is_null(value: Column) -> Column:

@@ -15,13 +15,12 @@ def file_observations(files: DataFrame) -> DataFrame:
 
     Takes ``name``; files of other names are ignored.
     """
-    part = times.file_name_parts(F.col("name"))
-    named = files.select(*[column.alias(name) for name, column in part.items()])
-    return named.where(F.col("dataset") != "").select(
-        "dataset",
-        "interval",
-        "symbol",
-        times.period_end_day(F.col("period")).alias("latest_complete_utc_day"),
+    named = files.select(times.file_name_parts(F.col("name")).alias("parts"))
+    return named.where(times.part("dataset").isNotNull()).select(
+        times.part("dataset").alias("dataset"),
+        times.part("interval").alias("interval"),
+        times.part("symbol").alias("symbol"),
+        times.period_end_day(times.part("period")).alias("latest_complete_utc_day"),
         F.lit(1).cast("bigint").alias("source_count"),
     )
 
@@ -44,10 +43,9 @@ def manifest_observations(manifests: DataFrame) -> DataFrame:
     comes from the name of the last source, the count is at least one.
     """
     name = F.element_at(F.split("last_source", "/"), -1)
-    part = times.file_name_parts(name)
-    day = F.when(part["dataset"] == "klines", times.period_end_day(part["period"]))
+    day = F.when(times.part("dataset") == "klines", times.period_end_day(times.part("period")))
     count = F.when(F.col("source_files") > 0, F.col("source_files")).otherwise(F.lit(1))
-    return manifests.select(
+    return manifests.withColumn("parts", times.file_name_parts(name)).select(
         F.lit("klines").alias("dataset"),
         "interval",
         "symbol",

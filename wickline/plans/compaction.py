@@ -155,3 +155,8 @@ def import_stored_funding(
 ) -> None:
     """As :func:`import_stored_klines` for funding archives."""
     store_raw_funding(tables.read_stored_funding(spark, raw_root, symbol), Layout(root))
+
+
+def import_stored_compacted(spark: SparkSession, root: str, optimized_root: str) -> None:
+    """Take compacted files written by others into the compacted table as they are."""
+    tables.write_compacted(tables.read_stored_compacted(spark, optimized_root), Layout(root))

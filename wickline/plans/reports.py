@@ -26,7 +26,9 @@ def discover_universe(
     texts = pages.read_texts(spark, f"{landed.rstrip('/')}/listings", "*.xml")
     named = texts.select(listing.segment(F.col("path"), 2).alias("dataset"), "text")
     prefixes = pages.listed_prefixes(named, keep=["dataset"])
-    found = universe_operators.build_universe(pages.listed_symbols(prefixes, ["dataset"]), quotes)
+    # The universe aggregates by symbol itself; repeated listings need no removal before.
+    listed = pages.prefix_symbols(prefixes, ["dataset"])
+    found = universe_operators.build_universe(listed, quotes)
     return universe_operators.ordered_universe(found, quotes)
 
 

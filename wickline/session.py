@@ -22,10 +22,22 @@ SQL_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SQL_SETTINGS` to ``spark`` and return it."""
+#: Input bytes per shuffle partition, and the most partitions asked for.
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 65_536
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply :data:`SQL_SETTINGS` to ``spark`` and return it.
+
+    Given the size of the input, the number of shuffle partitions is raised to
+    fit it (never lowered); adaptive execution merges what turns out small.
+    """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    wanted = min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 

@@ -41,7 +41,7 @@ def files(spark: SparkSession, path: str, glob: str = "*", content: bool = False
     return found if content else found.drop("content")
 
 
-def segment(path: Column, from_end: int) -> Column:
+def segment(path: Column | str, from_end: int) -> Column:
     """Path segment counted from the end, 1 being the file name."""
     return F.try_element_at(F.split(path, "/"), F.lit(-from_end))
 
@@ -53,15 +53,16 @@ def stored_files(found: DataFrame) -> DataFrame:
     ``name``. The symbol comes from the directory, made canonical, so that
     encoded and plain directory names meet.
     """
-    part = times.file_name_parts(segment(F.col("path"), 1))
-    return found.select(
+    name = segment(F.col("path"), 1)
+    parsed = found.select("path", name.alias("name"), times.file_name_parts(name).alias("parts"))
+    return parsed.where(times.part("dataset").isNotNull()).select(
         "path",
-        segment(F.col("path"), 1).alias("name"),
-        part["dataset"].alias("dataset"),
+        "name",
+        times.part("dataset").alias("dataset"),
         keys.canonical_symbol(segment(F.col("path"), 2), strict=False).alias("symbol"),
-        part["interval"].alias("interval"),
-        part["period"].alias("period"),
-    ).where(F.col("dataset") != "")
+        times.part("interval").alias("interval"),
+        times.part("period").alias("period"),
+    )
 
 
 def find_raw_archives(

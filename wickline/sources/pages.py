@@ -60,9 +60,9 @@ def parse_premium_pages(pages: DataFrame, text: str = "text") -> DataFrame:
     def convert(row: Column) -> Column:
         cells = []
         for name, position in PREMIUM_CELLS.items():
-            cell = variants.item(row, f"$[{position}]")
             whole = name in ("open_time", "trade_count")
-            value = variants.whole_number_of(cell) if whole else variants.number_of(cell)
+            read = variants.whole_number_of if whole else variants.number_of
+            value = read(row, f"$[{position}]")
             cells.append(value.alias("open_millis" if name == "open_time" else name))
         return F.struct(*cells)
 
@@ -97,8 +97,8 @@ def parse_funding_pages(pages: DataFrame, text: str = "text") -> DataFrame:
         mark = variants.item(entry, "$.markPrice")
         return F.struct(
             variants.integer_of(variants.item(entry, "$.fundingTime")).alias("funding_millis"),
-            variants.number_of(variants.item(entry, "$.fundingRate")).alias("funding_rate"),
-            variants.number_of(mark).alias("mark_price"),
+            variants.number_of(entry, "$.fundingRate").alias("funding_rate"),
+            variants.number_of(entry, "$.markPrice").alias("mark_price"),
             variants.is_null(mark).alias("no_mark"),
         )
 
@@ -128,7 +128,7 @@ def ticker_rows(pages: DataFrame, text: str = "text") -> DataFrame:
     entry = F.col("entry")
     return entries.select(
         variants.text_of(variants.item(entry, "$.symbol")).alias("symbol"),
-        variants.number_of(variants.item(entry, "$.quoteVolume")).alias("quote_volume"),
+        variants.number_of(entry, "$.quoteVolume").alias("quote_volume"),
     ).where(F.col("symbol").isNotNull() & F.col("quote_volume").isNotNull())
 
 
@@ -138,7 +138,12 @@ def listed_prefixes(pages: DataFrame, text: str = "text", keep: Sequence[str] =
     return pages.select(*keep, F.explode(prefixes).alias("prefix")).where(F.col("prefix") != "")
 
 
+def prefix_symbols(prefixes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The symbol each listing prefix names."""
+    symbol = key_functions.symbol_from_prefix(F.col("prefix"))
+    return prefixes.select(*keep, symbol.alias("symbol"))
+
+
 def listed_symbols(prefixes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Symbols named by listing prefixes, each once per ``keep``."""
-    symbol = key_functions.symbol_from_prefix(F.col("prefix"))
-    return prefixes.select(*keep, symbol.alias("symbol")).distinct()
+    return prefix_symbols(prefixes, keep).distinct()

@@ -138,7 +138,7 @@ def read_mixed(
     for row in signed.toLocalIterator():
         groups.setdefault(row["signature"], []).append(row["path"])
     parts = [
-        normalise(_with_place(spark.read.parquet(*[_literal(p) for p in sorted(paths)])))
+        normalise(_with_place(_read_files(spark, sorted(paths))))
         for _, paths in sorted(groups.items())
     ]
     if not parts:
@@ -146,24 +146,41 @@ def read_mixed(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    # Symbols are taken from the path, not from partition columns: those of
+    # encoded directory names are decoded byte by byte.
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.parquet(*[_literal(path) for path in paths])
+
+
 def _literal(path: str) -> str:
     """A path in which no character is taken for a glob."""
     return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
 
 
 def _with_place(df: DataFrame) -> DataFrame:
-    """Adds symbol, interval and period of each row's file, and the row's place in it."""
-    path = keys.symbol_of_key(F.col("_metadata.file_path"))
-    part = times.file_name_parts(listing.segment(path, 1))
-    symbol = keys.canonical_symbol(listing.segment(path, 2), strict=False)
+    """Adds symbol, interval and period of each row's file, and the row's place in it.
+
+    They come from the file name and directory, or from ``symbol=`` and
+    ``interval=`` directories.
+    """
     columns = [F.col(f"`{name}`") for name in df.columns]
-    return df.select(
+    located = df.select(
         *columns,
-        symbol.alias("symbol"),
-        part["interval"].alias("interval"),
-        part["period"].alias("period"),
+        keys.symbol_of_key(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.row_index").alias("source_row"),
     )
+    parsed = located.withColumn("parts", times.file_name_parts(listing.segment("path", 1)))
+    named = F.regexp_extract("path", "/symbol=([^/]+)/interval=[^/]+/[^/]+$", 1)
+    folder = F.coalesce(F.nullif(named, F.lit("")), listing.segment("path", 2))
+    width = F.nullif(F.regexp_extract("path", "/interval=([^/]+)/[^/]+$", 1), F.lit(""))
+    return parsed.select(
+        *columns,
+        keys.canonical_symbol(folder, strict=False).alias("symbol"),
+        F.coalesce(times.part("interval"), width).alias("interval"),
+        times.part("period").alias("period"),
+        "source_row",
+    )
 
 
 def _klines_of(df: DataFrame) -> DataFrame:
@@ -217,6 +234,17 @@ def read_stored_klines(
     return named.select(*RAW_KLINE.names)
 
 
+def read_stored_compacted(spark: SparkSession, optimized_root: str) -> DataFrame:
+    """Candles of ``symbol=<KEY>/interval=<I>/candles.parquet`` files, as compacted rows."""
+    found = listing.files(spark, optimized_root, "candles.parquet")
+    rows = read_mixed(spark, found, _klines_of)
+    if rows is None:
+        return spark.createDataFrame([], COMPACTED)
+    complete = rows.where(numbers.all_present("open_time", *OHLCV))
+    placed = complete.withColumn("year", F.date_format("open_time", "yyyy"))
+    return placed.select(*COMPACTED.names).repartition(*COMPACTED_PARTITIONS)
+
+
 def read_stored_funding(
     spark: SparkSession, raw_root: str, symbol: str | None = None
 ) -> DataFrame:
