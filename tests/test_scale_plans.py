@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from wickline.operators import candles, coverage, funding, gaps, universe
 from wickline.plans import adapters, compaction
 from wickline.schemas import RAW_KLINE
-from wickline.sources import archives
+from wickline.sources import archives, pages, tables
+from wickline.sources.tables import Layout
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -114,3 +115,22 @@ def test_skewed_gaps_match_brute_force(spark):
         seconds = sorted(set(int(t) for t in group["t"]))
         expected |= {(symbol, a, b) for a, b in zip(seconds, seconds[1:]) if b - a > 60}
     assert found == expected
+
+
+@pytest.mark.parametrize("dedupe", [None, "latest_period"])
+def test_compaction_shuffles_twice_and_writes_clustered(spark, tmp_path, dedupe):
+    layout = Layout(str(tmp_path))
+    tables.write_raw_candles(skewed(spark, 1000), layout)
+    raw = tables.read_raw_candles(spark, layout, "klines").where("interval = '1m'")
+    rows = compaction.compacted_rows(raw, "1h", dedupe)
+    plan = plan_of(rows).split("Initial Plan")[0]
+    assert count(plan, "Exchange hashpartitioning") == 2 and "SortAggregate" not in plan
+    assert "partial_max_by" in plan
+    parts = rows.withColumn("part", F.spark_partition_id()).select("symbol", "year", "part").distinct()
+    assert parts.count() == parts.select("symbol", "year").distinct().count()
+
+
+def test_pages_are_parsed_once(spark):
+    parsed = pages.parse_premium_pages(adapters.premium_pages(spark, SF_DIR))
+    plan = plan_of(pages.premium_rows(parsed, ["symbol"])).split("Initial Plan")[0]
+    assert count(plan, "parseJson") == 1

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.constants import DEFAULT_LIQUIDITY_QUOTES, DEFAULT_QUOTES, KLINES, UNIVERSE_FLAGS
-from wickline.functions import keys, variants
+from wickline.functions import keys, once, variants
 
 
 def build_universe(listed: DataFrame, quotes: tuple[str, ...] = DEFAULT_QUOTES) -> DataFrame:
@@ -56,7 +56,8 @@ def universe_from_json(documents: DataFrame, text: str = "value") -> DataFrame:
     A plain symbol counts as having candles and no premium index. In an object
     a flag holds only if it is a real boolean, and premium has two spellings.
     """
-    document = F.parse_json(F.col(text))
+    documents = once.with_value(documents, "document", F.parse_json(F.col(text)), drop=text)
+    document = F.col("document")
     symbols = variants.items(variants.item(document, "$.symbols"))
     default_quote = F.coalesce(
         variants.text_of(variants.item(document, "$.quote_asset")), F.lit(DEFAULT_QUOTES[0])

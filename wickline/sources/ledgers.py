@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickline.functions import times, variants
+from wickline.functions import once, times, variants
 from wickline.operators import universe as universe_operators
 from wickline.operators.gaps import new_gaps
 from wickline.schemas import (
@@ -36,7 +36,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _records(lines: DataFrame) -> DataFrame:
     """Lines (``value``) as JSON values; malformed JSON is an error."""
-    return lines.where(F.col("value") != "").select(F.parse_json("value").alias("record"))
+    written = lines.where(F.col("value") != "").select("value")
+    return once.with_value(written, "record", F.parse_json("value"), drop="value")
 
 
 def _typed(field: T.StructField) -> Column:
@@ -47,12 +48,11 @@ def _typed(field: T.StructField) -> Column:
 def _strict(field: T.StructField) -> Column:
     """The field, or an error when it has another type (or is absent and required)."""
     value = variants.item(F.col("record"), f"$.{field.name}")
-    typed = _typed(field)
-    kind = field.dataType.typeName()
-    message = f"ledger field {field.name} must be a {kind}"
-    absent = variants.is_null(value)
-    wrong = typed.isNull() & ~absent if field.name in OPTIONAL_FIELDS else typed.isNull()
-    return F.when(wrong, F.raise_error(F.lit(message)).cast(field.dataType)).otherwise(typed)
+    message = f"ledger field {field.name} must be a {field.dataType.typeName()}"
+    wrong = F.raise_error(F.lit(message)).cast(field.dataType)
+    if field.name in OPTIONAL_FIELDS:
+        wrong = F.when(~variants.is_null(value), wrong)
+    return F.coalesce(_typed(field), wrong)
 
 
 def strict_records(lines: DataFrame, schema: T.StructType) -> DataFrame:

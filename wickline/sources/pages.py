@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wickline.constants import PREMIUM_CELLS
 from wickline.functions import keys as key_functions
-from wickline.functions import variants
+from wickline.functions import once, variants
 from wickline.sources import listing
 
 
@@ -27,7 +27,7 @@ def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
 def _parsed(pages: DataFrame, text: str, convert, complete) -> DataFrame:
     """Pages with their converted ``items`` and the page's ``error`` (NULL when good)."""
     found = variants.items(F.try_parse_json(F.col(text)))
-    converted = pages.withColumn("items", F.transform(found, convert)).drop(text)
+    converted = once.with_value(pages, "items", F.transform(found, convert), drop=text)
     bad = F.exists("items", lambda entry: ~complete(entry))
     error = F.when(F.col("items").isNull(), F.lit("page is not a JSON array")).when(
         bad, F.concat(F.lit("invalid item at position "), F.array_position(
