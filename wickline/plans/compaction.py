@@ -22,14 +22,19 @@ _VALUES = [*candles.OHLCV, "trade_count"]
 
 
 def _year(time: Column) -> Column:
-    return F.date_format(time, "yyyy")
+    return F.lpad(F.year(time).cast("string"), 4, "0")
 
 
 def row_rank(period: Column, source_row: Column) -> Column:
-    """Order of raw rows as one BIGINT: end of the period, month after day, line in the file."""
-    end = F.unix_date(times.period_end_day(period).cast("date")).cast("bigint")
-    monthly = F.when(F.length(period) == 7, 1).otherwise(0)
-    return F.shiftleft(end * 2 + monthly, 40) + source_row
+    """Order of raw rows as one BIGINT: end of the period, month after day, line in the file.
+
+    Digits of the period serve as its end, a month counting as day 31, so that no
+    date is parsed per row. Lines take the lower 36 bits.
+    """
+    digits = F.replace(period, F.lit("-"), F.lit("")).try_cast("bigint")
+    monthly = F.length(period) == 7
+    end = F.when(monthly, digits * 200 + 63).otherwise(digits * 2)
+    return F.shiftleft(end, 36) + source_row
 
 
 def compacted_rows(raw: DataFrame, interval: str, dedupe: str | None) -> DataFrame:
