@@ -38,31 +38,32 @@ def row_rank(period: Column, source_row: Column) -> Column:
 
 
 def compacted_rows(raw: DataFrame, interval: str, dedupe: str | None) -> DataFrame:
-    """Candles of one interval, clustered by (symbol, year) for :func:`tables.write_compacted`.
+    """Candles by (symbol, interval, year), clustered for :func:`tables.write_compacted`.
 
     ``dedupe="latest_period"`` keeps one raw row per (symbol, time): overlapping
     daily and monthly archives then count once. ``None`` adds all of them up.
 
     Either way the rows cross the network twice: once reduced map-side by
     (symbol, time), and once by (symbol, year), where a group cannot exceed one
-    candle per interval and is therefore bounded whatever the skew.
+    candle per interval and is therefore bounded whatever the skew. The interval
+    stays the column of the raw table: as a constant it would drop out of the
+    clustering, and the writer would sort the rows again, losing their order.
     """
-    place = ["symbol", "year"]
+    owner, place = ["symbol", "interval"], ["symbol", "interval", "year"]
     ranked = raw.withColumn("rank", row_rank(F.col("period"), F.col("source_row")))
     if dedupe is None:
-        rows = candles.compact(ranked, interval, ["symbol"], tie_key="rank")
-        clustered = rows.withColumn("year", _year(F.col("open_time"))).repartition(*place)
-        return clustered.withColumn("interval", F.lit(interval))
+        rows = candles.compact(ranked, interval, owner, tie_key="rank")
+        return rows.withColumn("year", _year(F.col("open_time"))).repartition(*place)
     if dedupe != "latest_period":
         raise ValueError(f"unknown dedupe: {dedupe!r}")
     complete = ranked.where(_complete())
-    unique = candles.latest_per_time(complete, "rank", ["symbol"], "open_time", _VALUES)
+    unique = candles.latest_per_time(complete, "rank", owner, "open_time", _VALUES)
     # The year of the bucket, not of the row: a bucket must not be split. The
-    # aggregation by (symbol, year, bucket) then needs no shuffle of its own.
+    # aggregation by (symbol, interval, year, bucket) needs no shuffle of its own.
     width = keys.interval_millis(interval)
     bucket = times.bucket_start(times.timestamp_millis(F.col("open_time")), width)
     clustered = unique.withColumn("year", _year(F.timestamp_millis(bucket))).repartition(*place)
-    return candles.compact(clustered, interval, place).withColumn("interval", F.lit(interval))
+    return candles.compact(clustered, interval, place)
 
 
 def _complete() -> Column:
