@@ -5,10 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 _made: list[tuple[SparkSession, str]] = []
 _own: list[str] = []
@@ -61,3 +65,27 @@ def _remove() -> None:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def per_text(
+    df: DataFrame, keys: Sequence[str], make: Callable[[], Callable[[str], tuple]], fields: str, text: str = "text"
+) -> DataFrame:
+    """One row per row of ``df``: its ``keys`` as they are, and what a function makes of its text.
+
+    ``make`` is called once in a task and returns the function; ``fields`` is
+    the DDL of the tuple it returns. Null texts arrive empty. Batches travel as
+    Arrow, so ids keep their type and nulls.
+    """
+    made = StructType.fromDDL(fields)
+    schema = StructType([*(df.schema[k] for k in keys), *made.fields])
+    kinds = [to_arrow_type(f.dataType) for f in made.fields]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            found = [function(value) for value in batch.column(len(keys)).to_pylist()]
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*found, strict=True), kinds, strict=True)]
+            if found:
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=schema.names)
+
+    return df.select(*keys, text_or_empty(text).alias(text)).mapInArrow(apply, schema)
