@@ -29,3 +29,29 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLES = {"op2_chat_format": OP2, "op7_exact_dedup": OP7}
+
+OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i : i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+  FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * o >= 75 * (x.n + y.n - o)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM reached LEFT JOIN sizes ON a = doc_id GROUP BY a
+"""
+ORACLES["op6_jaccard_join"] = OP6

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wickline.llm import chat_format, decontaminate, exact_dedup, packing, toxicity, url_filter
+from wickline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, packing, toxicity, url_filter
 from wickline.llm.common import table
 from wickline.llm.oracles import ORACLES
 
@@ -46,6 +46,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "n_sentences", "offending")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op2_chat_format, op4_decontaminate, op5_toxicity, op7_exact_dedup, op8_packing, op10_url_filter)
+    named = (op2_chat_format, op4_decontaminate, op5_toxicity, op6_jaccard_join, op7_exact_dedup, op8_packing, op10_url_filter)
     return {function.__name__: function for function in named}
 
 
