@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wickline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, packing, toxicity, url_filter
+from wickline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, packing, pii, secrets, toxicity, url_filter
 from wickline.llm.common import table
 from wickline.llm.oracles import ORACLES
 
@@ -35,6 +35,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(given.unionByName(added))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +62,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome of a page: the quality label of the document it carries (its id)."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
@@ -65,7 +73,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op2_chat_format, op4_decontaminate, op5_toxicity, op6_jaccard_join, op7_exact_dedup, op8_packing, op10_url_filter)
+    named = (
+        op2_chat_format,
+        op3_secrets,
+        op4_decontaminate,
+        op5_toxicity,
+        op6_jaccard_join,
+        op7_exact_dedup,
+        op8_packing,
+        op9_pii,
+        op10_url_filter,
+    )
     return {function.__name__: function for function in named}
 
 
