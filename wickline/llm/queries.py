@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wickline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, packing, pii, secrets, toxicity, url_filter
+from wickline.llm import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, packing, pii, secrets, toxicity, url_filter
 from wickline.llm.common import table
 from wickline.llm.oracles import ORACLES
 
@@ -27,6 +27,10 @@ URL_RULES = (
 )
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).drop("first_event", "last_event")
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     kinds = given.schema
@@ -74,6 +78,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
+        op1_html_extract,
         op2_chat_format,
         op3_secrets,
         op4_decontaminate,
