@@ -63,6 +63,20 @@ def _remove() -> None:
             return  # the session has ended; the folder is the cluster's to clean
 
 
+#: Keys up to this many (about 100 MB with their hash table) are broadcast by ``without``.
+BROADCAST_KEYS = 2_000_000
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose ``doc_id`` is rejected; null ids are never rejected.
+
+    Counted first: few ids are broadcast and no text moves, more are joined by shuffle.
+    """
+    ids = stored(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
+    few = ids.count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

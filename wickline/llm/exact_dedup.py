@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.common import stored, text_or_empty
+from wickline.llm.common import BROADCAST_KEYS, stored, text_or_empty
 
 #: Share of the rows from which a digest counts as frequent; 1 / SUPPORT rows are broadcast at most.
 SUPPORT = 0.001
@@ -60,3 +60,27 @@ def resolve(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of wholly repeated rows one."""
+    keys = stored(
+        resolve(docs, support)
+        .groupBy("doc_id", "text_sha256")
+        .agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+        .where("not kept or n > 1"),
+        "gone",
+    )
+    sizes = {r["kept"]: r["many"] for r in keys.groupBy("kept").agg(F.count("*").alias("many")).collect()}
+
+    def matched(rows: DataFrame, kept: bool, how: str) -> DataFrame:
+        side = keys.where(F.col("kept") == kept).select(F.col("doc_id").alias("key_id"), F.col("text_sha256").alias("key_sha"))
+        side = F.broadcast(side) if sizes.get(kept, 0) <= BROADCAST_KEYS else side
+        sha = F.sha2(F.coalesce(rows["text"].cast("string"), F.lit("")), 256)
+        return rows.join(side, rows["doc_id"].eqNullSafe(side["key_id"]) & (sha == side["key_sha"]), how)
+
+    staying = matched(docs, False, "left_anti") if sizes.get(False) else docs
+    if not sizes.get(True):
+        return staying
+    repeated = matched(staying, True, "left_semi").dropDuplicates(["doc_id", "text"])
+    return matched(staying, True, "left_anti").unionByName(repeated)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
-
 from wickline.llm import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, packing, pii, secrets, toxicity, url_filter
 from wickline.llm.common import table
 from wickline.llm.oracles import ORACLES
@@ -89,7 +89,7 @@ def queries() -> dict[str, Query]:
         op9_pii,
         op10_url_filter,
     )
-    return {function.__name__: function for function in named}
+    return {function.__name__: function for function in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

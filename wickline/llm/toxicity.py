@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,31 +195,40 @@ def _softplus(x: float) -> float:
     return float(np.logaddexp(0, x))
 
 
+def _scorer(model: Model) -> Callable[[str], tuple[float, int, list[tuple[str, float]]]]:
+    """A function of a text: its score, its sentences, and those with features and their log odds."""
+    of, weights, base = _known_features(model), model.weights, _softplus(model.bias)
+
+    def scored(text: str) -> tuple[float, int, list[tuple[str, float]]]:
+        none, count, spans = 0.0, 0, []
+        for part in _SENTENCE.split(text):
+            words = set(_WORD.findall(part.lower()))
+            if words:
+                count += 1
+                hits = {f for w in words for f in of(w)}
+                if hits:
+                    odds = model.bias + sum(weights[f] for f in hits)
+                    none += _softplus(odds)
+                    spans.append((part, odds))
+                else:
+                    none += base
+        return float(-np.expm1(-none)), count, spans
+
+    return scored
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, score, predicted, n_sentences, and the ``offending`` sentences.
 
     ``offending`` holds (start, end, score) in code points of every sentence that
     scores 0.5 or more by itself, or the highest one where only their union does.
     """
-    base = _softplus(model.bias)
 
-    def make():
-        of, weights = _known_features(model), model.weights
+    def make() -> Callable[[str], tuple]:
+        scorer = _scorer(model)
 
         def scored(text: str) -> tuple:
-            none, count, spans = 0.0, 0, []
-            for part in _SENTENCE.split(text):
-                words = set(_WORD.findall(part.lower()))
-                if words:
-                    count += 1
-                    hits = {f for w in words for f in of(w)}
-                    if hits:
-                        odds = model.bias + sum(weights[f] for f in hits)
-                        none += _softplus(odds)
-                        spans.append((part, odds))
-                    else:
-                        none += base
-            total = float(-np.expm1(-none))
+            total, count, spans = scorer(text)
             return total, int(total >= 0.5), count, _located(text, spans, total)
 
         return scored
@@ -227,6 +237,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return per_text(docs, ["doc_id"], make, fields)
 
 
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, as they are."""
+    place = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(model)
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            yield batch.filter(pa.array([scorer(text or "")[0] < 0.5 for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def _located(text: str, spans: list[tuple[str, float]], total: float) -> list[dict]:
     """The places of the sentences that offend, searched in order."""
     if total < 0.5 or not spans:
@@ -240,8 +263,3 @@ def _located(text: str, spans: list[tuple[str, float]], total: float) -> list[di
             found.append({"start": at + lead, "end": at + len(part.rstrip()), "score": float(1 / (1 + np.exp(-odds)))})
         at += len(part)
     return found
-
-
-def rejected(docs: DataFrame, model: Model) -> DataFrame:
-    """The ``doc_id`` of the documents predicted toxic."""
-    return score(docs, model).where("predicted = 1").select("doc_id")
