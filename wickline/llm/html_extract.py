@@ -89,7 +89,8 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in _RAW}
 #: A word's score before its context, the bounds of that score, and those of one feature and one tag.
-FIRST, WORD, FEATURE, TAG = 1.0, (-1.0, 4.0), (-5.0, 2.0), (-0.9, -0.05)
+#: What is not content costs little, so that a short paragraph behind an advert still belongs to the region.
+FIRST, WORD, FEATURE, TAG = 1.0, (-0.05, 4.0), (-5.0, 2.0), (-0.3, -0.02)
 
 
 def _features(name: str, rest: str) -> list[str]:
@@ -214,7 +215,7 @@ class Weights:
         }
         total_in, total_out = sum(tags_in.values()), sum(tags_out.values())
         self.tags = {
-            t: max(TAG[0], min(TAG[1], 0.3 * (math.log((tags_in[t] + 0.5) / (total_in + 1)) - math.log((tags_out[t] + 0.5) / (total_out + 1))) - 0.3))
+            t: max(TAG[0], min(TAG[1], 0.1 * (math.log((tags_in[t] + 0.5) / (total_in + 1)) - math.log((tags_out[t] + 0.5) / (total_out + 1))) - 0.1))
             for t in {*tags_in, *tags_out}
         }
 
@@ -225,7 +226,7 @@ class Weights:
         return max(WORD[0], min(WORD[1], FIRST + sum(get(f, 0.0) for f in features)))
 
     def tag(self, name: str) -> float:
-        return self.tags.get(name, -0.3)
+        return self.tags.get(name, -0.1)
 
 
 @cache
