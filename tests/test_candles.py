@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from wickline.operators import candles, gaps
 
 BARS = [
-    ("BTCUSDT", "2024-01-01 00:00:00", "100", "110", "99", "105", "10", 1),
-    ("BTCUSDT", "2024-01-01 00:01:00", "105", "112", "104", "111", "20", 2),
-    ("BTCUSDT", "2024-01-01 00:15:00", "111", "115", "109", "114", "30", 3),
-    ("BTCUSDT", "2024-01-01 01:00:00", "114", "120", "113", "118", "40", 4),
+    ("AAAUSDT", "2025-03-10 06:00:00", "50", "58", "47", "52", "3", 5),
+    ("AAAUSDT", "2025-03-10 06:01:00", "52", "61", "51", "60", "4", 6),
+    ("AAAUSDT", "2025-03-10 06:20:00", "60", "63", "55", "57", "5", 7),
+    ("AAAUSDT", "2025-03-10 07:30:00", "57", "70", "56", "66", "6", 8),
 ]
 COLUMNS = "symbol string, t string, open string, high string, low string, close string, volume string, trade_count bigint"
 
@@ -25,34 +25,34 @@ def rows(df, *order):
 
 def test_resample_golden(bars):
     assert rows(candles.resample(bars, 900)) == [
-        ("BTCUSDT", 1704067200, 100.0, 112.0, 99.0, 111.0, 30.0),
-        ("BTCUSDT", 1704068100, 111.0, 115.0, 109.0, 114.0, 30.0),
-        ("BTCUSDT", 1704070800, 114.0, 120.0, 113.0, 118.0, 40.0),
+        ("AAAUSDT", 1741586400, 50.0, 61.0, 47.0, 60.0, 7.0),
+        ("AAAUSDT", 1741587300, 60.0, 63.0, 55.0, 57.0, 5.0),
+        ("AAAUSDT", 1741591800, 57.0, 70.0, 56.0, 66.0, 6.0),
     ]
 
 
 def test_gap_counts_golden(bars):
     found = rows(gaps.find_gaps(bars, 60), "missing_start_ts")
-    assert [r[3] for r in found] == [13, 44]
-    assert found[0][1:] == (1704067320, 1704068040, 13, 1704067260, 1704068100)
+    assert [r[3] for r in found] == [18, 69]
+    assert found[0][1:] == (1741586520, 1741587540, 18, 1741586460, 1741587600)
 
 
 def test_intrabar_golden_window_includes_both_ends(bars):
-    found = candles.intrabar(bars, 10_800, 1704067260, 1704068100)
+    found = candles.intrabar(bars, 10_800, 1741586460, 1741587600)
     assert [(r["bucket"], r["timestamp"]) for r in found.orderBy("timestamp").collect()] == [
-        (1704067200, 1704067260),
-        (1704067200, 1704068100),
+        (1741586400, 1741586460),
+        (1741586400, 1741587600),
     ]
 
 
-def test_nested_intrabar_is_ordered_and_split_by_day(spark):
+def test_nested_intrabar_is_ordered_and_one_row_a_bucket(spark):
     data = [("A", s, float(s), 1.0, 1.0, 1.0, None) for s in (90_000, 0, 60)]
     df = spark.createDataFrame(
         data, "symbol string, s bigint, open double, high double, low double, close double, volume double"
     ).withColumn("open_time", F.timestamp_seconds("s"))
-    nested = candles.nest_intrabar(candles.intrabar(df, 604_800)).orderBy("part").collect()
+    nested = candles.nest_intrabar(candles.intrabar(df, 604_800)).collect()
     # A missing volume does not drop a bar.
-    assert [[b["timestamp"] for b in r["bars"]] for r in nested] == [[0, 60], [90_000]]
+    assert [[b["timestamp"] for b in r["bars"]] for r in nested] == [[0, 60, 90_000]]
     assert {r["bucket"] for r in nested} == {0}
 
 
@@ -65,14 +65,14 @@ def test_sixty_seconds_is_no_aggregation(spark, bars):
 def test_one_hour_compaction_golden(spark):
     df = spark.createDataFrame(
         [
-            ("X", 1700000000000, "100", "102", "99", "101", "10", "2"),
-            ("X", 1700000060000, "101", "103", "100", "102.5", "20", "3"),
+            ("X", 1741588200000, "8", "9", "6.5", "7", "1", "4"),
+            ("X", 1741588260000, "7", "9.5", "7", "8.25", "2.5", "9"),
         ],
         "symbol string, open_time bigint, open string, high string, low string, close string, volume string, trade_count string",
     )
     (row,) = candles.compact(df, "1h").collect()
-    assert tuple(row)[2:] == (100.0, 103.0, 99.0, 102.5, 30.0, 5)
-    assert row["open_time"] == dt.datetime(2023, 11, 14, 22, 0)
+    assert tuple(row)[2:] == (8.0, 9.5, 6.5, 8.25, 3.5, 13)
+    assert row["open_time"] == dt.datetime(2025, 3, 10, 6, 0)
 
 
 def test_trade_count_names_mix_and_default(spark):
@@ -157,12 +157,12 @@ def test_gaps_across_days_and_fractional_counts(spark, unique):
 
 
 def test_gap_ledger_first_wins(spark):
-    key = ("klines", "BTCUSDT", "1m", 1700000000, 1700000060)
+    key = ("klines", "BTCUSDT", "1m", 1741586520, 1741586580)
     schema = (
         "dataset string, symbol string, interval string, missing_start_ts bigint, missing_end_ts bigint, "
         "missing_count bigint, observed_before_ts bigint, observed_after_ts bigint, reason string"
     )
-    old = spark.createDataFrame([(*key, 1, 1699999940, 1700000120, "first")], schema)
+    old = spark.createDataFrame([(*key, 2, 1741586460, 1741586640, "first")], schema)
     new = spark.createDataFrame(
         [
             (*key, 7, 1, 2, "timestamp_gap"),
@@ -174,5 +174,5 @@ def test_gap_ledger_first_wins(spark):
     merged = gaps.merge_gaps(old, new).orderBy("missing_start_ts").collect()
     assert [(r["missing_start_ts"], r["missing_count"], r["reason"]) for r in merged] == [
         (5, 2, "timestamp_gap"),
-        (1700000000, 1, "first"),
+        (1741586520, 2, "first"),
     ]

@@ -184,3 +184,11 @@ def test_missing_errors(spark):
     assert column(spark, messages, errors.is_missing_rest) == [
         True, False, False, True, True, True, False, False,
     ]
+
+
+def test_both_forms_of_a_canonical_symbol_agree(spark):
+    names = ["100%usdt", "A%zzUSDT", "B%3DUSDT", "C%", "D%FF%FEX", "1000왜usdt", "E%2", "%41B", "x%25y", "é%C3%A9"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = [r[0] for r in df.select(keys.canonical_symbol(F.col("name"))).collect()]
+    assert found == [keys.partition_symbol(n) for n in names] and None not in found
+    assert found[:4] == ["100%USDT", "A%ZZUSDT", "B=USDT", "C%"]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wickline.operators import candles, coverage, funding, gaps, universe
+from wickline.operators import candles, coverage, funding, gaps, status, universe
 from wickline.plans import adapters, compaction
 from wickline.schemas import RAW_KLINE
 from wickline.sources import archives, pages, tables
@@ -42,9 +42,10 @@ def test_page_merge_pre_aggregates_by_hash(spark):
 def test_gap_windows_never_span_a_symbol(spark):
     plan = plan_of(gaps.find_gaps(adapters.line_candles(spark, SF_DIR), 86_400))
     final = plan.split("Initial Plan")[0]
-    # The window over rows is cut by day, the one over days sees a row per day.
-    assert "windowspecdefinition(symbol" in final and "day" in final
-    assert "partial_min" in final
+    # The window over rows is cut by day, the one over a symbol sees the edges of its days.
+    windows = [line for line in final.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and "day" in windows[1].split("windowspecdefinition")[1]
+    assert "Filter ((isnull(before" in final.split(windows[0])[1].split(windows[1])[0]
 
 
 def test_targets_are_planned_without_a_join_or_shuffle(spark):
@@ -63,13 +64,39 @@ def test_universe_and_liquidity_need_no_join(spark):
         assert "Join" not in plan_of(df)
 
 
-def test_archive_bytes_are_not_shuffled_behind_the_size_check(spark):
+def test_archive_bytes_are_never_joined_or_shuffled(spark):
     zips, checksums = adapters.archives(spark, SF_DIR)
-    stored = zips.limit(0).unionAll(spark.createDataFrame([("a", b"x")], zips.schema))
-    small = plan_of(archives.verify(stored, checksums, broadcast_checksums=True))
-    large = plan_of(archives.verify(stored, checksums, broadcast_checksums=False))
-    assert "BroadcastHashJoin" in small
-    assert "ShuffledHashJoin" in large and "SortMergeJoin" not in large
+    stored = spark.createDataFrame([("a", b"x")], zips.schema)
+    extracted = archives.extract(stored)
+    outcomes = archives.archive_outcomes(extracted, checksums)
+    for df in (outcomes, archives.good_rows(extracted, outcomes)):
+        plan = plan_of(df)
+        for line in plan.splitlines():
+            assert not ("content" in line and ("Join" in line or "Exchange" in line)), line
+
+
+def test_gaps_take_one_scan_and_two_exchanges(spark):
+    df = adapters.event_candles(spark, SF_DIR)
+    found = gaps.find_gaps(df, 60)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert count(final, "FileScan") == 1 and "SortAggregate" not in final
+    direct = spark.read.parquet(f"{SF_DIR}/events.parquet").select(
+        F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("open_time")
+    )
+    final = plan_of(gaps.find_gaps(direct, 60)).split("Initial Plan")[0]
+    assert count(final, "Exchange hashpartitioning") == 2 and count(final, "FileScan") == 1
+
+
+def test_grouped_rollups_do_not_sort(spark):
+    schema = "dataset string, interval string, symbol string, latest_complete_utc_day string, source_count bigint"
+    seen = spark.createDataFrame([("klines", "1m", "A", "2026-06-01", 1)], schema)
+    outcomes = spark.createDataFrame(
+        [("k", "c", 1, None, None)], "k string, checksum string, row_count bigint, error_code string, error_message string"
+    )
+    for df in (status.freshness(seen), coverage.one_outcome(outcomes, ["k"])):
+        assert "SortAggregate" not in plan_of(df)
 
 
 def skewed(spark, rows=60_000):

@@ -19,6 +19,9 @@ from wickline.constants import (
 )
 
 _BLANKS = " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0      　"
+#: A percent sign that begins no escape, and what stands for bytes that are no UTF-8.
+_STRAY_PERCENT = "%(?![0-9A-Fa-f]{2})"
+_NOT_UTF8 = "\ufffd"
 
 
 def _replace(column: Column, *pairs: tuple[str, str]) -> Column:
@@ -56,8 +59,14 @@ def storage_key(symbol: Column, strict: bool = True) -> Column:
 
 
 def symbol_of_key(key: Column) -> Column:
-    """The symbol behind a canonical or storage key."""
-    return F.try_url_decode(_replace(key, ("+", "%2B")))
+    """The symbol behind a canonical or storage key.
+
+    Only well-formed escapes are decoded, a stray ``%`` stays; a key whose
+    escapes are no UTF-8 is taken as it stands. Never NULL for a key.
+    """
+    form = F.regexp_replace(_replace(key, ("+", "%2B")), _STRAY_PERCENT, "%25")
+    decoded = F.try_url_decode(form)
+    return F.when(decoded.contains(_NOT_UTF8), key).otherwise(F.coalesce(decoded, key))
 
 
 def canonical_symbol(symbol: Column, strict: bool = True) -> Column:
@@ -81,7 +90,9 @@ def require_symbol(symbol: str) -> str:
 
 def partition_symbol(symbol: str) -> str:
     """Driver-side :func:`canonical_symbol` for one argument."""
-    return unquote(require_symbol(symbol))
+    key = require_symbol(symbol)
+    decoded = unquote(re.sub(_STRAY_PERCENT, "%25", key))
+    return key if _NOT_UTF8 in decoded else decoded
 
 
 def require_interval(interval: str) -> str:

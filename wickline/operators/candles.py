@@ -200,13 +200,11 @@ def intrabar(
 
 
 def nest_intrabar(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Bars of each bucket as one time-ordered array.
+    """Bars of each bucket as one time-ordered array: one row per bucket, whatever its width.
 
-    An array spans at most one day of its bucket (``part`` 0, 1, ...), so over
-    compacted minute candles it holds at most 1440 bars however wide the bucket.
+    Over compacted minute candles a bucket holds one bar a minute, so the array
+    is bounded by the width asked for.
     """
-    part = F.floor((F.col("timestamp") - F.col("bucket")) / F.lit(DAY_SECONDS))
-    nested = bars.withColumn("part", part).groupBy(*keys, "bucket", "part")
-    return nested.agg(
+    return bars.groupBy(*keys, "bucket").agg(
         F.array_sort(F.collect_list(F.struct("timestamp", *PRICES))).alias("bars")
     )

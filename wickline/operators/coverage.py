@@ -165,7 +165,8 @@ def one_outcome(outcomes: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.col("error_code"),
         F.col("error_message"),
     )
-    best = outcomes.groupBy(*keys).agg(F.min(packed).alias("best"))
+    # A set of distinct outcomes is collected by hash; the minimum of a struct would sort.
+    best = outcomes.groupBy(*keys).agg(F.array_min(F.collect_set(packed)).alias("best"))
     return best.select(*keys, *[F.col(f"best.{name}").alias(name) for name in OUTCOME])
 
 

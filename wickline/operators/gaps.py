@@ -26,43 +26,46 @@ def find_gaps(
     Every row with a time counts, also one whose prices are missing; the edges
     of the window are no gaps.
 
-    The neighbour of a row is found in two levels. Within a day (at most 86,400
-    distinct seconds per key) a window runs over the rows. Between days a second
-    one runs over a single (first, last) pair per day. No task holds the whole
-    history of a symbol. ``times_unique`` skips the removal of repeated times
-    when the table cannot hold any.
+    The neighbour of a row is found in two levels of one pass. Within a day (at
+    most 86,400 distinct seconds per key) a window runs over the rows; what goes
+    on are the rows behind a gap and the first and last of each day, and a second
+    window finds the neighbours of the latter. No task holds the whole history
+    of a symbol. ``times_unique`` skips the removal of repeated times when the
+    table cannot hold any.
     """
     if expected_seconds <= 0:
         raise ValueError(f"expected_seconds must be positive: {expected_seconds}")
     stamped = time_window(df, start_ts, end_ts).select(
         *keys, times.epoch_seconds(df, "open_time").alias("second")
     )
-    seconds = stamped if times_unique else stamped.distinct()
-    seconds = seconds.withColumn("day", times.bucket_start(F.col("second"), DAY_SECONDS))
+    dated = stamped.where(F.col("second").isNotNull()).withColumn(
+        "day", times.bucket_start(F.col("second"), DAY_SECONDS)
+    )
+    seconds = dated.repartition(*keys, "day")
+    if not times_unique:
+        seconds = seconds.dropDuplicates([*keys, "day", "second"])
 
+    step = F.lit(expected_seconds).cast("bigint")
     within = Window.partitionBy(*keys, "day").orderBy("second")
-    inner = seconds.select(
-        *keys, F.lag("second").over(within).alias("before"), F.col("second").alias("after")
-    )
-    between = Window.partitionBy(*keys).orderBy("day")
-    days = seconds.groupBy(*keys, "day").agg(
-        F.min("second").alias("first"), F.max("second").alias("last")
-    )
-    outer = days.select(
-        *keys, F.lag("last").over(between).alias("before"), F.col("first").alias("after")
+    marked = seconds.select(
+        *keys,
+        "day",
+        "second",
+        F.lag("second").over(within).alias("before"),
+        F.lead("second").over(within).isNull().alias("last"),
     )
-    step = F.lit(expected_seconds).cast("bigint")
+    edge = F.col("before").isNull() | F.col("last")
+    kept = marked.where(edge | (F.col("second") - F.col("before") > step))
+    # The edges of a key's days meet; rows behind a gap stay with their day.
+    between = Window.partitionBy(*keys, F.when(~edge, F.col("day"))).orderBy("second")
+    before = F.coalesce("before", F.lag("second").over(between))
+    pairs = kept.select(*keys, before.alias("before"), F.col("second").alias("after"))
     distance = F.col("after") - F.col("before")
-
-    def beyond_step(pairs: DataFrame) -> DataFrame:
-        return pairs.where(F.col("before").isNotNull() & (distance > step))
-
-    count = F.rint(distance / step - F.lit(1)).cast("bigint")
-    return beyond_step(inner).unionByName(beyond_step(outer)).select(
+    return pairs.where(distance > step).select(
         *keys,
         (F.col("before") + step).alias("missing_start_ts"),
         (F.col("after") - step).alias("missing_end_ts"),
-        count.alias("missing_count"),
+        F.rint(distance / step - F.lit(1)).cast("bigint").alias("missing_count"),
         F.col("before").alias("observed_before_ts"),
         F.col("after").alias("observed_after_ts"),
     )
@@ -82,11 +85,12 @@ def as_ledger(gaps: DataFrame, interval: str | None = None, dataset: str = KLINE
 
 def new_gaps(existing: DataFrame, found: DataFrame) -> DataFrame:
     """Ledger rows of ``found`` whose key ``existing`` lacks, one per key."""
-    rest = [name for name in GAP.names if name not in GAP_KEY]
-    # Rows of one key differ at most in these; the smallest is taken, so the
-    # choice does not depend on task order.
-    unique = found.groupBy(*GAP_KEY).agg(F.min(F.struct(*sorted(rest))).alias("row"))
-    unique = unique.select(*GAP_KEY, "row.*").select(*GAP.names)
+    # A key fixes the range and so its counts and ends; only the reason may differ.
+    numbers = [name for name in GAP.names if name not in GAP_KEY and name != "reason"]
+    unique = found.groupBy(*GAP_KEY).agg(
+        *[F.min(name).alias(name) for name in numbers],
+        F.array_min(F.collect_set("reason")).alias("reason"),
+    )
     return unique.join(existing.select(*GAP_KEY), list(GAP_KEY), "left_anti").select(*GAP.names)
 
 

@@ -56,11 +56,21 @@ def manifest_observations(manifests: DataFrame) -> DataFrame:
 
 def freshness(observations: DataFrame) -> DataFrame:
     """Per dataset and interval: distinct symbols, last day, sources."""
-    return observations.groupBy("dataset", "interval").agg(
+    # Days are compared as dates: a maximum of texts would sort the rows.
+    day = F.col("latest_complete_utc_day").try_cast("date").alias("day")
+    dated = observations.select("dataset", "interval", "symbol", day, "source_count")
+    rolled = dated.groupBy("dataset", "interval").agg(
         F.count_distinct("symbol").alias("symbol_count"),
-        F.max("latest_complete_utc_day").alias("latest_complete_utc_day"),
+        F.max("day").alias("day"),
         F.sum("source_count").alias("source_count"),
     )
+    return rolled.select(
+        "dataset",
+        "interval",
+        "symbol_count",
+        F.date_format("day", "yyyy-MM-dd").alias("latest_complete_utc_day"),
+        "source_count",
+    )
 
 
 def ordered_freshness(rows: DataFrame) -> DataFrame:
