@@ -133,7 +133,6 @@ def intrabar_nested_3h(spark: SparkSession, sf: str) -> DataFrame:
     return nested.select(
         "symbol",
         "bucket",
-        "part",
         F.size("bars").cast("bigint").alias("bars"),
         F.array_join(F.transform("bars", lambda b: b["timestamp"].cast("string")), " ").alias(
             "timestamps"
@@ -231,17 +230,18 @@ def funding_payload_parse(spark: SparkSession, sf: str) -> DataFrame:
     return pages.funding_rows(parsed, ["symbol", "page_no"])
 
 
-def _extracted(spark: SparkSession, sf: str) -> DataFrame:
+def _extracted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     zips, checksums = adapters.archives(spark, sf)
-    return archives.extract(archives.verify(zips, checksums))
+    extracted = archives.extract(zips)
+    return extracted, archives.archive_outcomes(extracted, checksums)
 
 
 def archive_zip_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    return _seconds(archives.kline_rows(_extracted(spark, sf)))
+    return _seconds(archives.kline_rows(archives.good_rows(*_extracted(spark, sf))))
 
 
 def archive_zip_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    outcomes = archives.archive_outcomes(_extracted(spark, sf))
+    _, outcomes = _extracted(spark, sf)
     return outcomes.select(
         "path",
         "row_count",
@@ -252,9 +252,8 @@ def archive_zip_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checksum_failures(spark: SparkSession, sf: str) -> DataFrame:
-    zips, checksums = adapters.archives(spark, sf)
-    verified = archives.verify(zips, checksums)
-    return verified.where(F.col("error_code").isNotNull()).select(
+    _, outcomes = _extracted(spark, sf)
+    return outcomes.where(F.col("error_code").isNotNull()).select(
         "path", "error_code", F.length("error_message").cast("bigint").alias("message_length")
     )
 
@@ -540,8 +539,9 @@ def checksum_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def funding_archive_ingest(spark: SparkSession, sf: str) -> DataFrame:
     zips, checksums = adapters.funding_archives(spark, sf)
-    extracted = archives.extract(archives.verify(zips, checksums), funding=True)
-    rows = archives.funding_rows(extracted)
+    extracted = archives.extract(zips, funding=True)
+    outcomes = archives.archive_outcomes(extracted, checksums)
+    rows = archives.funding_rows(archives.good_rows(extracted, outcomes))
     return _seconds(rows, "funding_time").drop("source_row")
 
 
@@ -580,6 +580,11 @@ def storage_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def canonical_symbols(spark: SparkSession, sf: str) -> DataFrame:
+    symbol = keys.canonical_symbol(F.col("name"), strict=False)
+    return _names(spark, sf).select("c_custkey", symbol.alias("symbol"))
+
+
 def interval_widths(spark: SparkSession, sf: str) -> DataFrame:
     lines = adapters.table(spark, sf, "lineitem")
     unit = (
@@ -693,6 +698,7 @@ def queries() -> dict[str, Query]:
         ledger_append,
         symbol_key,
         storage_key,
+        canonical_symbols,
         interval_widths,
         archive_addresses,
         tolerant_numbers,

@@ -315,22 +315,103 @@ def test_incremental_compaction(spark, tmp_path):
     assert [r[1] - START for r in compacted(spark, root)] == [0, 60, DAY]
 
 
-def test_stream_resample_equals_batch_behind_the_watermark(spark, tmp_path):
-    from wickline.operators import candles
-
+def test_incremental_resampling_equals_batch(spark, tmp_path):
     root, layout = str(tmp_path / "store"), Layout(str(tmp_path / "store"))
-    seconds = [START + 60 * m for m in range(60)]
-    tables.write_raw_candles(raw_rows(spark, seconds, "2026-06-01"), layout)
-    stream = incremental.stream_resample(incremental.raw_candle_stream(spark, root), 900, "0 seconds")
-    query = (
-        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
-        .trigger(availableNow=True).start(str(tmp_path / "out"))
-    )
-    assert query.awaitTermination(120)
+
+    def land_rows(seconds, period, price=None):
+        rows = raw_rows(spark, [int(s) for s in seconds], period)
+        if price is not None:  # fractions of a second, or no price at all
+            rows = rows.withColumn("open_time", F.expr("open_time + INTERVAL '0.7' SECOND"))
+            rows = rows.withColumn("close", F.lit(price).cast("double"))
+        tables.write_raw_candles(rows, layout)
+
+    def run():
+        assert incremental.resample_new_rows(spark, root, str(tmp_path / "c"), 900).awaitTermination(180)
+
+    land_rows([START + DAY + 60 * m for m in range(40)], "2026-06-02")
+    run()
+    # Late days, repeated times, a row without a price, and rows at the end of a bucket's last second.
+    land_rows([START + 60 * m for m in range(0, 90, 7)] + [START + 420], "2026-06-01")
+    land_rows([START + 899, START + 1799], "2026-05-31", 5.0)
+    land_rows([START + 2 * DAY], "2026-06-03", None)
+    tables.write_raw_candles(raw_rows(spark, [START + 3 * DAY], "2026-06-04").withColumn("close", F.lit(None).cast("double")), layout)
+    run()
     columns = ["symbol", "timestamp", "open", "high", "low", "close", "volume"]
-    emitted = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(*columns).collect()}
-    batch = {tuple(r) for r in candles.resample(tables.read_raw_candles(spark, layout, "klines"), 900).select(*columns).collect()}
-    assert emitted and emitted == {r for r in batch if r[1] < START + 2700}
+    stored = tables.read_resampled(spark, layout, 900).select(*columns).orderBy("timestamp").collect()
+    batch = api.load_resampled_klines(spark, root, None, 900).select(*columns).collect()
+    assert len(stored) > 5 and [tuple(r) for r in stored] == [tuple(r) for r in batch]
+
+
+def test_a_period_replaced_by_nothing_vanishes(spark, tmp_path):
+    landed, root = tmp_path / "landed", str(tmp_path / "store")
+    header = "open_time,open,high,low,close,volume,close_time,quote_volume,count,taker_buy_volume,taker_buy_quote_volume,ignore"
+    for symbol in ("ONEUSDT", "TWOUSDT"):
+        land(landed, daily("klines", symbol, "2026-06-01"), kline_csv(START, range(5)))
+    land(landed, daily("klines", "TWOUSDT", "2026-06-02"), kline_csv(START + DAY, range(3)))
+    request = Request(["ONEUSDT", "TWOUSDT"], D(2026, 6, 1), D(2026, 6, 2), datasets=["klines"])
+    assert ingest_landed(spark, root, str(landed), request).first()["success_count"] == 3
+    assert api.load_klines(spark, root).count() == 13
+    for symbol in ("ONEUSDT", "TWOUSDT"):
+        land(landed, daily("klines", symbol, "2026-06-01"), header + "\n")
+    assert ingest_landed(spark, root, str(landed), request).first()["success_count"] == 3
+    layout = Layout(root)
+    assert tables.read_raw_candles(spark, layout, "klines").count() == 3
+    # The only year of one symbol is gone, the other keeps the rest of its year.
+    assert {r["symbol"] for r in api.load_klines(spark, root).collect()} == {"TWOUSDT"}
+    assert [r["symbol"] for r in api.available_klines(spark, root).collect()] == ["TWOUSDT"]
+    assert [r["symbol_count"] for r in reports.scan_local_status(spark, root).collect()] == [1]
+    assert api.find_kline_gaps(spark, root).count() == 0
+
+
+def test_a_refresh_opens_what_it_was_asked_for_and_leaves_no_scratch(spark, tmp_path):
+    from wickline.plans import ingest
+    from wickline.session import Scratch
+    from wickline.sources import archives
+
+    landed, root = tmp_path / "landed", str(tmp_path / "store")
+    for symbol in ("AUSDT", "BUSDT", "CUSDT", "100%USDT"):
+        for day in range(1, 6):
+            land(landed, daily("klines", symbol.replace("/", "%2F"), f"2026-06-0{day}"), kline_csv(START + (day - 1) * DAY, [0]))
+            land(landed, daily("premiumIndexKlines", symbol, f"2026-06-0{day}"), error="boom")
+            land_page(landed, f"premiumIndexKlines/{symbol}/1m/2026-06-0{day}/0.json", [premium_row(START)])
+    names = [("BUSDT", "BUSDT")]
+    folder = ingest._archives_of(str(landed), "klines", ["daily"], names, "1m")
+    period = ingest._archive_period(F.col("_metadata.file_name"))
+    named = ingest._between(period, D(2026, 6, 2), D(2026, 6, 3))
+    zips = archives.read_zips(spark, folder, named=named)
+    assert zips.count() == 2
+    zips.select(F.length("content")).collect()
+    plan = zips._jdf.queryExecution()
+    scan = plan.executedPlan().collectLeaves().apply(0)
+    scan.execute().count()
+    assert scan.metrics().apply("numFiles").value() == 2
+    request = Request(["busdt", "100%USDT"], D(2026, 6, 2), D(2026, 6, 3), datasets=["klines", "premiumIndexKlines"])
+    run = ingest_landed(spark, root, str(landed), request).first()
+    assert run["status"] == "succeeded"
+    # A stray percent sign is part of the symbol.
+    assert {r["symbol"] for r in api.load_klines(spark, root).collect()} == {"BUSDT", "100%USDT"}
+    assert api.load_klines(spark, root, "100%usdt").count() == 2
+    assert api.load_premium_index_klines(spark, root, "BUSDT", "1m").count() == 2
+    base = spark.conf.get("spark.checkpoint.dir")
+    import glob
+
+    assert glob.glob(f"{base}/wickline-*") == [] and not (tmp_path / "store/scratch").exists()
+    with Scratch(spark, root) as scratch:
+        assert scratch.folder.startswith(base)
+
+
+def test_gaps_and_events_come_in_order(spark, tmp_path):
+    root, layout = str(tmp_path), Layout(str(tmp_path))
+    tables.write_raw_candles(raw_rows(spark, [START, START + 600, START + 60], "2026-06-01"), layout)
+    compaction.compact_klines(spark, root)
+    assert [r["missing_start_ts"] for r in api.find_kline_gaps(spark, root).collect()] == [START + 120]
+    rows = [(START, float(k), k) for k in (3, 1, 2, 0)]
+    events = spark.createDataFrame(rows, "s bigint, funding_rate double, source_row bigint").select(
+        F.timestamp_seconds("s").alias("funding_time"), "funding_rate", F.lit(None).cast("double").alias("mark_price"),
+        "source_row", F.lit("X").alias("symbol"), F.lit("2026-06-01").alias("period"),
+    )
+    compaction.store_raw_funding(events.repartition(3), layout)
+    assert [r["funding_rate"] for r in api.load_funding_rates(spark, root).collect()] == [0.0, 1.0, 2.0, 3.0]
 
 
 NEW_YEAR = 1767225600  # 2026-01-01

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wickline.operators import funding, universe
 from wickline.sources import archives, listing, pages, tables
 
-KLINE_LINE = "1700000000000,100.1,101.2,99.9,100.8,12.34,1700000059999,1234.5,42,6.0,600.0,0"
+KLINE_LINE = "1741586400000,8.5,9.75,7.25,8.75,3.5,1741586459999,30.1,13,1.5,12.0,0"
 KLINE_HEADER = (
     "open_time,open,high,low,close,volume,close_time,quote_volume,count,"
     "taker_buy_volume,taker_buy_quote_volume,ignore"
@@ -31,34 +31,33 @@ def extracted(spark, contents, is_funding=False, checksums=None):
     sums = spark.createDataFrame(
         [(p, t) for p, t in texts.items() if t is not None], "path string, checksum_text string"
     )
-    return archives.extract(archives.verify(zips, sums, broadcast_checksums=True), is_funding)
+    rows = archives.extract(zips, is_funding)
+    outcomes = archives.archive_outcomes(rows, sums)
+    return archives.good_rows(rows, outcomes), outcomes
 
 
-def outcome(df):
-    return {
-        r["path"]: (r["row_count"], r["error_code"], r["error_message"])
-        for r in archives.archive_outcomes(df).collect()
-    }
+def outcome(outcomes):
+    return {r["path"]: (r["row_count"], r["error_code"], r["error_message"]) for r in outcomes.collect()}
 
 
 @pytest.mark.parametrize("text", [KLINE_LINE, f"{KLINE_HEADER}\n{KLINE_LINE}\n"])
 def test_kline_archive_with_and_without_header(spark, text):
-    df = extracted(spark, {"a": packed(text)})
+    df, outcomes = extracted(spark, {"a": packed(text)})
     (row,) = archives.kline_rows(df).collect()
-    assert tuple(row)[3:] == (100.1, 101.2, 99.9, 100.8, 12.34, 42)
-    assert F is not None and outcome(df) == {"a": (1, None, None)}
+    assert tuple(row)[3:] == (8.5, 9.75, 7.25, 8.75, 3.5, 13)
+    assert outcome(outcomes) == {"a": (1, None, None)}
 
 
 def test_wrong_checksum_gives_no_rows(spark):
     good = packed(KLINE_LINE)
     upper = hashlib.sha256(good).hexdigest().upper()
-    df = extracted(
+    df, outcomes = extracted(
         spark,
         {"a": good, "b": good, "c": good, "d": good},
         checksums={"a": "0" * 64 + "  a", "b": "short", "c": None, "d": upper},
     )
     assert archives.kline_rows(df).count() == 0
-    found = outcome(df)
+    found = outcome(outcomes)
     assert found["a"][1] == "checksum_mismatch" and found["a"][2].startswith("expected 000")
     assert found["b"] == (None, None, "invalid checksum payload")
     assert found["c"] == (None, None, "no checksum landed")
@@ -66,32 +65,19 @@ def test_wrong_checksum_gives_no_rows(spark):
     assert found["d"][1] == "checksum_mismatch"
 
 
-def test_both_join_forms_agree(spark):
-    good = packed(KLINE_LINE)
-    zips = spark.createDataFrame([("a", good), ("b", good)], "path string, content binary")
-    sums = spark.createDataFrame(
-        [("a", hashlib.sha256(good).hexdigest()), ("b", "1" * 64)], "path string, checksum_text string"
-    )
-    found = [
-        sorted(map(tuple, archives.verify(zips, sums, flag).select("path", "checksum", "error_code").collect()))
-        for flag in (True, False)
-    ]
-    assert found[0] == found[1]
-
-
-def test_archives_are_taken_whole_or_not_at_all(spark, monkeypatch):
+def test_archives_are_taken_whole_or_not_at_all(spark):
     lines = [KLINE_LINE] * 5000
-    bad = [*lines, KLINE_LINE.replace("99.9", "low")]
+    bad = [*lines, KLINE_LINE.replace("7.25", "low")]
     contents = {
         "good": packed("\n".join(lines)),
         "bad": packed("\n".join(bad)),
         "two": packed(KLINE_LINE, ("a.csv", "b.csv")),
         "none": packed(KLINE_LINE, ("a.txt",)),
         "broken": b"no zip",
-        "whole": packed(KLINE_LINE.replace("42", "4.2e1")),
+        "whole": packed(KLINE_LINE.replace(",13,", ",1.3e1,")),
     }
-    df = extracted(spark, contents)
-    found = outcome(df)
+    df, outcomes = extracted(spark, contents)
+    found = outcome(outcomes)
     assert found["good"] == (5000, None, None) and found["whole"] == (1, None, None)
     assert "exactly one CSV" in found["two"][2] and "exactly one CSV" in found["none"][2]
     assert found["bad"][2] and found["broken"][2]
@@ -99,37 +85,35 @@ def test_archives_are_taken_whole_or_not_at_all(spark, monkeypatch):
     assert counts == {"good": 5000, "whole": 1}
 
 
-def test_large_archives_are_streamed(monkeypatch):
+def test_archives_are_streamed(monkeypatch):
     import pyarrow as pa
 
-    monkeypatch.setattr(archives, "HOLD_BYTES", 1)
     monkeypatch.setattr(archives, "BLOCK_BYTES", 1000)
-    fields = ["path", "checksum", "error_code", "error_message", "content"]
 
     def run(text):
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in zip(
-                ["a", "c", None, None, packed(text)], [pa.string()] * 4 + [pa.binary()])],
-            names=fields,
-        )
-        out = pa.Table.from_batches(list(archives._extractor(False)(iter([batch])))).to_pylist()
-        return [r for r in out if r["source_row"] is not None], out[-1]
+        kinds = {"path": pa.string(), "checksum": pa.string(), "content": pa.binary()}
+        values = ("a", "c", packed(text))
+        columns = [pa.array([v], t) for v, t in zip(values, kinds.values())]
+        batch = pa.RecordBatch.from_arrays(columns, names=list(kinds))
+        found = list(archives._extractor(False)(iter([batch])))
+        out = pa.Table.from_batches(found).to_pylist()
+        return len(found), [r for r in out if r["source_row"] is not None], out[-1]
 
-    rows, last = run("\n".join([KLINE_LINE] * 300))
-    assert [r["source_row"] for r in rows] == list(range(300)) and last["row_count"] == 300
-    rows, last = run("\n".join([KLINE_LINE] * 300 + [KLINE_LINE.replace("99.9", "x")]))
-    assert rows == [] and last["error_message"]
+    count, rows, last = run("\n".join([KLINE_LINE] * 300))
+    assert count > 10 and [r["source_row"] for r in rows] == list(range(300)) and last["row_count"] == 300
+    _, rows, last = run("\n".join([KLINE_LINE] * 300 + [KLINE_LINE.replace("7.25", "x")]))
+    assert last["row_count"] is None and last["error_message"]  # good_rows drops what came before
 
 
 def test_funding_archive(spark):
     text = (
         "calc_time,funding_interval_hours,last_funding_rate\n"
-        "1777593600000,8,-0.00003746\n1777622400005,8,-0.00001810\n"
+        "1741564800000,8,-0.00021\n1741593600007,8,0.00034\n"
     )
-    rows = archives.funding_rows(extracted(spark, {"a": packed(text)}, True)).orderBy("source_row")
+    rows = archives.funding_rows(extracted(spark, {"a": packed(text)}, True)[0]).orderBy("source_row")
     found = rows.select(F.unix_millis("funding_time"), "funding_rate", "mark_price").collect()
     assert [tuple(r) for r in found] == [
-        (1777593600000, -0.00003746, None), (1777622400005, -0.0000181, None),
+        (1741564800000, -0.00021, None), (1741593600007, 0.00034, None),
     ]
 
 
@@ -137,13 +121,13 @@ def page(spark, *texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
 
 
-PREMIUM = [1781481600000, "-0.00056945", "-0.00041607", "-0.00073523", "-0.00057101", "0", 1781481659999, "0", 12, "0", "0", "0"]
+PREMIUM = [1741586400000, "-0.0021", "0.0013", "-0.0034", "0.0005", "0", 1741586459999, "0", 31, "0", "0", "0"]
 
 
 def test_premium_page(spark):
     parsed = pages.parse_premium_pages(page(spark, json.dumps([PREMIUM]), "[]"))
     (row,) = pages.premium_rows(parsed, ["n"]).collect()
-    assert tuple(row)[3:] == (-0.00056945, -0.00041607, -0.00073523, -0.00057101, 0.0, 12)
+    assert tuple(row)[3:] == (-0.0021, 0.0013, -0.0034, 0.0005, 0.0, 31)
     assert [tuple(r) for r in pages.page_outcomes(parsed, ["n"]).orderBy("n").collect()] == [(0, 1, None), (1, 0, None)]
 
 
@@ -159,7 +143,7 @@ def test_one_bad_premium_row_rejects_its_page(spark):
     parsed = pages.parse_premium_pages(page(spark, *bad))
     assert pages.premium_rows(parsed, ["n"]).count() == 0
     assert parsed.where(F.col("error").isNull()).count() == 0
-    fine = [changed(8, "12"), changed(8, 12.9), changed(0, 1781481600000.0), changed(1, 1), changed(1, " 1.5 ")]
+    fine = [changed(8, "12"), changed(8, 12.9), changed(0, 1741586400000.0), changed(1, 1), changed(1, " 1.5 ")]
     parsed = pages.parse_premium_pages(page(spark, *fine))
     assert parsed.where(F.col("error").isNotNull()).count() == 0
     assert pages.premium_rows(parsed, ["n"]).count() == 2 * len(fine)
@@ -167,8 +151,8 @@ def test_one_bad_premium_row_rejects_its_page(spark):
 
 def test_funding_page(spark):
     good = (
-        '[{"fundingTime":1000,"fundingRate":"0.00010000","markPrice":"100.5"},'
-        '{"fundingTime":2000,"fundingRate":"0.00020000","markPrice":null},{"fundingTime":3,"fundingRate":1}]'
+        '[{"fundingTime":4000,"fundingRate":"0.00050","markPrice":"33.5"},'
+        '{"fundingTime":5000,"fundingRate":"0.00070","markPrice":null},{"fundingTime":3,"fundingRate":1}]'
     )
     item = '[{"fundingTime":1000,"fundingRate":"0.1","markPrice":"1"},%s]'
     bad = [
@@ -178,7 +162,7 @@ def test_funding_page(spark):
     ]
     parsed = pages.parse_funding_pages(page(spark, good, *bad))
     rows = pages.funding_rows(parsed, ["n"]).orderBy("position").collect()
-    assert [tuple(r)[2:] for r in rows] == [(1000, 0.0001, 100.5), (2000, 0.0002, None), (3, 1.0, None)]
+    assert [tuple(r)[2:] for r in rows] == [(4000, 0.0005, 33.5), (5000, 0.0007, None), (3, 1.0, None)]
 
 
 def test_overlapping_pages_last_wins(spark):
@@ -296,9 +280,9 @@ def test_funding_without_known_columns(spark):
 
 
 def test_strict_normalisation(spark):
-    df = spark.createDataFrame([(1700000000000, "100.1", "1", "1", "1", "12.34", "42")],
+    df = spark.createDataFrame([(1741586400000, "8.5", "1", "1", "1", "3.25", "13")],
                                "open_time bigint, open string, high string, low string, close string, volume string, trade_count string")
     row = tables.normalise_strict(df).first()
-    assert (row["open"], row["volume"], row["trade_count"]) == (100.1, 12.34, 42)
+    assert (row["open"], row["volume"], row["trade_count"]) == (8.5, 3.25, 13)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         tables.normalise_strict(df.withColumn("low", F.lit("x"))).collect()

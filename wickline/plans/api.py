@@ -12,17 +12,22 @@ from wickline.constants import FUNDING as FUNDING_DATASET
 from wickline.functions import keys
 from wickline.operators import candles, funding, gaps
 from wickline.schemas import FUNDING
-from wickline.sources import ledgers, tables
+from wickline.sources import ledgers, listing, tables
 from wickline.sources.tables import Layout
 
 Symbols = str | Sequence[str] | None
 
 
-def _of_symbols(df: DataFrame, symbols: Symbols) -> DataFrame:
+def _names(symbols: Symbols) -> list[str] | None:
     if symbols is None:
-        return df
+        return None
     names = [symbols] if isinstance(symbols, str) else symbols
-    return df.where(F.col("symbol").isin([keys.partition_symbol(name) for name in names]))
+    return [keys.partition_symbol(name) for name in names]
+
+
+def _of_symbols(df: DataFrame, symbols: Symbols) -> DataFrame:
+    names = _names(symbols)
+    return df if names is None else df.where(F.col("symbol").isin(names))
 
 
 def _compacted(
@@ -34,8 +39,9 @@ def _compacted(
     end_ts: int | None,
 ) -> DataFrame:
     """Compacted candles, pruned to the directories of the symbols, interval and years."""
-    rows = tables.read_compacted(spark, Layout(root))
-    rows = _of_symbols(rows, symbols).where(F.col("interval") == keys.require_interval(interval))
+    width = keys.require_interval(interval)
+    rows = tables.read_compacted(spark, Layout(root), _names(symbols), width)
+    rows = _of_symbols(rows, symbols).where(F.col("interval") == width)
     # One second of slack: the window compares rounded seconds.
     if start_ts is not None:
         year = F.date_format(F.timestamp_seconds(F.lit(start_ts - 1)), "yyyy")
@@ -128,7 +134,7 @@ def load_intrabar_buckets(
     rows = _compacted(spark, root, symbols, DEFAULT_INTERVAL, start_ts, end_ts)
     bars = candles.intrabar(rows, primary_timeframe_seconds, start_ts, end_ts)
     if nested:
-        return _in_order(candles.nest_intrabar(bars), ordered, "symbol", "bucket", "part")
+        return _in_order(candles.nest_intrabar(bars), ordered, "symbol", "bucket")
     return _in_order(bars, ordered, "symbol", "timestamp")
 
 
@@ -140,12 +146,16 @@ def load_funding_rates(
     end_ts: int | None = None,
     ordered: bool = True,
 ) -> DataFrame:
-    """Funding events: symbol, timestamp, funding_rate."""
-    rows = _of_symbols(tables.read_raw_funding(spark, Layout(root)), symbols)
+    """Funding events: symbol, timestamp, funding_rate; those of one second in source order."""
+    names = _names(symbols)
+    rows = _of_symbols(tables.read_raw_funding(spark, Layout(root), names), symbols)
     rows = _raw_of_window(rows, root, FUNDING_DATASET, start_ts, end_ts)
-    rows = rows.select("symbol", *FUNDING.names)
-    events = funding.funding_events(rows, start_ts, end_ts)
-    return _in_order(events, ordered, "symbol", "timestamp")
+    place = ("symbol", "period", "source_row")
+    rows = rows.select(*place, *FUNDING.names)
+    events = funding.funding_events(rows, start_ts, end_ts, place)
+    # Events of one second stay in the order of their source.
+    events = _in_order(events, ordered, "symbol", "timestamp", "period", "source_row")
+    return events.drop("period", "source_row")
 
 
 def load_premium_index_klines(
@@ -158,8 +168,9 @@ def load_premium_index_klines(
     ordered: bool = True,
 ) -> DataFrame:
     """Raw premium-index candles of the window."""
-    rows = _of_symbols(tables.read_raw_candles(spark, Layout(root), PREMIUM), symbols)
-    rows = rows.where(F.col("interval") == keys.require_interval(interval))
+    width = keys.require_interval(interval)
+    rows = tables.read_raw_candles(spark, Layout(root), PREMIUM, _names(symbols), width)
+    rows = _of_symbols(rows, symbols).where(F.col("interval") == width)
     rows = _raw_of_window(rows, root, PREMIUM, start_ts, end_ts)
     return _in_order(candles.candle_rows(rows, start_ts, end_ts), ordered, "symbol", "timestamp")
 
@@ -172,8 +183,9 @@ def find_kline_gaps(
     start_ts: int | None = None,
     end_ts: int | None = None,
     expected_seconds: int | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Missing ranges of compacted candles as ledger rows.
+    """Missing ranges of compacted candles as ledger rows, by symbol and time.
 
     ``expected_seconds`` is the width of the interval unless given.
     """
@@ -181,7 +193,7 @@ def find_kline_gaps(
     rows = _compacted(spark, root, symbols, interval, start_ts, end_ts)
     # A compacted table has one candle per time.
     found = gaps.find_gaps(rows, step, start_ts, end_ts, times_unique=True)
-    return gaps.as_ledger(found, interval)
+    return _in_order(gaps.as_ledger(found, interval), ordered, "symbol", "missing_start_ts")
 
 
 def record_kline_gaps(
@@ -194,15 +206,18 @@ def record_kline_gaps(
     expected_seconds: int | None = None,
 ) -> None:
     """Add the missing ranges of compacted candles to the gap ledger; known ones stay."""
-    found = find_kline_gaps(spark, root, symbols, interval, start_ts, end_ts, expected_seconds)
+    found = find_kline_gaps(
+        spark, root, symbols, interval, start_ts, end_ts, expected_seconds, ordered=False
+    )
     ledgers.record_gaps(found, Layout(root))
 
 
 def available_klines(
     spark: SparkSession, root: str, symbols: Symbols = None, interval: str | None = None
 ) -> DataFrame:
-    """Compacted (symbol, interval) pairs, ordered."""
-    rows = _of_symbols(tables.read_compacted(spark, Layout(root)), symbols)
+    """Compacted (symbol, interval) pairs, ordered. No file is opened."""
+    found = listing.partition_values(spark, Layout(root).klines, tables.COMPACTED_PARTITIONS)
+    rows = _of_symbols(found, symbols)
     if interval is not None:
         rows = rows.where(F.col("interval") == keys.require_interval(interval))
     return rows.select("symbol", "interval").distinct().orderBy("symbol", "interval")

@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from wickline.constants import DEFAULT_INTERVAL, FUNDING, KLINES
 from wickline.functions import keys, times
 from wickline.operators import candles
-from wickline.sources import ledgers, tables
+from wickline.session import Scratch, remove_folders
+from wickline.sources import ledgers, listing, tables
 from wickline.sources.tables import Layout
 
-#: Up to this many touched symbols are named in the partition filter.
-PRUNED_SYMBOLS = 1000
-
 DAY_MILLIS = 86_400_000
 
 _VALUES = [*candles.OHLCV, "trade_count"]
@@ -115,32 +113,64 @@ def compact_klines(
     """
     keys.interval_millis(interval)  # An unsupported interval fails before any write.
     layout = Layout(root)
-    raw = tables.read_raw_candles(spark, layout, KLINES).where(F.col("interval") == interval)
-    if symbols is not None:
-        raw = raw.where(F.col("symbol").isin([keys.partition_symbol(s) for s in symbols]))
-    if touched is not None:
-        raw = _rows_of_years(spark, layout, raw, touched, interval)
-    tables.write_compacted(compacted_rows(raw, interval, dedupe), layout)
+    named = None if symbols is None else [keys.partition_symbol(s) for s in symbols]
+    if touched is None:
+        raw = _raw(spark, layout, named, interval)
+        tables.write_compacted(compacted_rows(raw, interval, dedupe), layout)
+        return
+    with Scratch(spark, root) as scratch:
+        # One row per symbol and year: small, and needed several times.
+        touched = scratch.keep(touched.where(F.col("interval") == interval).distinct())
+        if named is not None:
+            touched = touched.where(F.col("symbol").isin(named))
+        raw = _rows_of_years(spark, layout, touched, interval)
+        tables.write_compacted(compacted_rows(raw.drop("year"), interval, dedupe), layout)
+        _remove_emptied(spark, layout, touched, raw)
+
+
+def _raw(
+    spark: SparkSession, layout: Layout, symbols: Sequence[str] | None, interval: str
+) -> DataFrame:
+    raw = tables.read_raw_candles(spark, layout, KLINES, symbols, interval)
+    raw = raw.where(F.col("interval") == interval)
+    return raw if symbols is None else raw.where(F.col("symbol").isin(list(symbols)))
+
+
+def _bucket_year(time: str, width: int) -> Column:
+    """The year a row's bucket starts in: what the compacted partition is named after."""
+    return _year(F.timestamp_millis(times.bucket_start(times.timestamp_millis(F.col(time)), width)))
 
 
 def _rows_of_years(
-    spark: SparkSession, layout: Layout, raw: DataFrame, touched: DataFrame, interval: str
+    spark: SparkSession, layout: Layout, touched: DataFrame, interval: str
 ) -> DataFrame:
-    """All raw rows of the touched years, opening only directories that can hold some."""
+    """All raw rows of the touched years with their year, opening only directories that can hold some."""
     width = keys.interval_millis(interval)
+    # Symbols and years of the refresh: bounded by what is traded and by the calendar.
+    owners = [row["symbol"] for row in touched.select("symbol").distinct().collect()]
     years = [int(row["year"]) for row in touched.select("year").distinct().collect()]
     # A bucket that does not divide the day may hold rows of the following year.
     later = 0 if DAY_MILLIS % width == 0 else 1 + width // (365 * DAY_MILLIS)
     years = [str(year + more) for year in years for more in range(later + 1)]
     strays = ledgers.stray_periods(spark, layout, KLINES)
+    raw = _raw(spark, layout, owners, interval)
     raw = raw.where(F.left("period", F.lit(4)).isin(years) | F.col("period").isin(strays))
-    few = touched.select("symbol").distinct().limit(PRUNED_SYMBOLS + 1).collect()
-    if len(few) <= PRUNED_SYMBOLS:
-        raw = raw.where(F.col("symbol").isin([row["symbol"] for row in few]))
-    # The year of the bucket: what the compacted partition is named after.
-    bucket = times.bucket_start(times.timestamp_millis(F.col("open_time")), width)
-    placed = raw.withColumn("year", _year(F.timestamp_millis(bucket)))
-    return placed.join(touched, ["symbol", "interval", "year"], "left_semi").drop("year")
+    placed = raw.withColumn("year", _bucket_year("open_time", width))
+    return placed.join(touched, ["symbol", "interval", "year"], "left_semi")
+
+
+def _remove_emptied(
+    spark: SparkSession, layout: Layout, touched: DataFrame, raw: DataFrame
+) -> None:
+    """Remove compacted partitions of touched years whose raw rows are all gone.
+
+    Only folders to remove reach the driver.
+    """
+    place = list(tables.COMPACTED_PARTITIONS)
+    stored = listing.partition_values(spark, layout.klines, place).join(touched, place, "left_semi")
+    alive = raw.where(_complete()).select(*place).distinct()
+    gone = stored.join(alive, place, "left_anti").select("folder")
+    remove_folders(spark, [row["folder"] for row in gone.collect()])
 
 
 def import_stored_klines(

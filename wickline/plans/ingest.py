@@ -33,8 +33,8 @@ from wickline.functions import keys, times
 from wickline.operators import coverage, funding, status
 from wickline.plans import compaction
 from wickline.schemas import RUN, STATUS
-from wickline.session import materialise
-from wickline.sources import archives, ledgers, listing, pages
+from wickline.session import Scratch
+from wickline.sources import archives, ledgers, listing, pages, tables
 from wickline.sources.tables import Layout
 
 
@@ -62,18 +62,24 @@ def _symbols(spark: SparkSession, symbols: Sequence[str] | DataFrame) -> DataFra
     return spark.createDataFrame([(name,) for name in names], "symbol string")
 
 
-def _period_glob(request: Request) -> str:
-    """File-name glob of the wanted archives; by year for long ranges."""
-    day, stop, months, days = request.start_day, request.end_day, [], []
-    while day <= stop:
-        days.append(day.isoformat())
-        if day.isoformat()[:7] not in months:
-            months.append(day.isoformat()[:7])
-        day += dt.timedelta(days=1)
-    if len(days) > 366:
-        years = sorted({month[:4] for month in months})
-        return f"*-{{{','.join(years)}}}-*.zip"
-    return f"*-{{{','.join(days + months)}}}.zip"
+def _between(period: Column, start: dt.date, end: dt.date) -> Column:
+    """Whether a period, a day or a month as text, meets the days from ``start`` to ``end``."""
+    first, last = (F.left(F.lit(day.isoformat()), F.length(period)) for day in (start, end))
+    return (period >= first) & (period <= last)
+
+
+def _archives_of(
+    landed: str, dataset: str, spans: Sequence[str], names: Sequence[tuple[str, str]], interval: str
+) -> str:
+    """Glob of the landed folders that can hold the archives asked for: one for each symbol."""
+    span = listing.one_of(list(spans))
+    owner = listing.one_of([stored if dataset == FUNDING else key for key, stored in names])
+    below = "" if dataset == FUNDING else f"/{interval}"
+    return f"{landed.rstrip('/')}/{ARCHIVE_KEY_ROOT}/{span}/{dataset}/{owner}{below}"
+
+
+def _archive_period(path: Column) -> Column:
+    return F.regexp_extract(path, r"-(\d{4}-\d{2}(?:-\d{2})?)\.zip(?:\.[A-Z]+)?$", 1)
 
 
 def _archive_key(path: Column) -> Column:
@@ -104,50 +110,96 @@ def _output_path(
     return F.when(dataset == FUNDING, events).otherwise(candles)
 
 
-def _landed_errors(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def _landed_errors(
+    spark: SparkSession, path: str, glob: str, named: Column | None = None
+) -> DataFrame:
     """Messages of failed fetches: path of the wanted file, ``error_message``."""
-    texts = pages.read_texts(spark, path, f"{glob}.ERROR")
+    texts = pages.read_texts(spark, path, f"{glob}.ERROR", named)
     return texts.select(
         F.regexp_replace("path", r"\.ERROR$", "").alias("path"),
         F.col("text").alias("error_message"),
     )
 
 
-def _extracted(
-    spark: SparkSession, landed: str, glob: str, targets: DataFrame, dataset: str, root: str
-) -> tuple[DataFrame, DataFrame]:
-    """Data rows and outcomes of the targeted archives of one dataset, from a single pass.
-
-    The result of the pass is written once as a shared table: rows and outcomes
-    are both read from there, so no archive is opened twice.
-    """
-    folder = f"{landed.rstrip('/')}/{ARCHIVE_KEY_ROOT}/*/{dataset}"
-    wanted = targets.where((F.col("dataset") == dataset) & (F.col("route") == "archive"))
-    wanted = wanted.select("archive_key", *coverage.TARGET[:4])
-    # The small side is cut down to the targets; the archive bytes stay where they are.
-    checksums = archives.read_checksums(spark, folder, glob)
-    checksums = checksums.withColumn("archive_key", _archive_key(F.col("path"))).join(
-        wanted.select("archive_key"), "archive_key", "left_semi"
-    )
-    small = archives.checksum_bytes(spark, folder, glob) <= archives.BROADCAST_BYTES
-    verified = archives.verify(archives.read_zips(spark, folder, glob), checksums, small)
-    is_funding = dataset == FUNDING
-    extracted = materialise(archives.extract(verified, is_funding), root)
-    errors = _landed_errors(spark, folder, glob).select(
-        _archive_key(F.col("path")).alias("archive_key"),
-        F.lit(None).cast("string").alias("checksum"),
-        F.lit(None).cast("bigint").alias("row_count"),
-        F.lit(None).cast("string").alias("error_code"),
-        "error_message",
-    )
-    found = archives.archive_outcomes(extracted).select(
-        _archive_key(F.col("path")).alias("archive_key"), *coverage.OUTCOME
-    )
-    outcomes = coverage.one_outcome(found.unionByName(errors), ["archive_key"])
-    rows = archives.funding_rows(extracted) if is_funding else archives.kline_rows(extracted)
-    placed = rows.withColumn("place", _place(_archive_key(F.col("path"))))
-    placed = placed.select("*", "place.*").drop("place", "path")
-    return placed, wanted.join(outcomes, "archive_key").drop("archive_key")
+class _Job:
+    """One refresh: what it was asked for, and where its intermediate tables lie."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        landed: str,
+        layout: Layout,
+        request: Request,
+        targets: DataFrame,
+        names: Sequence[tuple[str, str]],
+        scratch: Scratch,
+    ) -> None:
+        self.spark, self.landed, self.layout, self.request = spark, landed, layout, request
+        self.targets, self.names, self.scratch = targets, names, scratch
+
+    def extracted(self, dataset: str) -> tuple[DataFrame, DataFrame]:
+        """Data rows and outcomes of the targeted archives of one dataset, from a single pass.
+
+        Only folders of the symbols asked for are listed, and only files of the
+        periods asked for are opened. The result of the pass is written once:
+        rows and outcomes are both read from there, so no archive is opened twice.
+        """
+        request, spark = self.request, self.spark
+        spans = ["monthly" if dataset == FUNDING else request.granularity]
+        folder = _archives_of(self.landed, dataset, spans, self.names, request.interval)
+        period = _archive_period(F.col("_metadata.file_name"))
+        named = _between(period, request.start_day, request.end_day)
+        wanted = self.targets.where((F.col("dataset") == dataset) & (F.col("route") == "archive"))
+        wanted = wanted.select("archive_key", *coverage.TARGET[:4])
+        is_funding = dataset == FUNDING
+        zips = archives.read_zips(spark, folder, named=named)
+        extracted = self.scratch.keep(archives.extract(zips, is_funding))
+        checksums = archives.read_checksums(spark, folder, named=named)
+        found = self.scratch.keep(archives.archive_outcomes(extracted, checksums))
+        errors = _landed_errors(spark, folder, "*.zip", named).select(
+            _archive_key(F.col("path")).alias("archive_key"),
+            F.lit(None).cast("string").alias("checksum"),
+            F.lit(None).cast("bigint").alias("row_count"),
+            F.lit(None).cast("string").alias("error_code"),
+            "error_message",
+        )
+        keyed = found.withColumn("archive_key", _archive_key(F.col("path")))
+        failed = keyed.select("archive_key", *coverage.OUTCOME).unionByName(errors)
+        outcomes = wanted.join(coverage.one_outcome(failed, ["archive_key"]), "archive_key")
+        # The archive of a month that is fetched day by day was opened, but not asked for.
+        asked = wanted.select("archive_key", F.lit(True).alias("asked"))
+        usable = keyed.join(asked, "archive_key", "left")
+        usable = usable.withColumn("row_count", F.when(F.col("asked"), F.col("row_count")))
+        good = archives.good_rows(extracted, usable)
+        rows = archives.funding_rows(good) if is_funding else archives.kline_rows(good)
+        placed = rows.withColumn("place", _place(_archive_key(F.col("path"))))
+        placed = placed.select("*", "place.*").drop("place", "path")
+        return placed, outcomes.drop("archive_key")
+
+    def pages(self, dataset: str, names: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+        """Landed pages and fetch errors of the named symbols and the requested days."""
+        owner = listing.one_of([stored if dataset == FUNDING else key for key, stored in names])
+        below = "" if dataset == FUNDING else f"/{self.request.interval}"
+        folder = f"{self.landed.rstrip('/')}/pages/{dataset}/{owner}{below}"
+        day = listing.segment(F.col("_metadata.file_path"), 2)
+        named = day.between(*(d.isoformat() for d in _whole_days(self.request)))
+
+        def placed(df: DataFrame) -> DataFrame:
+            interval = listing.segment(F.col("path"), 3)
+            symbol = listing.segment(F.col("path"), 3 if dataset == FUNDING else 4)
+            number = F.regexp_extract(listing.segment(F.col("path"), 1), r"^(\d+)", 1)
+            return df.select(
+                "*",
+                keys.canonical_symbol(symbol, strict=False).alias("symbol"),
+                (F.lit(None).cast("string") if dataset == FUNDING else interval).alias("interval"),
+                listing.segment(F.col("path"), 2).alias("day"),
+                number.try_cast("bigint").alias("page_no"),
+            ).drop("path")
+
+        return (
+            placed(pages.read_texts(self.spark, folder, "*.json", named)),
+            placed(_landed_errors(self.spark, folder, "*.json", named)),
+        )
 
 
 def _place(key: Column) -> Column:
@@ -163,28 +215,6 @@ def _place(key: Column) -> Column:
     )
 
 
-def _landed_pages(spark: SparkSession, landed: str, dataset: str) -> tuple[DataFrame, DataFrame]:
-    """Landed pages and fetch errors of a dataset with their symbol, interval and day."""
-    folder = f"{landed.rstrip('/')}/pages/{dataset}"
-
-    def placed(df: DataFrame) -> DataFrame:
-        interval = listing.segment(F.col("path"), 3)
-        symbol = listing.segment(F.col("path"), 3 if dataset == FUNDING else 4)
-        number = F.regexp_extract(listing.segment(F.col("path"), 1), r"^(\d+)", 1)
-        return df.select(
-            "*",
-            keys.canonical_symbol(symbol, strict=False).alias("symbol"),
-            (F.lit(None).cast("string") if dataset == FUNDING else interval).alias("interval"),
-            listing.segment(F.col("path"), 2).alias("day"),
-            number.try_cast("bigint").alias("page_no"),
-        ).drop("path")
-
-    return (
-        placed(pages.read_texts(spark, folder, "*.json")),
-        placed(_landed_errors(spark, folder, "*.json")),
-    )
-
-
 _DAY = ["symbol", "interval", "day"]
 
 
@@ -199,7 +229,8 @@ def _day_outcomes(parsed: DataFrame, errors: DataFrame, counts: DataFrame | None
                       F.col("error_message").alias("error"))
     )
     days = seen.groupBy(*_DAY).agg(
-        F.min("error").alias("error_message"), F.sum("row_count").alias("row_count")
+        F.array_min(F.collect_set("error")).alias("error_message"),
+        F.sum("row_count").alias("row_count"),
     )
     good = F.col("error_message").isNull()
     if counts is not None:
@@ -225,29 +256,58 @@ def _stored_days(rows: DataFrame, resolved: DataFrame, dataset: str, url: str) -
     return rows.join(days, ["symbol", "day"], "left_semi")
 
 
-def _refresh_candles(
-    spark: SparkSession, landed: str, layout: Layout, request: Request, targets: DataFrame
-) -> tuple[DataFrame, DataFrame | None]:
+def _emptied(resolved: DataFrame, dataset: str) -> DataFrame:
+    """Partitions of completed targets without a row."""
+    done = (F.col("kind") == "source") & (F.col("dataset") == dataset) & (F.col("row_count") == 0)
+    return resolved.where(done).select(
+        "dataset", "symbol", "interval", F.col("target_date").alias("period")
+    )
+
+
+def _outcome_places(outcomes: DataFrame, empty: bool) -> DataFrame:
+    """Partitions that archives with a good outcome replace; of the empty ones, or of all."""
+    good = F.col("row_count") == 0 if empty else F.col("row_count").isNotNull()
+    return outcomes.where(good).select("dataset", "symbol", "interval", "period")
+
+
+def _refresh_candles(job: _Job) -> tuple[DataFrame, DataFrame | None]:
     """Store raw candles; returns resolved targets and the touched years of klines."""
-    glob = _period_glob(request)
+    spark, layout, request, scratch = job.spark, job.layout, job.request, job.scratch
     outcomes, touched = None, None
     for dataset in [name for name in request.datasets if name != FUNDING]:
-        rows, found = _extracted(spark, landed, glob, targets, dataset, layout.root)
-        compaction.store_raw_candles(rows, layout)
+        rows, found = job.extracted(dataset)
+        found = scratch.keep(found)
         if dataset == KLINES:
-            touched = compaction.touched_years(rows)
+            # Years that the replaced partitions fed, before they are replaced.
+            start, end = _whole_days(request)
+            old = tables.read_raw_candles(spark, layout, KLINES, interval=request.interval)
+            old = old.where(_between(F.col("period"), start, end)).join(
+                _outcome_places(found, empty=False), list(tables.RAW_PARTITIONS), "left_semi"
+            )
+            touched = compaction.touched_years(old).unionByName(compaction.touched_years(rows))
+            touched = scratch.keep(touched.distinct())
+        compaction.store_raw_candles(rows, layout)
+        tables.remove_raw(_outcome_places(found, empty=True), layout, dataset)
         outcomes = found if outcomes is None else outcomes.unionByName(found)
-    texts, errors = _landed_pages(spark, landed, PREMIUM)
-    texts = _in_days(texts, request)
-    parsed = materialise(pages.parse_premium_pages(texts), layout.root)
+    wanted = job.targets.where(F.col("dataset") != FUNDING)
+    failed = _failed_premium(wanted, outcomes) if PREMIUM in request.datasets else None
+    # Keys of the symbols whose archives failed: bounded by what is traded.
+    names = [] if failed is None else _names(failed.select("symbol").distinct())
+    if not names:
+        none = spark.createDataFrame([], _FALLBACK)
+        resolved = coverage.resolve_archives(wanted, outcomes, none, request.premium_url)
+        return scratch.keep(resolved), touched
+    texts, errors = job.pages(PREMIUM, names)
+    parsed = scratch.keep(pages.parse_premium_pages(texts))
     place = [F.lit(PREMIUM), F.col("symbol"), F.col("interval"), F.col("day")]
-    fallbacks = _day_outcomes(parsed, _in_days(errors, request), None)
+    fallbacks = _day_outcomes(parsed, errors, None)
     fallbacks = fallbacks.withColumn("output_path", _output_path(layout, *place))
-    wanted = targets.where(F.col("dataset") != FUNDING)
-    resolved = coverage.resolve_archives(wanted, outcomes, fallbacks, request.premium_url)
-    resolved = materialise(resolved, layout.root)
+    resolved = scratch.keep(
+        coverage.resolve_archives(wanted, outcomes, fallbacks, request.premium_url)
+    )
     rows = pages.premium_rows(parsed, [*_DAY, "page_no"])
     stored = _stored_days(rows, resolved, PREMIUM, request.premium_url)
+    by_page = resolved.where(F.col("source_url") == request.premium_url)
     compaction.store_raw_candles(
         stored.select(
             "*",
@@ -257,32 +317,57 @@ def _refresh_candles(
         ),
         layout,
     )
+    tables.remove_raw(_emptied(by_page, PREMIUM), layout, PREMIUM)
     return resolved, touched
 
 
+#: Columns of the outcomes of page days.
+_FALLBACK = (
+    "symbol string, interval string, day string, checksum string, row_count bigint, "
+    "error_code string, error_message string, output_path string"
+)
+
+
+def _failed_premium(targets: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Premium targets whose archive gave no rows."""
+    premium = targets.where(F.col("dataset") == PREMIUM)
+    good = outcomes.where(F.col("row_count").isNotNull())
+    same = [premium[n].eqNullSafe(good[n]) for n in ("dataset", "symbol", "interval", "period")]
+    return premium.join(good, same, "left_anti")
+
+
+def _names(symbols: DataFrame) -> list[tuple[str, str]]:
+    """The two storage forms of each symbol."""
+    forms = symbols.select(
+        keys.symbol_key(F.col("symbol"), strict=False).alias("key"),
+        keys.storage_key(F.col("symbol"), strict=False).alias("stored"),
+    )
+    return [(row["key"], row["stored"]) for row in forms.where("key is not null").collect()]
+
+
 def _page_row(page_no: Column, position: Column) -> Column:
     """Place of an item within a day: page, then position."""
     return F.shiftleft(F.coalesce(page_no, F.lit(0).cast("bigint")), 20) + position
 
 
-def _in_days(df: DataFrame, request: Request) -> DataFrame:
-    """Pages of the requested days; monthly archives are replaced day by day, so whole months."""
+def _whole_days(request: Request) -> tuple[dt.date, dt.date]:
+    """The days that pages can be of; monthly archives are replaced day by day, so whole months."""
     start, end = request.start_day, request.end_day
     if request.granularity == "monthly":
         start = start.replace(day=1)
         end = (end.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
-    return df.where(F.col("day").between(start.isoformat(), end.isoformat()))
+    return start, end
 
 
-def _refresh_funding(
-    spark: SparkSession, landed: str, layout: Layout, request: Request, targets: DataFrame
-) -> DataFrame:
+def _refresh_funding(job: _Job) -> DataFrame:
     """Store funding events; returns resolved targets."""
-    glob = _period_glob(request)
-    rows, outcomes = _extracted(spark, landed, glob, targets, FUNDING, layout.root)
+    layout, request, scratch = job.layout, job.request, job.scratch
+    rows, outcomes = job.extracted(FUNDING)
+    outcomes = scratch.keep(outcomes)
     compaction.store_raw_funding(rows, layout)
-    texts, errors = _landed_pages(spark, landed, FUNDING)
-    parsed = materialise(pages.parse_funding_pages(_in_days(texts, request)), layout.root)
+    tables.remove_raw(_outcome_places(outcomes, empty=True), layout, FUNDING)
+    texts, errors = job.pages(FUNDING, job.names)
+    parsed = scratch.keep(pages.parse_funding_pages(texts))
     items = pages.funding_rows(parsed, [*_DAY, "page_no"])
     date = F.col("day").cast("date")
     inside = F.col("funding_millis").between(
@@ -290,10 +375,10 @@ def _refresh_funding(
     )
     events = funding.merge_pages(items.where(inside), keys=("symbol", "day"))
     counts = events.groupBy("symbol", "day").agg(F.count("*").alias("n"))
-    days = _day_outcomes(parsed, _in_days(errors, request), counts)
+    days = _day_outcomes(parsed, errors, counts)
     place = [F.lit(FUNDING), F.col("symbol"), F.col("interval"), F.col("day")]
     days = days.withColumn("output_path", _output_path(layout, *place)).drop("interval")
-    wanted = targets.where(F.col("dataset") == FUNDING)
+    wanted = job.targets.where(F.col("dataset") == FUNDING)
     archived = outcomes.withColumn(
         "error_code",
         F.coalesce(
@@ -301,9 +386,11 @@ def _refresh_funding(
             F.when(F.col("error_message").isNotNull(), FUNDING_ARCHIVE_EXCEPTION),
         ),
     )
-    resolved = coverage.resolve_funding(wanted, archived, days, request.funding_url)
-    resolved = materialise(resolved, layout.root)
+    resolved = scratch.keep(
+        coverage.resolve_funding(wanted, archived, days, request.funding_url)
+    )
     stored = _stored_days(events, resolved, FUNDING, request.funding_url)
+    by_page = resolved.where(F.col("source_url") == request.funding_url)
     compaction.store_raw_funding(
         stored.select(
             "*",
@@ -312,6 +399,7 @@ def _refresh_funding(
         ),
         layout,
     )
+    tables.remove_raw(_emptied(by_page, FUNDING), layout, FUNDING)
     return resolved
 
 
@@ -328,25 +416,29 @@ def ingest_landed(spark: SparkSession, root: str, landed: str, request: Request)
     symbols = _symbols(spark, request.symbols)
     datasets = [keys.require_dataset(name) for name in request.datasets]
     request = Request(**{**request.__dict__, "datasets": datasets})
-    targets = coverage.refresh_targets(
-        symbols,
-        datasets,
-        request.start_day,
-        request.end_day,
-        request.interval,
-        request.granularity,
-    )
-    targets = materialise(_addressed(targets, request, layout), root)
-    parts, touched = [], None
-    if any(name != FUNDING for name in datasets):
-        resolved, touched = _refresh_candles(spark, landed, layout, request, targets)
-        parts.append(resolved)
-    if FUNDING in datasets:
-        parts.append(_refresh_funding(spark, landed, layout, request, targets))
-    resolved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if request.compact and touched is not None:
-        compaction.compact_klines(spark, root, None, request.interval, touched=touched)
-    return _publish(spark, layout, request, symbols, resolved, started)
+    with Scratch(spark, root) as scratch:
+        symbols = scratch.keep(symbols)
+        targets = coverage.refresh_targets(
+            symbols,
+            datasets,
+            request.start_day,
+            request.end_day,
+            request.interval,
+            request.granularity,
+        )
+        targets = scratch.keep(_addressed(targets, request, layout))
+        # One pair of names per symbol, from which the folders to list are named.
+        job = _Job(spark, landed, layout, request, targets, _names(symbols), scratch)
+        parts, touched = [], None
+        if any(name != FUNDING for name in datasets):
+            resolved, touched = _refresh_candles(job)
+            parts.append(resolved)
+        if FUNDING in datasets:
+            parts.append(_refresh_funding(job))
+        resolved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if request.compact and touched is not None:
+            compaction.compact_klines(spark, root, None, request.interval, touched=touched)
+        return _publish(spark, layout, request, symbols, resolved, started)
 
 
 def _plan_order(request: Request) -> list[Column]:

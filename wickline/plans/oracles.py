@@ -182,7 +182,7 @@ minute_bars AS (
          arg_min("open", (epoch_ms(open_time), k)) AS o,
          arg_max("close", (epoch_ms(open_time), -k)) AS c
   FROM events_k GROUP BY 1, 2)
-SELECT symbol, CAST(floor(t / 10800) * 10800 AS BIGINT) AS bucket, CAST(0 AS BIGINT) AS part,
+SELECT symbol, CAST(floor(t / 10800) * 10800 AS BIGINT) AS bucket,
        count(*) AS bars, string_agg(CAST(t AS VARCHAR), ' ' ORDER BY t) AS timestamps,
        arg_min(o, t) AS first_open, arg_max(c, t) AS last_close
 FROM minute_bars GROUP BY 1, 2""",
@@ -351,6 +351,11 @@ FROM resolved""",
   SELECT c_custkey, replace(replace(url_encode(upper(trim(name))), '%3D', '='), '%25', '%') AS k
   FROM names)
 SELECT c_custkey, CASE WHEN regexp_full_match(k, '[A-Z0-9_%=-]+') THEN k END AS "key"
+FROM encoded""",
+    "canonical_symbols": f"""WITH {_NAMES}, encoded AS (
+  SELECT c_custkey, replace(replace(url_encode(upper(trim(name))), '%3D', '='), '%25', '%') AS k
+  FROM names)
+SELECT c_custkey, CASE WHEN regexp_full_match(k, '[A-Z0-9_%=-]+') THEN url_decode(k) END AS symbol
 FROM encoded""",
     "storage_key": f"""WITH {_NAMES}
 SELECT c_custkey, replace(url_encode(name), '%3D', '=') AS "key" FROM names""",

@@ -53,9 +53,10 @@ def status(spark: SparkSession, root: str) -> DataFrame:
 
 
 def local_symbols(spark: SparkSession, root: str) -> DataFrame:
-    """Symbols with raw candles, ordered. Only partition values are read."""
-    rows = tables.read_raw_candles(spark, Layout(root), KLINES)
-    return rows.select("symbol").distinct().orderBy("symbol")
+    """Symbols with raw candles, ordered. No file is opened."""
+    folder = f"{Layout(root).raw_candles}/dataset={KLINES}"
+    found = listing.partition_values(spark, folder, ["symbol"])
+    return found.select("symbol").distinct().orderBy("symbol")
 
 
 def plan(spark: SparkSession, root: str) -> DataFrame:
@@ -77,12 +78,13 @@ def local_observations(spark: SparkSession, root: str) -> DataFrame:
     """What the stored tables show per dataset, interval, symbol and period."""
     layout = Layout(root)
     candles = status_operators.compacted_observations(tables.read_compacted(spark, layout))
-    premium = tables.read_raw_candles(spark, layout, PREMIUM)
-    funding = tables.read_raw_funding(spark, layout)
+    raw = f"{layout.raw_candles}/dataset={PREMIUM}"
+    premium = listing.partition_values(spark, raw, tables.RAW_PARTITIONS[1:])
+    funding = listing.partition_values(spark, layout.raw_funding, tables.FUNDING_PARTITIONS)
 
     def of_periods(rows: DataFrame, dataset: str, interval: str | None) -> DataFrame:
         column = F.col(interval) if interval else F.lit(None).cast("string")
-        # Partition values alone, so no column is read from the files.
+        # Names of directories alone, so no file is opened.
         periods = rows.select(column.alias("interval"), "symbol", "period").distinct()
         return periods.select(
             F.lit(dataset).alias("dataset"),

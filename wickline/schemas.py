@@ -90,6 +90,11 @@ UNIVERSE = T.StructType(
     ]
 )
 
+#: Stored candles of a timeframe, in seconds.
+RESAMPLED = _struct(
+    timestamp=_L, open=_D, high=_D, low=_D, close=_D, volume=_D, timeframe=_L, symbol=_S, year=_S
+)
+
 #: Raw partitions holding rows of other days than their own period.
 STRAY = _struct(dataset=_S, symbol=_S, interval=_S, period=_S)
 

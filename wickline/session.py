@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,8 @@ SQL_SETTINGS = {
 }
 
 
-#: Input bytes per shuffle partition, and the most partitions asked for.
+#: Input bytes per shuffle partition.
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 65_536
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -35,30 +35,66 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
-    wanted = min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+    wanted = -(-input_bytes // PARTITION_BYTES)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
-def scratch_uri(spark: SparkSession, fallback: str) -> str:
-    """A fresh folder for intermediate tables.
+def _file_system(spark: SparkSession, uri: str):
+    """The file system of a path, the qualified path, and the name of its scheme."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(path), system.getUri().getScheme()
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``; only where
-    that is unset does it lie under ``fallback`` (the data root).
+
+class Scratch:
+    """Intermediate tables of one job, all in one folder that is removed when the job ends.
+
+    The folder lies in the one named by ``spark.checkpoint.dir``. Where that is
+    unset, or is machine-local while the data root is not, it lies below the
+    data root. What a killed driver leaves behind is removed by the next job once
+    it is older than ``KEPT_HOURS``.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared if shared else f"{fallback.rstrip('/')}/scratch"
-    return f"{base.rstrip('/')}/wickline-{uuid.uuid4().hex}"
 
+    KEPT_HOURS = 48
+    _NAME = "wickline-"
 
-def materialise(df: DataFrame, fallback: str) -> DataFrame:
-    """Write ``df`` once as a shared Parquet table and read it back.
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self._spark = spark
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared and _file_system(spark, shared)[2] == "file" != _file_system(spark, root)[2]:
+            shared = None
+        self._base = (shared or f"{root.rstrip('/')}/scratch").rstrip("/")
+        self.folder = f"{self._base}/{self._NAME}{uuid.uuid4().hex}"
 
-    Used where one expensive result feeds several outputs: the written table
-    survives the loss of executors, and each consumer prunes its own columns.
-    """
-    spark = df.sparkSession
-    path = scratch_uri(spark, fallback)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def __enter__(self) -> Scratch:
+        system, base, _ = _file_system(self._spark, self._base)
+        if system.exists(base):
+            oldest = (time.time() - self.KEPT_HOURS * 3600) * 1000
+            for entry in system.listStatus(base):
+                if entry.getPath().getName().startswith(self._NAME) and entry.getModificationTime() < oldest:
+                    system.delete(entry.getPath(), True)
+        return self
+
+    def __exit__(self, *_failure: object) -> None:
+        system, folder, _ = _file_system(self._spark, self.folder)
+        system.delete(folder, True)
+        if self._base.endswith("/scratch"):
+            system.delete(folder.getParent(), False) if not system.listStatus(folder.getParent()) else None
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written once as a Parquet table and read back.
+
+        Used where one expensive result feeds several outputs: the written table
+        survives the loss of executors, and each consumer prunes its own columns.
+        """
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        system, folder, _ = _file_system(spark, path)
+        system.delete(folder, True)

@@ -6,6 +6,7 @@ import io
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
@@ -23,76 +24,37 @@ from wickline.constants import (
 )
 from wickline.sources import listing
 
-#: Checksum tables up to this many bytes are broadcast to the zip scan.
-BROADCAST_BYTES = 64 * 1024 * 1024
-#: Archives that unpack to more than this are read twice instead of held in memory.
-HOLD_BYTES = 64 * 1024 * 1024
 #: Bytes of CSV per Arrow batch.
 BLOCK_BYTES = 4 * 1024 * 1024
 
 _SUFFIX = ".CHECKSUM"
 
 
-def read_zips(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Landed archives: ``path``, ``content``."""
-    return listing.files(spark, path, glob, content=True).select("path", "content")
+def read_zips(
+    spark: SparkSession, path: str, glob: str = "*.zip", named: Column | None = None
+) -> DataFrame:
+    """Landed archives: ``path``, ``content``. ``named`` limits them by file metadata, unopened."""
+    found = listing.files(spark, path, glob, content=True, named=named)
+    return found.select("path", "content")
 
 
-def read_checksums(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+def read_checksums(
+    spark: SparkSession, path: str, glob: str = "*.zip", named: Column | None = None
+) -> DataFrame:
     """Landed checksum texts under the path of their archive: ``path``, ``checksum_text``."""
-    found = listing.files(spark, path, glob + _SUFFIX, content=True)
+    found = listing.files(spark, path, glob + _SUFFIX, content=True, named=named)
     return found.select(
         F.regexp_replace("path", r"\.CHECKSUM$", "").alias("path"),
         F.decode("content", "UTF-8").alias("checksum_text"),
     )
 
 
-def checksum_bytes(spark: SparkSession, path: str, glob: str = "*.zip") -> int:
-    """Size of the landed checksum texts with their paths, from file metadata alone."""
-    found = listing.files(spark, path, glob + _SUFFIX)
-    total = found.agg(F.sum(F.col("length") + F.length("path"))).first()[0]
-    return int(total or 0)
-
-
 def checksum_token(text: Column) -> Column:
     """First token of a checksum text when it has the length of a SHA-256, else NULL."""
     token = F.element_at(F.split(F.regexp_replace(text, r"^\s+", ""), r"\s+"), 1)
     return F.when(F.length(token) == SHA256_HEX_LENGTH, token)
 
 
-def verify(zips: DataFrame, checksums: DataFrame, broadcast_checksums: bool = False) -> DataFrame:
-    """Archives with their ``checksum`` and, where it does not hold, an error.
-
-    Adds ``checksum``, ``error_code`` and ``error_message``; ``content`` stays
-    only for good archives. With ``broadcast_checksums`` (decided by the caller
-    from :func:`checksum_bytes`) the archive bytes are never shuffled. Otherwise
-    they move once to a hashed, unsorted join.
-    """
-    side = checksums.select(
-        "path",
-        checksum_token(F.col("checksum_text")).alias("expected"),
-        F.lit(True).alias("landed"),
-    )
-    side = F.broadcast(side) if broadcast_checksums else side.hint("shuffle_hash")
-    joined = zips.withColumn("checksum", F.sha2("content", 256)).join(side, "path", "left")
-    differs = F.col("checksum") != F.col("expected")
-    invalid = F.col("expected").isNull()
-    message = (
-        F.when(F.col("landed").isNull(), F.lit("no checksum landed"))
-        .when(invalid, F.lit("invalid checksum payload"))
-        .when(differs, F.concat_ws(" ", F.lit("expected"), "expected", F.lit("got"), "checksum"))
-    )
-    # NULL code with a message: the archive raised instead of failing its checksum.
-    code = F.when(~invalid & differs, F.lit(CHECKSUM_MISMATCH))
-    good = ~invalid & ~differs
-    return (
-        joined.withColumn("error_code", code)
-        .withColumn("error_message", message)
-        .withColumn("content", F.when(good, F.col("content")))
-        .drop("expected", "landed")
-    )
-
-
 # Arrow forms of the two kinds of extracted rows.
 _KLINE_FIELDS = [
     ("open_millis", pa.int64()),
@@ -105,9 +67,9 @@ _KLINE_FIELDS = [
 ]
 _FUNDING_FIELDS = [("funding_millis", pa.int64()), ("funding_rate", pa.float64())]
 
-_CARRIED = "path string, checksum string, error_code string, error_message string"
+_CARRIED = "path string, checksum string, error_message string"
 #: Row schemas of the extraction. ``source_row`` is NULL on the one outcome row
-#: each archive gives besides its data rows; that row carries the row count.
+#: each archive gives behind its data rows; that row carries the row count.
 KLINE_EXTRACT = (
     f"{_CARRIED}, row_count bigint, source_row bigint, open_millis bigint, open double, "
     "high double, low double, close double, volume double, trade_count bigint"
@@ -136,7 +98,6 @@ class _Member:
             raise ValueError(f"expected exactly one CSV in archive, got {names}")
         self._name = names[0]
         self._fields = _FUNDING_FIELDS if funding else _KLINE_FIELDS
-        self.size = self._archive.getinfo(self._name).file_size
         if funding:
             header, wanted = True, [FUNDING_ARCHIVE_TIME, FUNDING_ARCHIVE_RATE]
         else:
@@ -173,79 +134,93 @@ class _Member:
 
 def _extractor(funding: bool):
     fields = _FUNDING_FIELDS if funding else _KLINE_FIELDS
-    carried = ["path", "checksum", "error_code", "error_message"]
     schema = pa.schema(
-        [(n, pa.string()) for n in carried]
+        [(n, pa.string()) for n in ("path", "checksum", "error_message")]
         + [("row_count", pa.int64()), ("source_row", pa.int64())]
         + fields
     )
 
-    def outcome(row: dict, row_count: int | None, error: str | None) -> pa.RecordBatch:
-        values = {n: [row.get(n)] for n in carried}
-        values["error_message"] = [row["error_message"] if error is None else error]
-        values["row_count"] = [row_count]
-        arrays = [pa.array(values.get(f.name, [None]), f.type) for f in schema]
-        return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    def data(row: dict, first: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
-        arrays = []
-        for field in schema:
-            if field.name in batch.schema.names:
-                arrays.append(batch.column(field.name))
-            elif field.name == "source_row":
-                arrays.append(pa.array(range(first, first + n), pa.int64()))
-            elif field.name in ("path", "checksum"):
-                arrays.append(pa.array([row[field.name]] * n, pa.string()))
-            else:
-                arrays.append(pa.nulls(n, field.type))
+    def filled(n: int, known: dict[str, pa.Array]) -> pa.RecordBatch:
+        arrays = [known[f.name] if f.name in known else pa.nulls(n, f.type) for f in schema]
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    def one(row: dict) -> Iterator[pa.RecordBatch]:
-        if row["content"] is None:
-            yield outcome(row, None, None)
-            return
+    def one(path: str, checksum: str, content: bytes) -> Iterator[pa.RecordBatch]:
+        total, error = 0, None
         try:
-            member = _Member(row["content"], funding)
-            if member.size <= HOLD_BYTES:
-                parsed = list(member.batches())
-                total = sum(batch.num_rows for batch in parsed)
-            else:
-                # Checked to the end first: a bad cell anywhere rejects it all.
-                parsed = None
-                total = sum(batch.num_rows for batch in member.batches())
+            for batch in _Member(content, funding).batches():
+                n = batch.num_rows
+                known = dict(zip(batch.schema.names, batch.columns, strict=True))
+                known["source_row"] = pa.array(np.arange(total, total + n))
+                known["path"] = pa.repeat(pa.scalar(path, pa.string()), n)
+                known["checksum"] = pa.repeat(pa.scalar(checksum, pa.string()), n)
+                yield filled(n, known)
+                total += n
         except (OSError, ValueError, KeyError, zipfile.BadZipFile, pa.ArrowException) as exc:
-            yield outcome(row, None, str(exc))
-            return
-        first = 0
-        for batch in parsed if parsed is not None else member.batches():
-            yield data(row, first, batch)
-            first += batch.num_rows
-        yield outcome(row, total, None)
+            error = str(exc)
+        outcome = {"path": path, "checksum": checksum, "error_message": error}
+        outcome["row_count"] = total if error is None else None
+        yield filled(1, {n: pa.array([v], schema.field(n).type) for n, v in outcome.items()})
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                yield from one(row)
+                yield from one(*(batch.column(n)[i].as_py() for n in ("path", "checksum", "content")))
 
     return extract
 
 
-def extract(verified: DataFrame, funding: bool = False) -> DataFrame:
-    """Rows and outcomes of verified archives in one pass; all of an archive or nothing of it.
+def extract(zips: DataFrame, funding: bool = False) -> DataFrame:
+    """Rows and outcomes of archives (``path``, ``content``) in one streaming pass where they are read.
 
-    Data rows have ``source_row`` (their line number). Each archive also gives one
-    outcome row, without ``source_row``: its ``row_count``, or its error.
+    Data rows have ``source_row`` (their line number). Behind them each archive
+    gives one outcome row, without ``source_row``: its ``row_count``, or why it
+    cannot be read. Whether it counts is for :func:`archive_outcomes` to say; no
+    join ever carries the bytes.
     """
-    archives = verified.select("path", "checksum", "error_code", "error_message", "content")
-    schema = FUNDING_EXTRACT if funding else KLINE_EXTRACT
-    return archives.mapInArrow(_extractor(funding), schema)
+    hashed = zips.select("path", F.sha2("content", 256).alias("checksum"), "content")
+    return hashed.mapInArrow(_extractor(funding), FUNDING_EXTRACT if funding else KLINE_EXTRACT)
 
 
-def kline_rows(extracted: DataFrame) -> DataFrame:
+def archive_outcomes(extracted: DataFrame, checksums: DataFrame) -> DataFrame:
+    """One row per archive: ``path``, ``checksum``, ``row_count``, ``error_code``, ``error_message``.
+
+    An archive without its landed checksum, or with another one, has failed
+    whatever it holds. One row an archive is joined.
+    """
+    side = checksums.select(
+        "path",
+        checksum_token(F.col("checksum_text")).alias("expected"),
+        F.lit(True).alias("landed"),
+    )
+    outcome = extracted.where(F.col("source_row").isNull())
+    joined = outcome.select("path", "checksum", "row_count", "error_message").join(side, "path", "left")
+    invalid = F.col("expected").isNull()
+    differs = ~invalid & (F.col("checksum") != F.col("expected"))
+    message = (
+        F.when(F.col("landed").isNull(), F.lit("no checksum landed"))
+        .when(invalid, F.lit("invalid checksum payload"))
+        .when(differs, F.concat_ws(" ", F.lit("expected"), "expected", F.lit("got"), "checksum"))
+        .otherwise(F.col("error_message"))
+    )
+    return joined.select(
+        "path",
+        "checksum",
+        F.when(message.isNull(), F.col("row_count")).alias("row_count"),
+        # NULL code with a message: the archive raised instead of failing its checksum.
+        F.when(differs, F.lit(CHECKSUM_MISMATCH)).alias("error_code"),
+        message.alias("error_message"),
+    )
+
+
+def good_rows(extracted: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Data rows of the archives that did not fail: all of an archive or nothing of it."""
+    bad = outcomes.where(F.col("row_count").isNull()).select("path")
+    return extracted.where(F.col("source_row").isNotNull()).join(bad, "path", "left_anti")
+
+
+def kline_rows(rows: DataFrame) -> DataFrame:
     """Data rows of a kline extraction: ``path``, ``source_row``, KLINE columns."""
-    return extracted.where(F.col("source_row").isNotNull()).select(
+    return rows.select(
         "path",
         "source_row",
         F.timestamp_millis("open_millis").alias("open_time"),
@@ -258,18 +233,12 @@ def kline_rows(extracted: DataFrame) -> DataFrame:
     )
 
 
-def funding_rows(extracted: DataFrame) -> DataFrame:
+def funding_rows(rows: DataFrame) -> DataFrame:
     """Data rows of a funding extraction: ``path``, ``source_row``, FUNDING columns."""
-    return extracted.where(F.col("source_row").isNotNull()).select(
+    return rows.select(
         "path",
         "source_row",
         F.timestamp_millis("funding_millis").alias("funding_time"),
         "funding_rate",
         F.lit(None).cast("double").alias("mark_price"),
     )
-
-
-def archive_outcomes(extracted: DataFrame) -> DataFrame:
-    """One row per archive: ``path``, ``checksum``, ``row_count``, ``error_code``, ``error_message``."""
-    outcome = extracted.where(F.col("source_row").isNull())
-    return outcome.select("path", "checksum", "row_count", "error_code", "error_message")

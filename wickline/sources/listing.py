@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +32,50 @@ def or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def files(spark: SparkSession, path: str, glob: str = "*", content: bool = False) -> DataFrame:
+def files(
+    spark: SparkSession,
+    path: str,
+    glob: str = "*",
+    content: bool = False,
+    named: Column | None = None,
+) -> DataFrame:
     """Files below ``path``: ``path``, ``length``, ``modificationTime`` and maybe ``content``.
 
-    Without ``content`` no file is opened.
+    Without ``content`` no file is opened. ``named`` is a test of ``_metadata``
+    columns, so that files which fail it are never opened either.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", glob)
-    found = or_empty(spark, lambda: reader.load(path), _FILE)
+
+    def load() -> DataFrame:
+        found = reader.load(path)
+        return found if named is None else found.where(named)
+
+    found = or_empty(spark, load, _FILE)
     return found if content else found.drop("content")
 
 
+def one_of(names: list[str]) -> str:
+    """A path segment that matches any of ``names`` (names of keys, without glob characters)."""
+    return "{" + ",".join(names) + "}"
+
+
+def partition_values(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """Distinct partition values below a table, from the names of its files' directories alone.
+
+    ``folder`` is the innermost directory.
+    """
+    found = files(spark, path, "*.parquet").select(
+        F.regexp_replace("path", "/[^/]+$", "").alias("folder")
+    )
+    columns = []
+    for name in names:
+        value = F.regexp_extract("folder", f"/{name}=([^/]*)", 1)
+        value = F.when(value != "__HIVE_DEFAULT_PARTITION__", keys.symbol_of_key(value))
+        columns.append(value.alias(name))
+    return found.distinct().select("folder", *columns)
+
+
 def segment(path: Column | str, from_end: int) -> Column:
     """Path segment counted from the end, 1 being the file name."""
     return F.try_element_at(F.split(path, "/"), F.lit(-from_end))
@@ -71,6 +106,7 @@ def find_raw_archives(
     dataset: str | None = None,
     symbol: str | None = None,
     interval: str | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Stored archives by optional dataset, symbol and interval, ordered by path.
 
@@ -86,7 +122,7 @@ def find_raw_archives(
     if interval is not None:
         checked = keys.require_interval(interval)
         found = found.where((F.col("dataset") != FUNDING) & (F.col("interval") == checked))
-    return found.orderBy("path")
+    return found.orderBy("path") if ordered else found
 
 
 def local_symbols(spark: SparkSession, raw_root: str) -> DataFrame:

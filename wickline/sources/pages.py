@@ -18,9 +18,11 @@ from wickline.functions import once, variants
 from wickline.sources import listing
 
 
-def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def read_texts(
+    spark: SparkSession, path: str, glob: str, named: Column | None = None
+) -> DataFrame:
     """One row per landed text file below ``path``: ``path``, ``text``. None when there is none."""
-    files = listing.files(spark, path, glob, content=True)
+    files = listing.files(spark, path, glob, content=True, named=named)
     return files.select("path", F.decode("content", "UTF-8").alias("text"))
 
 

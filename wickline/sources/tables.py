@@ -9,8 +9,10 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wickline.constants import (
+    FUNDING,
     FUNDING_RATE_NAMES,
     FUNDING_TIME_NAMES,
     MILLIS_THRESHOLD,
@@ -18,12 +20,14 @@ from wickline.constants import (
 )
 from wickline.functions import keys, numbers, times
 from wickline.operators.candles import OHLCV
-from wickline.schemas import COMPACTED, KLINE, RAW_FUNDING, RAW_KLINE
+from wickline.schemas import COMPACTED, KLINE, RAW_FUNDING, RAW_KLINE, RESAMPLED
+from wickline.session import remove_folders
 from wickline.sources import listing
 
 RAW_PARTITIONS = ("dataset", "symbol", "interval", "period")
 FUNDING_PARTITIONS = ("symbol", "period")
 COMPACTED_PARTITIONS = ("symbol", "interval", "year")
+RESAMPLED_PARTITIONS = ("timeframe", "symbol", "year")
 
 
 @dataclass(frozen=True)
@@ -47,26 +51,69 @@ class Layout:
     def klines(self) -> str:
         return self._at("klines")
 
+    @property
+    def resampled(self) -> str:
+        return self._at("resampled")
+
     def ledger(self, name: str) -> str:
         return self._at(f"ledger/{name}")
 
 
-def read_raw_candles(spark: SparkSession, layout: Layout, dataset: str) -> DataFrame:
-    """Raw candles of a dataset; filters on symbol, interval and period prune directories."""
-    reader = spark.read.schema(RAW_KLINE)
-    rows = listing.or_empty(spark, lambda: reader.parquet(layout.raw_candles), RAW_KLINE)
+def _segments(symbols: Sequence[str] | None) -> str:
+    """Glob of the ``symbol=`` directories. Spark writes special characters as ``%XX``."""
+    if symbols is None:
+        return "symbol=*"
+    special = "\"#%'*/:=?\\\x7f{[]^"
+    names = [
+        "".join(f"%{ord(c):02X}" if c in special or c < " " else "?" if c == "," else c for c in name)
+        for name in symbols
+    ]
+    return "symbol=" + listing.one_of(names)
+
+
+def _read_below(spark: SparkSession, base: str, below: str, schema: StructType) -> DataFrame:
+    """A partitioned table, listed from the directories that match ``below`` on."""
+    reader = spark.read.schema(schema).option("basePath", base)
+    return listing.or_empty(spark, lambda: reader.parquet(f"{base}/{below}"), schema)
+
+
+def read_raw_candles(
+    spark: SparkSession,
+    layout: Layout,
+    dataset: str,
+    symbols: Sequence[str] | None = None,
+    interval: str | None = None,
+) -> DataFrame:
+    """Raw candles of a dataset; what is named here is all that is listed.
+
+    Filters on symbol, interval and period prune directories.
+    """
+    below = f"dataset={dataset}/{_segments(symbols)}/interval={interval or '*'}"
+    rows = _read_below(spark, layout.raw_candles, below, RAW_KLINE)
     return rows.where(F.col("dataset") == dataset)
 
 
-def read_raw_funding(spark: SparkSession, layout: Layout) -> DataFrame:
-    reader = spark.read.schema(RAW_FUNDING)
-    return listing.or_empty(spark, lambda: reader.parquet(layout.raw_funding), RAW_FUNDING)
+def read_raw_funding(
+    spark: SparkSession, layout: Layout, symbols: Sequence[str] | None = None
+) -> DataFrame:
+    return _read_below(spark, layout.raw_funding, _segments(symbols), RAW_FUNDING)
 
 
-def read_compacted(spark: SparkSession, layout: Layout) -> DataFrame:
+def read_compacted(
+    spark: SparkSession,
+    layout: Layout,
+    symbols: Sequence[str] | None = None,
+    interval: str | None = None,
+) -> DataFrame:
     """Compacted candles; no rows where nothing has been compacted. Raw rows are never used."""
-    reader = spark.read.schema(COMPACTED)
-    return listing.or_empty(spark, lambda: reader.parquet(layout.klines), COMPACTED)
+    below = f"{_segments(symbols)}/interval={interval or '*'}"
+    return _read_below(spark, layout.klines, below, COMPACTED)
+
+
+def read_resampled(spark: SparkSession, layout: Layout, bucket_seconds: int) -> DataFrame:
+    """Stored candles of one timeframe, see ``streaming.incremental.resample_new_rows``."""
+    rows = _read_below(spark, layout.resampled, f"timeframe={bucket_seconds}", RESAMPLED)
+    return rows.drop("timeframe", "year")
 
 
 def _replace(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -75,16 +122,22 @@ def _replace(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     writer.option("compression", "zstd").partitionBy(*partitions).parquet(path)
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows``; a row without a symbol is an error, as all such would share a partition."""
+    message = F.lit("raw row without a symbol")
+    return rows.withColumn("symbol", F.coalesce("symbol", F.raise_error(message).cast("string")))
+
+
 def write_raw_candles(rows: DataFrame, layout: Layout) -> None:
     """Replace the raw (dataset, symbol, interval, period) partitions of ``rows``.
 
     An archive is one partition and comes out of one task, so nothing is shuffled.
     """
-    _replace(rows.select(*RAW_KLINE.names), layout.raw_candles, RAW_PARTITIONS)
+    _replace(_named(rows).select(*RAW_KLINE.names), layout.raw_candles, RAW_PARTITIONS)
 
 
 def write_raw_funding(rows: DataFrame, layout: Layout) -> None:
-    _replace(rows.select(*RAW_FUNDING.names), layout.raw_funding, FUNDING_PARTITIONS)
+    _replace(_named(rows).select(*RAW_FUNDING.names), layout.raw_funding, FUNDING_PARTITIONS)
 
 
 def write_compacted(rows: DataFrame, layout: Layout) -> None:
@@ -100,6 +153,33 @@ def write_compacted(rows: DataFrame, layout: Layout) -> None:
     _replace(ordered, layout.klines, COMPACTED_PARTITIONS)
 
 
+def write_resampled(rows: DataFrame, layout: Layout) -> None:
+    """Replace the (timeframe, symbol, year) partitions of ``rows``, clustered by these columns."""
+    ordered = rows.select(*RESAMPLED.names).sortWithinPartitions(
+        *RESAMPLED_PARTITIONS, "timestamp"
+    )
+    _replace(ordered, layout.resampled, RESAMPLED_PARTITIONS)
+
+
+def remove_raw(places: DataFrame, layout: Layout, dataset: str) -> None:
+    """Remove the raw partitions of ``places`` that exist: periods replaced by nothing.
+
+    Their completion is in the source ledger. Symbols to look below, and folders
+    found there, are all that reaches the driver.
+    """
+    spark = places.sparkSession
+    owners = [row["symbol"] for row in places.select("symbol").distinct().collect()]
+    if not owners:
+        return
+    if dataset == FUNDING:
+        base, names = layout.raw_funding, list(FUNDING_PARTITIONS)
+    else:
+        base, names = f"{layout.raw_candles}/dataset={dataset}", list(RAW_PARTITIONS[1:])
+    found = listing.partition_values(spark, f"{base}/{_segments(owners)}", names)
+    gone = found.join(places.select(*names).distinct(), names, "left_semi")
+    remove_folders(spark, [row["folder"] for row in gone.select("folder").collect()])
+
+
 # --- archives written by others: one file per period, column types vary by file ---
 
 

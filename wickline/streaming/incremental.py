@@ -6,14 +6,17 @@ new since the last run, as a refresh does, and then stop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wickline.constants import DEFAULT_INTERVAL, KLINES
+from wickline.functions import times
 from wickline.operators import candles
 from wickline.plans import compaction
 from wickline.schemas import RAW_KLINE
+from wickline.session import Scratch
+from wickline.sources import tables
 from wickline.sources.tables import Layout
 
 
@@ -43,32 +46,57 @@ def compact_new_rows(
     rows = rows.where(F.col("interval") == interval).select("symbol", "interval", "open_time")
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        touched = compaction.touched_years(batch)
-        compaction.compact_klines(
-            batch.sparkSession, root, interval=interval, touched=touched
-        )
+        session = batch.sparkSession
+        with Scratch(session, root) as scratch:
+            touched = scratch.keep(compaction.touched_years(batch))
+            compaction.compact_klines(session, root, interval=interval, touched=touched)
 
     writer = rows.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def stream_resample(rows: DataFrame, bucket_seconds: int, lateness: str = "1 day") -> DataFrame:
-    """OHLCV per symbol and bucket of a stream of candles with unique times.
+def resample_new_rows(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    bucket_seconds: int,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Bring the stored candles of one timeframe up to date with new raw minutes, then stop.
 
-    In append mode a bucket is emitted once the watermark has passed its end, so
-    the youngest buckets wait for later rows.
+    Each batch first compacts the years it touches. Then the years that hold a
+    bucket of one of its rows are resampled again from all their compacted
+    minutes and replaced, by the same function as the batch read. Late, repeated
+    and incomplete rows so count as they do there, and nothing is withheld.
     """
-    typed = rows.select("symbol", "open_time", *candles.OHLCV).where(
-        F.col("open_time").isNotNull()
-    )
-    window = F.window("open_time", f"{bucket_seconds} seconds")
-    buckets = typed.withWatermark("open_time", lateness).groupBy("symbol", window)
-    return buckets.agg(
-        F.min_by("open", "open_time").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", "open_time").alias("close"),
-        F.sum("volume").alias("volume"),
-    ).select(
-        "symbol", F.unix_seconds("window.start").alias("timestamp"), *candles.OHLCV
-    )
+    layout = Layout(root)
+    rows = raw_candle_stream(spark, root, files_per_batch=files_per_batch)
+    rows = rows.where(F.col("interval") == DEFAULT_INTERVAL)
+    rows = rows.select("symbol", "interval", "open_time")
+
+    def bucket_year(second: Column) -> Column:
+        start = times.bucket_start(second, bucket_seconds)
+        return F.date_format(F.timestamp_seconds(start), "yyyy")
+
+    def replace(batch: DataFrame, _batch_id: int) -> None:
+        session = batch.sparkSession
+        with Scratch(session, root) as scratch:
+            second = times.epoch_seconds(batch, "open_time")
+            new = batch.select("symbol", "interval", "open_time", bucket_year(second).alias("year"))
+            new = scratch.keep(new.where(F.col("open_time").isNotNull()).distinct())
+            touched = scratch.keep(compaction.touched_years(new))
+            compaction.compact_klines(session, root, interval=DEFAULT_INTERVAL, touched=touched)
+            # Symbols of a batch and years of the calendar: bounded.
+            places = scratch.keep(new.select("symbol", "year").distinct())
+            owners = [row["symbol"] for row in places.select("symbol").distinct().collect()]
+            if not owners:
+                return
+            minutes = tables.read_compacted(session, layout, owners, DEFAULT_INTERVAL).drop("year")
+            year = bucket_year(times.epoch_seconds(minutes, "open_time"))
+            minutes = minutes.withColumn("year", year).join(places, ["symbol", "year"], "left_semi")
+            frames = candles.resample(minutes, bucket_seconds, keys=("symbol", "year"))
+            frames = frames.withColumn("timeframe", F.lit(bucket_seconds).cast("bigint"))
+            tables.write_resampled(frames.repartition("timeframe", "symbol", "year"), layout)
+
+    writer = rows.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
