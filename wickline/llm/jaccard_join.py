@@ -8,12 +8,12 @@ result is the connected components of all links.
 2. The global order of grams runs from rare to frequent. What is frequent is
    found by counts within tasks; that list is bounded and broadcast. Any order
    gives the same links, a good one gives fewer candidates.
-3. Vertical partitions. Candidates need only the first fragment of each set:
-   linked sets share a gram whose places in both leave room for the overlap
-   asked for. These postings are shuffled by gram; those of a frequent gram are
-   dealt out further.
+3. Vertical partitions. Candidates need only the first fragment of each set.
+   Its postings are shuffled by gram; those of a frequent gram are dealt out
+   further. Linked sets have a number of these grams in common that follows from
+   their sizes, and few that nobody else has.
 4. A gram's classes are first compared with one center, the class with the
-   fewest rarer grams, not with each other. After the links so found are closed
+   fewest such lone grams, not with each other. After the links so found are closed
    into components, only pairs of different components are candidates, so a
    group of copies costs its size and not its square, and no link that joins
    components is lost.
@@ -178,11 +178,11 @@ def _least_overlap(n: Column, m: Column) -> Column:
 
 
 def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """First fragments: (gram, dealt, set, n, at) for the grams that may be a pair's first common one.
+    """First fragments: (gram, dealt, set, n), the rarest grams of each set.
 
-    ``at`` is the gram's place in its set under the global order. A set of n
-    grams links with none of fewer than 0.75 n, so only the first n / 4 matter.
-    ``dealt`` is -1, or spreads a frequent gram. A task names a class once.
+    A set of n grams links with none of fewer than 0.75 n, so any linked set has
+    one of the first ``_reach(n)``. ``dealt`` is -1, or spreads a frequent gram.
+    A task names a class once.
     """
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -199,7 +199,6 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
                 if len(listed):
                     found = np.minimum(np.searchsorted(listed, own), len(listed) - 1)
                     level = np.where(listed[found] == own, power[found], np.int8(0))
-                # The smallest partner has ceil(0.75 n) grams, all of them shared.
                 reach = n - (PERCENT * n + 99) // 100 + 1
                 chosen = np.argsort(level, kind="stable")[:reach]
                 grams.append(own[chosen])
@@ -216,12 +215,11 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
                     pa.array(np.where(np.concatenate(hot), which % DEALT, -1).astype(np.int8)),
                     pa.array(which),
                     pa.array(np.repeat(np.array(sizes, np.int32), reaches)),
-                    pa.array(np.concatenate([np.arange(r, dtype=np.int32) for r in reaches])),
                 ],
-                names=["gram", "dealt", "set", "n", "at"],
+                names=["gram", "dealt", "set", "n"],
             )
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(first, "gram long, dealt byte, set long, n int, at int")
+    return docs.select(text_or_empty().alias("text")).mapInArrow(first, "gram long, dealt byte, set long, n int")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -251,41 +249,60 @@ def _shared(postings: DataFrame) -> DataFrame:
             yield last
 
     dealt = postings.repartition("gram", "dealt").sortWithinPartitions("gram", "set")
-    kept = dealt.mapInArrow(company, postings.schema)
-    # Sets of one length class differ in size by less than the similarity asks for.
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / PERCENT))).cast("int")
-    return stored(kept.select("gram", "set", "n", "at", band.alias("band")), "postings")
+    kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "n"), "postings")
+    # Grams of a first fragment that no other class has are missing from every overlap.
+    lone = kept.groupBy("set").agg((_reach(F.max("n")) - F.count("*")).cast("int").alias("lone"))
+    # Sets of one band differ in size by less than the similarity asks for.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
+    return stored(kept.join(lone, "set").withColumn("band", band), "postings")
+
+
+def _reach(n: Column) -> Column:
+    """How many grams the first fragment has: the smallest partner has ceil(0.75 n), all of them common."""
+    return n - F.ceil(PERCENT * n / F.lit(100)) + 1
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether sizes and places leave room for the least overlap, if the gram is the first common one."""
+    """Whether sizes and lone grams leave room for the least overlap."""
     least = _least_overlap(F.col(f"{a}.n"), F.col(f"{b}.n"))
-    return (F.col(f"{a}.n") - F.col(f"{a}.at") >= least) & (F.col(f"{b}.n") - F.col(f"{b}.at") >= least)
+    return (F.col(f"{a}.n") - F.col(f"{a}.lone") >= least) & (F.col(f"{b}.n") - F.col(f"{b}.lone") >= least)
+
 
+def _pairs(joined: DataFrame, share: float = 1.0) -> DataFrame:
+    """(a, b, n_a, n_b), a < b, of the pairs with enough common grams in their first fragments.
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    """Distinct (a, b, n_a, n_b) with a < b."""
+    The first fragment that ends earlier in the order holds all common grams up
+    to its end, and all others of that set lie behind it: its set has n - reach.
+    """
     swap = F.col("x.set") > F.col("y.set")
     both = [F.when(swap, F.col(f"{q}.{c}")).otherwise(F.col(f"{p}.{c}")) for c in ("set", "n") for p, q in (("x", "y"), ("y", "x"))]
-    return joined.select(*(c.alias(name) for c, name in zip(both, ("a", "b", "n_a", "n_b"), strict=True))).distinct()
+    named = [c.alias(name) for c, name in zip(both, ("a", "b", "n_a", "n_b"), strict=True)]
+    counted = joined.select(*named).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
+    n, m = F.col("n_a"), F.col("n_b")
+    least = _least_overlap(n, m) - F.greatest(n - _reach(n), m - _reach(m))
+    return counted.where(F.col("common") >= F.greatest(F.lit(1), share * least)).drop("common")
 
 
 def _star_pairs(shared: DataFrame) -> DataFrame:
-    """Each class with the center of each of its grams: the class with the fewest rarer grams."""
-    center = F.min(F.struct("at", "set", "n")).alias("c")
+    """Each class with the center of each of its grams: the class with the fewest lone grams.
+
+    Not all grams of a pair have the same center, so half of the common grams do.
+    """
+    center = F.min(F.struct("lone", "set", "n")).alias("c")
     centers = shared.groupBy("gram", "band").agg(center).select("gram", "band", "c.*")
     joined = shared.alias("x").join(centers.alias("y"), ["gram", "band"])
-    return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")))
+    return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")), share=0.5)
 
 
 def _remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of different components that share a gram; the largest component of a gram is not paired with itself."""
     label = F.coalesce(F.col("label"), F.col("set")).alias("label")
-    tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "at", label)
+    tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "lone", label)
     held = tagged.groupBy("gram", "label").agg(F.count("*").alias("many"))
     mixed = held.groupBy("gram").agg(F.max_by("label", "many").alias("main"), F.count("*").alias("kinds"))
     open_ = stored(tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram"), "open")
     x, y = open_.where("label != main").alias("x"), open_.alias("y")
+    # Each pair once a gram: the main component's classes only stand on the right.
     apart = (F.col("x.label") != F.col("y.label")) & (
         (F.col("y.label") == F.col("y.main")) | (F.col("x.set") < F.col("y.set"))
     )
