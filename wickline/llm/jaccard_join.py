@@ -10,8 +10,8 @@ result is the connected components of all links.
    gives the same links, a good one gives fewer candidates.
 3. Vertical partitions. Candidates need only the first fragment of each set.
    Its postings are shuffled by gram; those of a frequent gram are dealt out
-   further. Linked sets have a number of these grams in common that follows from
-   their sizes, and few that nobody else has.
+   further. Linked sets have a first common gram, and too few others before it,
+   or grams that nobody else has, to miss the overlap their sizes ask for.
 4. A gram's classes are first compared with one center, the class with the
    fewest such lone grams, not with each other. After the links so found are closed
    into components, only pairs of different components are candidates, so a
@@ -178,7 +178,7 @@ def _least_overlap(n: Column, m: Column) -> Column:
 
 
 def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """First fragments: (gram, dealt, set, n), the rarest grams of each set.
+    """First fragments: (gram, dealt, set, at), the rarest grams of each set in their order.
 
     A set of n grams links with none of fewer than 0.75 n, so any linked set has
     one of the first ``_reach(n)``. ``dealt`` is -1, or spreads a frequent gram.
@@ -189,7 +189,7 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, (listed, power), seen = _Hasher(), known.value, set()
         for batch in batches:
-            grams, hot, sets, sizes, reaches = [], [], [], [], []
+            grams, hot, sets, reaches = [], [], [], []
             for own in _gram_sets(batch, 0, hasher):
                 n, name = len(own), _signature(own)
                 if not n or name in seen:
@@ -204,7 +204,6 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
                 grams.append(own[chosen])
                 hot.append(level[chosen] > 0)
                 sets.append(name)
-                sizes.append(n)
                 reaches.append(reach)
             if not sets:
                 continue
@@ -214,15 +213,15 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
                     pa.array(np.concatenate(grams).view(np.int64)),
                     pa.array(np.where(np.concatenate(hot), which % DEALT, -1).astype(np.int8)),
                     pa.array(which),
-                    pa.array(np.repeat(np.array(sizes, np.int32), reaches)),
+                    pa.array(np.concatenate([np.arange(r, dtype=np.int32) for r in reaches])),
                 ],
-                names=["gram", "dealt", "set", "n"],
+                names=["gram", "dealt", "set", "at"],
             )
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(first, "gram long, dealt byte, set long, n int")
+    return docs.select(text_or_empty().alias("text")).mapInArrow(first, "gram long, dealt byte, set long, at int")
 
 
-def _shared(postings: DataFrame) -> DataFrame:
+def _shared(postings: DataFrame, classes: DataFrame) -> DataFrame:
     """Postings of grams that more than one class has, and of all frequent grams; one row per gram and class."""
 
     def company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,12 +248,15 @@ def _shared(postings: DataFrame) -> DataFrame:
             yield last
 
     dealt = postings.repartition("gram", "dealt").sortWithinPartitions("gram", "set")
-    kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "n"), "postings")
+    kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "at"), "postings")
     # Grams of a first fragment that no other class has are missing from every overlap.
-    lone = kept.groupBy("set").agg((_reach(F.max("n")) - F.count("*")).cast("int").alias("lone"))
+    own = kept.groupBy("set").agg(F.count("*").alias("common")).join(classes.select("set", "n"), "set")
     # Sets of one band differ in size by less than the similarity asks for.
     band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
-    return stored(kept.join(lone, "set").withColumn("band", band), "postings")
+    lone = (_reach(F.col("n")) - F.col("common")).cast("int")
+    own = own.select("set", "n", lone.alias("lone"), band.alias("band"))
+    # A set with nothing but lone grams in its first n / 4 cannot link.
+    return stored(kept.join(own, "set"), "postings")
 
 
 def _reach(n: Column) -> Column:
@@ -263,41 +265,34 @@ def _reach(n: Column) -> Column:
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether sizes and lone grams leave room for the least overlap."""
-    least = _least_overlap(F.col(f"{a}.n"), F.col(f"{b}.n"))
-    return (F.col(f"{a}.n") - F.col(f"{a}.lone") >= least) & (F.col(f"{b}.n") - F.col(f"{b}.lone") >= least)
+    """Whether the least overlap fits, if this gram is the first that both sets have.
 
+    The grams before it are missing from the overlap, and so are the lone ones.
+    """
+    least = _least_overlap(F.col(f"{a}.n"), F.col(f"{b}.n"))
+    room = [F.col(f"{s}.n") - F.greatest(f"{s}.at", f"{s}.lone") >= least for s in (a, b)]
+    return room[0] & room[1]
 
-def _pairs(joined: DataFrame, share: float = 1.0) -> DataFrame:
-    """(a, b, n_a, n_b), a < b, of the pairs with enough common grams in their first fragments.
 
-    The first fragment that ends earlier in the order holds all common grams up
-    to its end, and all others of that set lie behind it: its set has n - reach.
-    """
+def _pairs(joined: DataFrame) -> DataFrame:
+    """Distinct (a, b, n_a, n_b), a < b."""
     swap = F.col("x.set") > F.col("y.set")
     both = [F.when(swap, F.col(f"{q}.{c}")).otherwise(F.col(f"{p}.{c}")) for c in ("set", "n") for p, q in (("x", "y"), ("y", "x"))]
-    named = [c.alias(name) for c, name in zip(both, ("a", "b", "n_a", "n_b"), strict=True)]
-    counted = joined.select(*named).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
-    n, m = F.col("n_a"), F.col("n_b")
-    least = _least_overlap(n, m) - F.greatest(n - _reach(n), m - _reach(m))
-    return counted.where(F.col("common") >= F.greatest(F.lit(1), share * least)).drop("common")
+    return joined.select(*(c.alias(name) for c, name in zip(both, ("a", "b", "n_a", "n_b"), strict=True))).distinct()
 
 
 def _star_pairs(shared: DataFrame) -> DataFrame:
-    """Each class with the center of each of its grams: the class with the fewest lone grams.
-
-    Not all grams of a pair have the same center, so half of the common grams do.
-    """
-    center = F.min(F.struct("lone", "set", "n")).alias("c")
+    """Each class with the center of each of its grams: the class with the fewest lone grams."""
+    center = F.min(F.struct("lone", "set", "n", "at")).alias("c")
     centers = shared.groupBy("gram", "band").agg(center).select("gram", "band", "c.*")
     joined = shared.alias("x").join(centers.alias("y"), ["gram", "band"])
-    return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")), share=0.5)
+    return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")))
 
 
 def _remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of different components that share a gram; the largest component of a gram is not paired with itself."""
     label = F.coalesce(F.col("label"), F.col("set")).alias("label")
-    tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "lone", label)
+    tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "lone", "at", label)
     held = tagged.groupBy("gram", "label").agg(F.count("*").alias("many"))
     mixed = held.groupBy("gram").agg(F.max_by("label", "many").alias("main"), F.count("*").alias("kinds"))
     open_ = stored(tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram"), "open")
@@ -309,10 +304,10 @@ def _remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return _pairs(x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & _may_link("x", "y")))
 
 
-def _fragments_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+def _fragments_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, fragment, grams) of the classes ``wanted``, each from one of its documents."""
     spark = docs.sparkSession
-    needed = stored(wanted.distinct().join(classes, "set").select("set", "doc_id"), "needed")
+    needed = stored(wanted.distinct(), "needed")
     few = needed.count() <= BROADCAST_IDS
     names = None
     if few:  # 16 MB at most
@@ -351,10 +346,10 @@ def _fragments_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> Dat
     return stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose overlap, summed over the fragments, is large enough: (a, b)."""
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    cut = _fragments_of(docs, classes, ends)
+    cut = _fragments_of(docs, ends)
     left = cut.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = cut.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     met = pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -401,16 +396,16 @@ def join(docs: DataFrame) -> DataFrame:
     scanned = stored(_scanned(docs), "sets")
     rows = scanned.where("not is_gram").select("doc_id", F.col("hash").alias("set"), "n")
     total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
-    classes = stored(rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id")), "classes")
-    shared = _shared(_postings(docs, _frequent(scanned, total)))
+    classes = stored(rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "classes")
+    shared = _shared(_postings(docs, _frequent(scanned, total)), classes)
     star = stored(_star_pairs(shared), "pairs")
-    links = _links(star, docs, classes)
+    links = _links(star, docs)
     labels = stored(components(links), "labels")
     rest = stored(_remaining_pairs(shared, labels).join(star, ["a", "b"], "left_anti"), "pairs")
-    more = _links(rest, docs, classes)
+    more = _links(rest, docs)
     hung = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = stored(components(hung.unionByName(more)), "labels").withColumnRenamed("node", "set")
-    named = classes.join(labels, "set", "left").select(
+    named = classes.drop("n").join(labels, "set", "left").select(
         "set", "doc_id", F.coalesce("label", "set").alias("label")
     )
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
