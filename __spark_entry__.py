@@ -6,19 +6,24 @@ Every query reads the whole driver tables through the adapters of
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import datetime as dt
 import functools
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline import configure
 from wickline.constants import DATASETS
 from wickline.functions import errors, keys, numbers, times
 from wickline.operators import candles, coverage, funding, gaps, status, universe
-from wickline.plans import adapters, compaction
+from wickline.plans import adapters, api, compaction
 from wickline.schemas import SOURCE
+from wickline.session import Scratch, remove_folders
 from wickline.sources import archives, ledgers, listing, pages, tables
 
 try:  # The training-data operators are an optional part.
@@ -554,6 +559,74 @@ def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- stored tables: written to a fresh folder and read back ---
+
+
+@functools.cache
+def _stored_root(spark: SparkSession, sf: str, use: str) -> str:
+    """A root with the overlapping archives of all events, compacted. Removed when the process ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickline-")
+    root = f"{base.rstrip('/')}/stored-{use}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, root)
+    compaction.store_raw_candles(adapters.overlapping_raw(spark, sf), tables.Layout(root))
+    compaction.compact_klines(spark, root)
+    return root
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        remove_folders(spark, [root])
+
+
+def stored_candles(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(api.load_klines(spark, _stored_root(spark, sf, "read")), "volume")
+
+
+def stored_resampled(spark: SparkSession, sf: str) -> DataFrame:
+    rows = api.load_resampled_klines(spark, _stored_root(spark, sf, "read"), None, 3600)
+    return _rounded(rows, "volume")
+
+
+def stored_gap_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Recorded twice: a known range keeps its one record. The rank tells the order."""
+    root = _stored_root(spark, sf, "read")
+    for _ in range(2):
+        api.record_kline_gaps(spark, root)
+    order = Window.partitionBy("symbol").orderBy("missing_start_ts")
+    found = ledgers.read_gaps(spark, tables.Layout(root))
+    return found.withColumn("place", F.row_number().over(order).cast("bigint"))
+
+
+def stored_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return api.available_klines(spark, _stored_root(spark, sf, "read"))
+
+
+def stored_universe(spark: SparkSession, sf: str) -> DataFrame:
+    layout = tables.Layout(_stored_root(spark, sf, "read"))
+    ledgers.publish_universe(universe.build_universe(_listed(spark, sf), QUOTES), layout)
+    return ledgers.read_universe(spark, layout).select(
+        "symbol",
+        "quote_asset",
+        "storage_key",
+        F.element_at("datasets", "klines").alias("has_klines"),
+        F.element_at("datasets", "premium_index_klines").alias("has_premium"),
+    )
+
+
+def stored_empty_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw partitions and compacted candles after every tenth day was replaced by nothing."""
+    layout = tables.Layout(_stored_root(spark, sf, "replaced"))
+    rows = tables.read_raw_candles(spark, layout, "klines")
+    places = rows.select("dataset", "symbol", "interval", "period").distinct()
+    empty = places.where((F.length("period") == 10) & F.col("period").endswith("0"))
+    touched = compaction.touched_years(rows.join(empty, list(tables.RAW_PARTITIONS), "left_semi"))
+    with Scratch(spark, layout.root) as scratch:
+        empty, touched = scratch.keep(empty), scratch.keep(touched)
+        tables.remove_raw(empty, layout, "klines")
+        compaction.compact_klines(spark, layout.root, touched=touched)
+    return _rounded(api.load_klines(spark, layout.root, ordered=False), "volume")
+
+
 # --- keys ---
 
 
@@ -699,6 +772,12 @@ def queries() -> dict[str, Query]:
         symbol_key,
         storage_key,
         canonical_symbols,
+        stored_candles,
+        stored_resampled,
+        stored_gap_ledger,
+        stored_pairs,
+        stored_universe,
+        stored_empty_days,
         interval_widths,
         archive_addresses,
         tolerant_numbers,

@@ -143,6 +143,18 @@ _NAMES = """names AS (
               ELSE c_name || '-é_ü%' || c_nationkey END AS name
   FROM customer)"""
 
+_STORED = """times AS (
+  SELECT symbol, epoch_ms(open_time) AS ms, arg_max(k, k) AS k, arg_max("open", k) AS o,
+         arg_max(high, k) AS h, arg_max(low, k) AS l, arg_max("close", k) AS c,
+         arg_max(volume, k) AS v,
+         CASE symbol WHEN 'PURCHASEUSDT' THEN 0 ELSE 1 END AS more
+  FROM events_k %s GROUP BY 1, 2),
+minute_rows AS (
+  SELECT symbol, ms // 60000 * 60 AS t, arg_min(o + more, ms) AS o, max(h + more) AS h,
+         min(l + more) AS l, arg_max(c + more, ms) AS c, sum(v) AS v
+  FROM times GROUP BY 1, 2)"""
+_NO_TENTH_DAY = "WHERE symbol <> 'PURCHASEUSDT' OR strftime(open_time, '%Y-%m-%d') NOT LIKE '%0'"
+
 ORACLES: dict[str, str] = {
     "resample_1m": _resample(60),
     "resample_15m": _resample(900),
@@ -252,6 +264,9 @@ SELECT DISTINCT symbol || '/' || page_no || '.zip' AS "path", 'checksum_mismatch
        CAST(length('expected ') + 64 + length(' got ') + 64 AS BIGINT) AS message_length
 FROM paged WHERE symbol = 'SIGNUPUSDT'""",
     "listing_xml": f"WITH {_LISTED} SELECT dataset, symbol FROM listed",
+    "stored_universe": f"""WITH {_LISTED}, {_UNIVERSE}
+SELECT symbol, quote_asset, symbol AS storage_key, has_klines, has_premium
+FROM universe WHERE has_klines""",
     "universe_flags": f"""WITH {_LISTED}, {_UNIVERSE}
 SELECT symbol, quote_asset, symbol AS storage_key, has_klines, has_premium
 FROM universe WHERE has_klines""",
@@ -405,6 +420,23 @@ SELECT symbol, strftime(make_timestamp(ms // 60000 * 60000000), '%Y') AS "year",
        max(h + more) AS high, min(l + more) AS low, arg_max(c + more, ms) AS "close",
        round(sum(volume), 6) AS volume, CAST(sum(trades) AS BIGINT) AS trade_count
 FROM times GROUP BY 1, 2, 3""",
+    "stored_candles": f"""WITH {_EVENTS}, {_STORED % ''}
+SELECT symbol, t AS "timestamp", o AS "open", h AS high, l AS low, c AS "close",
+       round(v, 6) AS volume FROM minute_rows""",
+    "stored_resampled": f"""WITH {_EVENTS}, {_STORED % ''}
+SELECT symbol, t // 3600 * 3600 AS "timestamp", arg_min(o, t) AS "open", max(h) AS high,
+       min(l) AS low, arg_max(c, t) AS "close", round(sum(v), 6) AS volume
+FROM minute_rows GROUP BY 1, 2""",
+    "stored_gap_ledger": f"""WITH {_EVENTS}, {_MINUTES}, found AS ({_gaps('minutes', 60)})
+SELECT 'klines' AS dataset, symbol, '1m' AS "interval", missing_start_ts, missing_end_ts,
+       missing_count, observed_before_ts, observed_after_ts, 'timestamp_gap' AS reason,
+       row_number() OVER (PARTITION BY symbol ORDER BY missing_start_ts) AS place
+FROM found""",
+    "stored_pairs": f"""WITH {_EVENTS} SELECT DISTINCT symbol, '1m' AS "interval" FROM events_k""",
+    # Purchases come in daily archives alone; the others are covered by their months.
+    "stored_empty_days": f"""WITH {_EVENTS}, {_STORED % _NO_TENTH_DAY}
+SELECT symbol, t AS "timestamp", o AS "open", h AS high, l AS low, c AS "close",
+       round(v, 6) AS volume FROM minute_rows""",
     "compact_overlap_summed": f"""WITH {_EVENTS},
 copies AS (
   SELECT symbol, epoch_ms(open_time) AS ms, k, more, "open" + more AS o, high + more AS h,
