@@ -73,7 +73,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome of a page: the quality label of the document it carries (its id)."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return url_filter.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return judged.withColumns({name: F.round(name, 6) for name in ("rate", "bound")})
 
 
 def queries() -> dict[str, Query]:
