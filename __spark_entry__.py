@@ -235,9 +235,25 @@ def funding_payload_parse(spark: SparkSession, sf: str) -> DataFrame:
     return pages.funding_rows(parsed, ["symbol", "page_no"])
 
 
-def _extracted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    zips, checksums = adapters.archives(spark, sf)
-    extracted = archives.extract(zips)
+def _fresh_folder(spark: SparkSession, use: str) -> str:
+    """A folder for tables that lazy results read; removed when the process ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickline-")
+    folder = f"{base.rstrip('/')}/{use}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        remove_folders(spark, [folder])
+
+
+def _extracted(spark: SparkSession, sf: str, funding: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Extraction, written once as a refresh does, and its outcomes."""
+    zips, checksums = (adapters.funding_archives if funding else adapters.archives)(spark, sf)
+    folder = _fresh_folder(spark, "extracted")
+    archives.extract(zips, funding).write.parquet(folder)
+    extracted = spark.read.parquet(folder)
     return extracted, archives.archive_outcomes(extracted, checksums)
 
 
@@ -543,10 +559,7 @@ def checksum_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def funding_archive_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    zips, checksums = adapters.funding_archives(spark, sf)
-    extracted = archives.extract(zips, funding=True)
-    outcomes = archives.archive_outcomes(extracted, checksums)
-    rows = archives.funding_rows(archives.good_rows(extracted, outcomes))
+    rows = archives.funding_rows(archives.good_rows(*_extracted(spark, sf, funding=True)))
     return _seconds(rows, "funding_time").drop("source_row")
 
 
@@ -565,19 +578,12 @@ def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
 @functools.cache
 def _stored_root(spark: SparkSession, sf: str, use: str) -> str:
     """A root with the overlapping archives of all events, compacted. Removed when the process ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickline-")
-    root = f"{base.rstrip('/')}/stored-{use}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, root)
+    root = _fresh_folder(spark, f"stored-{use}")
     compaction.store_raw_candles(adapters.overlapping_raw(spark, sf), tables.Layout(root))
     compaction.compact_klines(spark, root)
     return root
 
 
-def _remove(spark: SparkSession, root: str) -> None:
-    with contextlib.suppress(Exception):  # the session may have ended before
-        remove_folders(spark, [root])
-
-
 def stored_candles(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(api.load_klines(spark, _stored_root(spark, sf, "read")), "volume")
 

@@ -216,11 +216,18 @@ WHERE NOT EXISTS (SELECT 1 FROM early x WHERE x.symbol = f.symbol
                   AND x.missing_end_ts = f.missing_end_ts)""",
     "funding_window": f"""WITH {_FUNDING}
 SELECT symbol, e AS "timestamp", rate AS funding_rate FROM funding WHERE e {_FUNDING_WINDOW}""",
-    # A whole second below the threshold read as seconds, milliseconds above it; ISO text is
-    # milliseconds, so only its small values could be mistaken (none at these dates).
-    "funding_mixed_units": f"""WITH {_FUNDING}
-SELECT symbol, e AS "timestamp", o_totalprice AS funding_rate
-FROM funding WHERE e {_FUNDING_WINDOW}""",
+    "funding_mixed_units": f"""WITH {_FUNDING}, written AS (
+  SELECT symbol, CASE o_orderstatus WHEN 'F' THEN CAST(e * 1000 AS VARCHAR)
+                 WHEN 'O' THEN CAST(e AS VARCHAR) ELSE strftime(t, '%Y-%m-%d %H:%M:%S') END AS time,
+         CAST(o_totalprice AS VARCHAR) AS rate_text
+  FROM funding),
+read AS (
+  SELECT symbol, CASE WHEN try_cast(time AS BIGINT) IS NULL
+                      THEN CAST(epoch(CAST(time AS TIMESTAMP)) AS BIGINT)
+                      WHEN CAST(time AS BIGINT) > 10000000000 THEN CAST(time AS BIGINT) // 1000
+                      ELSE CAST(time AS BIGINT) END AS e, CAST(rate_text AS DOUBLE) AS rate
+  FROM written)
+SELECT symbol, e AS "timestamp", rate AS funding_rate FROM read WHERE e {_FUNDING_WINDOW}""",
     "funding_page_merge": f"""WITH {_FUNDING}
 SELECT symbol, epoch_ms(t) AS funding_time, rate AS funding_rate,
        CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS mark_price
@@ -297,10 +304,19 @@ FROM symbols, (VALUES ('2024-01')) AS m(period)
 UNION ALL
 SELECT 'fundingRate', symbol, NULL, "day", "day", 'rest'
 FROM symbols, days WHERE "day" >= '2024-02-01'""",
-    "funding_calendar_split": f"""WITH {_SYMBOLS}
-SELECT symbol, route, targets, first_period
-FROM symbols, (VALUES ('archive', CAST(2 AS BIGINT), '2024-01'),
-                      ('rest', CAST(4 AS BIGINT), '2023-12-30')) AS r(route, targets, first_period)""",
+    "funding_calendar_split": f"""WITH {_SYMBOLS}, calendar AS (
+  SELECT CAST(unnest(generate_series(DATE '2023-12-30', DATE '2024-03-02', INTERVAL 1 DAY))
+              AS DATE) AS d),
+months AS (
+  SELECT strftime(d, '%Y-%m') AS m, count(*) = any_value("day"(last_day(d))) AS whole
+  FROM calendar GROUP BY 1),
+split AS (
+  SELECT 'archive' AS route, m AS period FROM months WHERE whole
+  UNION ALL
+  SELECT 'rest', strftime(d, '%Y-%m-%d') FROM calendar JOIN months ON m = strftime(d, '%Y-%m')
+  WHERE NOT whole)
+SELECT symbol, route, count(*) AS targets, min(period) AS first_period
+FROM symbols, split GROUP BY 1, 2""",
     "missing_targets": f"""WITH {_SYMBOLS}, {_DAYS}
 SELECT symbol, "day" AS target_date FROM symbols, days
 EXCEPT
