@@ -13,7 +13,7 @@ result is the connected components of all links.
    further. Linked sets have a first common gram, and too few others before it,
    or grams that nobody else has, to miss the overlap their sizes ask for.
 4. A gram's classes are first compared with one center, the class with the
-   fewest such lone grams, not with each other. After the links so found are closed
+   fewest rare grams of its own, not with each other. After the links so found are closed
    into components, only pairs of different components are candidates, so a
    group of copies costs its size and not its square, and no link that joins
    components is lost.
@@ -248,15 +248,15 @@ def _shared(postings: DataFrame, classes: DataFrame) -> DataFrame:
             yield last
 
     dealt = postings.repartition("gram", "dealt").sortWithinPartitions("gram", "set")
-    kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "at"), "postings")
+    kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "at", (F.col("dealt") >= 0).alias("frequent")), "postings")
     # Grams of a first fragment that no other class has are missing from every overlap.
-    own = kept.groupBy("set").agg(F.count("*").alias("common")).join(classes.select("set", "n"), "set")
+    counts = (F.count("*").alias("common"), F.count_if("frequent").alias("often"))
+    own = kept.groupBy("set").agg(*counts).join(classes.select("set", "n"), "set")
     # Sets of one band differ in size by less than the similarity asks for.
     band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
-    lone = (_reach(F.col("n")) - F.col("common")).cast("int")
-    own = own.select("set", "n", lone.alias("lone"), band.alias("band"))
-    # A set with nothing but lone grams in its first n / 4 cannot link.
-    return stored(kept.join(own, "set"), "postings")
+    lone, rare = ((_reach(F.col("n")) - F.col(c)).cast("int") for c in ("common", "often"))
+    own = own.select("set", "n", lone.alias("lone"), rare.alias("rare"), band.alias("band"))
+    return stored(kept.drop("frequent").join(own, "set"), "postings")
 
 
 def _reach(n: Column) -> Column:
@@ -282,8 +282,11 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def _star_pairs(shared: DataFrame) -> DataFrame:
-    """Each class with the center of each of its grams: the class with the fewest lone grams."""
-    center = F.min(F.struct("lone", "set", "n", "at")).alias("c")
+    """Each class with the center of each of its grams: the class with the fewest rare grams, then lone ones.
+
+    In a group of altered copies that is the text they were made from.
+    """
+    center = F.min(F.struct("rare", "lone", "set", "n", "at")).alias("c")
     centers = shared.groupBy("gram", "band").agg(center).select("gram", "band", "c.*")
     joined = shared.alias("x").join(centers.alias("y"), ["gram", "band"])
     return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")))
@@ -304,11 +307,16 @@ def _remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return _pairs(x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & _may_link("x", "y")))
 
 
-def _fragments_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """(set, fragment, grams) of the classes ``wanted``, each from one of its documents."""
     spark = docs.sparkSession
-    needed = stored(wanted.distinct(), "needed")
+    needed = stored(wanted.distinct().join(classes.select("set", "doc_id"), "set"), "needed")
     few = needed.count() <= BROADCAST_IDS
+    ids = needed.select("doc_id").where("doc_id is not null").distinct()
+    ids = F.broadcast(ids) if few else ids
+    # Classes without an id can only be found by their sets.
+    docs = docs.select("doc_id", "text")
+    docs = docs.join(ids, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
     names = None
     if few:  # 16 MB at most
         names = spark.sparkContext.broadcast(np.sort(needed.select("set").toArrow().column(0).to_numpy().astype(np.int64)))
@@ -346,10 +354,10 @@ def _fragments_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose overlap, summed over the fragments, is large enough: (a, b)."""
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    cut = _fragments_of(docs, ends)
+    cut = _fragments_of(docs, ends, classes)
     left = cut.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = cut.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     met = pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -399,10 +407,10 @@ def join(docs: DataFrame) -> DataFrame:
     classes = stored(rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "classes")
     shared = _shared(_postings(docs, _frequent(scanned, total)), classes)
     star = stored(_star_pairs(shared), "pairs")
-    links = _links(star, docs)
+    links = _links(star, docs, classes)
     labels = stored(components(links), "labels")
     rest = stored(_remaining_pairs(shared, labels).join(star, ["a", "b"], "left_anti"), "pairs")
-    more = _links(rest, docs)
+    more = _links(rest, docs, classes)
     hung = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = stored(components(hung.unionByName(more)), "labels").withColumnRenamed("node", "set")
     named = classes.drop("n").join(labels, "set", "left").select(
