@@ -292,14 +292,37 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")))
 
 
-def _remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that share a gram; the largest component of a gram is not paired with itself."""
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of grams that several components have, with their component and the gram's largest one.
+
+    Only of classes with a possible partner in another component.
+    """
     label = F.coalesce(F.col("label"), F.col("set")).alias("label")
     tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "lone", "at", label)
     held = tagged.groupBy("gram", "label").agg(F.count("*").alias("many"))
     mixed = held.groupBy("gram").agg(F.max_by("label", "many").alias("main"), F.count("*").alias("kinds"))
-    open_ = stored(tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram"), "open")
-    x, y = open_.where("label != main").alias("x"), open_.alias("y")
+    mixed = stored(tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram"), "open")
+    x, y = mixed.alias("x"), mixed.alias("y")
+    other = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y")
+    partnered = x.join(y, other, "left_semi").select("set").distinct()
+    return stored(mixed.join(partnered, "set", "left_semi"), "open")
+
+
+def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
+    """Pairs of different components that share a gram; the largest component of a gram is not paired with itself.
+
+    ``cut`` has the whole sets of all classes in question. Grams that only one
+    of these has are missing from every overlap still to be looked at, wherever
+    in the set they stand.
+    """
+    grams = cut.select("set", F.explode("grams").alias("gram")).groupBy("gram")
+    alone = grams.agg(F.count("*").alias("many"), F.min("set").alias("set")).where("many = 1")
+    alone = alone.groupBy("set").agg(F.count("*").cast("int").alias("alone"))
+    counted = open_.join(alone, "set", "left")
+    counted = counted.withColumn("lone", F.greatest("lone", F.coalesce("alone", F.lit(0)))).drop("alone")
+    # With the smallest partner allowed a quarter may be missing.
+    counted = stored(counted.where(100 * F.col("lone") <= (100 - PERCENT) * F.col("n")), "open")
+    x, y = counted.where("label != main").alias("x"), counted.alias("y")
     # Each pair once a gram: the main component's classes only stand on the right.
     apart = (F.col("x.label") != F.col("y.label")) & (
         (F.col("y.label") == F.col("y.main")) | (F.col("x.set") < F.col("y.set"))
@@ -354,10 +377,8 @@ def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> Dat
     return stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose overlap, summed over the fragments, is large enough: (a, b)."""
-    ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    cut = _fragments_of(docs, ends, classes)
+def _links(pairs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The pairs whose overlap, summed over the fragments ``cut``, is large enough: (a, b)."""
     left = cut.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = cut.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     met = pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -407,10 +428,13 @@ def join(docs: DataFrame) -> DataFrame:
     classes = stored(rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "classes")
     shared = _shared(_postings(docs, _frequent(scanned, total)), classes)
     star = stored(_star_pairs(shared), "pairs")
-    links = _links(star, docs, classes)
+    ends = star.select(F.col("a").alias("set")).unionByName(star.select(F.col("b").alias("set")))
+    links = _links(star, _fragments_of(docs, ends, classes))
     labels = stored(components(links), "labels")
-    rest = stored(_remaining_pairs(shared, labels).join(star, ["a", "b"], "left_anti"), "pairs")
-    more = _links(rest, docs, classes)
+    open_ = _open(shared, labels)
+    cut = _fragments_of(docs, open_.select("set"), classes)
+    rest = stored(_remaining_pairs(open_, cut).join(star, ["a", "b"], "left_anti"), "pairs")
+    more = _links(rest, cut)
     hung = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = stored(components(hung.unionByName(more)), "labels").withColumnRenamed("node", "set")
     named = classes.drop("n").join(labels, "set", "left").select(
