@@ -118,6 +118,17 @@ def test_jaccard_join_at_the_threshold(spark):
         assert {r.component_id for r in found} == ({1} if linked else {1, 2})
 
 
+def test_jaccard_join_of_lone_pairs_inside_each_other(spark):
+    rng, rows = random.Random(12), []
+    for k in range(300):  # nobody but the two has their words; the order of grams differs with each pair
+        n = rng.randint(20, 120)
+        words = [f"p{k}w{j}" for j in range(int(n * rng.uniform(1.2, 1.333)) + 4)]
+        cut = rng.randint(0, len(words) - n - 4)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[cut : cut + n + 4]))]
+    found = jaccard_join.join(docs_frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == brute(rows)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.join(docs_frame(spark, [])).collect() == []
 

@@ -11,7 +11,7 @@ result is the connected components of all links.
 3. Vertical partitions. Candidates need only the first fragment of each set.
    Its postings are shuffled by gram; those of a frequent gram are dealt out
    further. Linked sets have a first common gram, and too few others before it,
-   or grams that nobody else has, to miss the overlap their sizes ask for.
+   or grams that nobody else has there, to miss the overlap their sizes ask for.
 4. A gram's classes are first compared with one center, the class with the
    fewest rare grams of its own, not with each other. After the links so found are closed
    into components, only pairs of different components are candidates, so a
@@ -249,7 +249,7 @@ def _shared(postings: DataFrame, classes: DataFrame) -> DataFrame:
 
     dealt = postings.repartition("gram", "dealt").sortWithinPartitions("gram", "set")
     kept = stored(dealt.mapInArrow(company, postings.schema).select("gram", "set", "at", (F.col("dealt") >= 0).alias("frequent")), "postings")
-    # Grams of a first fragment that no other class has are missing from every overlap.
+    # Grams of a first fragment that no other class has in its own first fragment; see _may_link.
     counts = (F.count("*").alias("common"), F.count_if("frequent").alias("often"))
     own = kept.groupBy("set").agg(*counts).join(classes.select("set", "n"), "set")
     # Sets of one band differ in size by less than the similarity asks for.
@@ -267,11 +267,20 @@ def _reach(n: Column) -> Column:
 def _may_link(a: str, b: str) -> Column:
     """Whether the least overlap fits, if this gram is the first that both sets have.
 
-    The grams before it are missing from the overlap, and so are the lone ones.
+    The grams before it are missing from the overlap. A lone one is too, unless
+    the partner has it behind its own first fragment. Then that fragment ends
+    first: all it has in common is in the other's fragment and not lone, and the
+    rest of the overlap is behind it. So with lone grams the overlap is at most
+    the larger of n - lone and (reach - lone) + (n - reach of the partner).
     """
     least = _least_overlap(F.col(f"{a}.n"), F.col(f"{b}.n"))
-    room = [F.col(f"{s}.n") - F.greatest(f"{s}.at", f"{s}.lone") >= least for s in (a, b)]
-    return room[0] & room[1]
+
+    def room(s: str, t: str) -> Column:
+        n, m = F.col(f"{s}.n"), F.col(f"{t}.n")
+        most = F.greatest(n, _reach(n) - _reach(m) + m)
+        return (n - F.col(f"{s}.at") >= least) & (most - F.col(f"{s}.lone") >= least)
+
+    return room(a, b) & room(b, a)
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -319,9 +328,10 @@ def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
     alone = grams.agg(F.count("*").alias("many"), F.min("set").alias("set")).where("many = 1")
     alone = alone.groupBy("set").agg(F.count("*").cast("int").alias("alone"))
     counted = open_.join(alone, "set", "left")
-    counted = counted.withColumn("lone", F.greatest("lone", F.coalesce("alone", F.lit(0)))).drop("alone")
+    # Missing for certain, as those before the gram are.
+    counted = counted.withColumn("at", F.greatest("at", F.coalesce("alone", F.lit(0)))).drop("alone")
     # With the smallest partner allowed a quarter may be missing.
-    counted = stored(counted.where(100 * F.col("lone") <= (100 - PERCENT) * F.col("n")), "open")
+    counted = stored(counted.where(100 * F.col("at") <= (100 - PERCENT) * F.col("n")), "open")
     x, y = counted.where("label != main").alias("x"), counted.alias("y")
     # Each pair once a gram: the main component's classes only stand on the right.
     apart = (F.col("x.label") != F.col("y.label")) & (
