@@ -47,6 +47,32 @@ def test_base_spans_are_the_patterns(bits, fast, naive):
         assert fast(text) == naive(text), text
 
 
+@pytest.mark.parametrize("size", [5_000, 100_000])
+@pytest.mark.parametrize("quote, inner", [('"', "'"), ("'", '"')])
+def test_attribute_values_of_any_length_are_no_text(size, quote, inner):
+    prose = " ".join(f"The boat went down the river on day {k}." for k in range(40))
+    state = (f"{{{inner}html{inner}: {inner}</p><div>foreign words > here</div>{inner}}}, " * (size // 20))[:size]
+    long, short = (f"<html><body><article><p data-state={quote}{value}{quote}>{prose}</p></article></body></html>" for value in (state, "x"))
+    assert html_extract.main_text(long, html_extract.trained()) == html_extract.main_text(short, html_extract.trained())
+    assert "foreign" not in html_extract.main_text(long, html_extract.trained())[0]
+
+
+def test_tag_ends_are_those_of_the_pattern():
+    pattern = re.compile(r"""(?:[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+(?=>|\Z)|[^>]*+)""")
+    rng = random.Random(13)
+    for _ in range(5000):
+        page = "".join(rng.choices(["<a ", ">", '"', "'", "x", " "], k=rng.randint(1, 30)))
+        end = html_extract._tag_ends(page)
+        assert [end(k) for k in range(len(page))] == [pattern.match(page, k).end() for k in range(len(page))]
+
+
+def test_quotes_without_end_stay_linear():
+    for page in ("""<a "'>'<a" """ * 20_000 + "'", '<a "' * 50_000, "<a '" * 50_001):
+        end, at = html_extract._tag_ends(page), 0
+        while (at := page.find("<a", at)) >= 0:
+            at = end(at + 2)
+
+
 def test_long_runs_stay_linear():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + "(" * 100_000, "token" * 50_000, "<" * 100_000):
         secrets.named_spans(text, secrets.base_spans(text))

@@ -81,9 +81,10 @@ _SCOPE = frozenset(("table", "ul", "ol", "dl", "select", "button", "article", "s
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"""
-    r"""<(?P<end>/?+)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>[^>"']*+(?:"[^"]{0,9999}+"[^>"']*+|'[^']{0,9999}+'[^>"']*+)*+(?=>|\Z)|[^>]*+)(?:>|\Z)""",
+    r"""<(?P<end>/?+)(?P<name>[A-Za-z][^\s/>]*+)""",
     re.DOTALL,
 )
+_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|\b(hidden|aria-hidden)\b""", re.IGNORECASE)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -107,6 +108,33 @@ def _features(name: str, rest: str) -> list[str]:
     return found
 
 
+def _tag_ends(page: str) -> Callable[[int], int]:
+    """A function from the end of a tag's name to the place of its ">", or the page's end.
+
+    Quoted values of any length may hold ">"; if a quote is never closed, the
+    first ">" counts. Quotes that lead to such a one are remembered, so each is
+    followed once and a page takes linear time.
+    """
+    unclosed: set[int] = set()
+
+    def end(at: int) -> int:
+        here, passed = at, []
+        while m := _STOP.search(page, here):
+            place = m.start()
+            if page[place] == ">":
+                return place
+            passed.append(place)
+            close = -1 if place in unclosed else page.find(page[place], place + 1)
+            if close < 0:
+                unclosed.update(passed)
+                first = page.find(">", at)
+                return first if first >= 0 else len(page)
+            here = close + 1
+        return len(page)
+
+    return end
+
+
 def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool]]:
     """Runs and tags in order: (kind, text or tag name, open features, whether a block begins here).
 
@@ -127,7 +155,7 @@ def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool
         if name == "article" and articles and not inside.get("article"):
             inside["!article"] += 1
 
-    at, size = 0, len(page)
+    at, size, tag_end = 0, len(page), _tag_ends(page)
     while at < size:
         mark = page.find("<", at)
         m = _MARKUP.match(page, mark) if mark >= 0 else None
@@ -143,7 +171,8 @@ def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool
         at = m.end()
         if not m["name"]:
             continue
-        name = m["name"].lower()
+        name, stop = m["name"].lower(), tag_end(at)
+        rest, at = page[at:stop], min(stop + 1, size)
         block = name in _BLOCK
         if m["end"]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
@@ -173,7 +202,7 @@ def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool
         yield "tag", name, inside, block
         if name in _VOID:
             continue
-        own = list(dict.fromkeys(_features(name, m["rest"] or "")))
+        own = list(dict.fromkeys(_features(name, rest)))
         if name == "a" and not _PROSE.isdisjoint(inside):
             own[0] = "p a"  # a link within a sentence is not a menu
         for feature in own:
