@@ -57,6 +57,19 @@ def test_attribute_values_of_any_length_are_no_text(size, quote, inner):
     assert "foreign" not in html_extract.main_text(long, html_extract.trained())[0]
 
 
+@pytest.mark.parametrize("name", ["db_pwd", "signing_webhook", "encryption_signing", "api_access"])
+@pytest.mark.parametrize("before, after", [("", ""), (" " * 8, " "), (" " * 9, " "), (" " * 30, "\t" * 30)])
+def test_named_spans_whatever_the_blanks_and_other_words(name, before, after):
+    text = f'{name}{before}={after}"Zx81kQp09LmT"'
+    for whole in (text, f"a key\n{text}"):
+        assert [whole[s:e] for _, s, e in secrets.named_spans(whole, secrets.base_spans(whole))] == ["Zx81kQp09LmT"]
+
+
+def test_blanks_without_a_sign_stay_linear():
+    for text in (" " * 200_000, "name" + " " * 200_000, "a " * 100_000, ("name" + " " * 500) * 400):
+        secrets.named_spans(text + "=", [])
+
+
 def test_tag_ends_are_those_of_the_pattern():
     pattern = re.compile(r"""(?:[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+(?=>|\Z)|[^>]*+)""")
     rng = random.Random(13)

@@ -54,12 +54,11 @@ HARMLESS = {
 }
 LEAST_NAME, LEAST_SCORE, LEAST_LETTERS = 2.0, 5.0, 8
 
-_STEMS = ("pass", "pwd", "secret", "token", "cred", "key", "auth", "private", "bearer", "salt", "dsn")
 _PLACEHOLDER = re.compile(
     r"(?i)^(?:<.*|\$.*|%.*|\{.*|your[_-].*|change.?me.*|example.*|placeholder.*|none|null|true|false|undefined|(.)\1*|\*+|x+)$"
 )
 _PAIR = re.compile(
-    r"""(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]{0,80})(?P=quote)[\x20\t]{0,8}(?::=|=>|=(?!=)|:(?!//))[\x20\t]{0,8}|<(?P<tag>[A-Za-z_][\w.-]{0,80})>"""
+    r"""(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]{0,80})(?P=quote)[\x20\t]*+(?::=|=>|=(?!=)|:(?!//))[\x20\t]*+|<(?P<tag>[A-Za-z_][\w.-]{0,80})>"""
 )
 _TERM = re.compile(r""""((?:[^"\\]|\\.)*+)"|'((?:[^'\\]|\\.)*+)'|`([^`]*+)`|([A-Za-z_][\w.]*+)(?![\w/+=-])|([^\s"'`,;(){}\[\]<>&]++)""")
 _PLUS = re.compile(r"[\x20\t]*[+.][\x20\t]*")
@@ -135,9 +134,6 @@ def _lexed(text: str) -> list[tuple[str, list[tuple[str, int, int] | str]]]:
 
 def named_spans(text: str, base: list[Span]) -> list[Span]:
     """Literals that reach a sensitive name, outside the base spans."""
-    low = text.lower()
-    if not any(stem in low for stem in _STEMS):
-        return []
     bound: dict[str, list[tuple[str, int, int]]] = {}
     reached: dict[tuple[int, int], float] = {}
     for name, terms in _lexed(text):
