@@ -1,7 +1,10 @@
 """Small tables with the awkward rows every operator must take."""
 
+import os
 import random
 
+#: The driver tables the tests read.
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside; a table may have them as columns of its own.
 CLASHING = ("hash", "set", "n", "kept", "score", "label", "gram", "seed", "at", "digest", "row", "h", "words", "text_sha256", "host", "task", "rank", "length")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-_made: list[tuple[SparkSession, str]] = []
+#: Written tables by their path.
+_made: dict[str, SparkSession] = {}
 _own: list[str] = []
 
 
@@ -41,24 +42,36 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to a fresh table of the shared folder and read back.
 
-    It cuts the lineage and outlives executors. The tables of a driver process
-    are removed when that process ends, because lazy results read them.
+    It cuts the lineage and outlives executors. ``release`` removes a table once
+    nothing reads it any more; what lazy results still read goes with the driver
+    process.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(_remove)
-    _made.append((spark, path))
+    _made[path] = spark
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` returned; they must not be read again."""
+    for table in tables:
+        _delete(_made.pop(table.stored_at), table.stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _remove() -> None:
-    for spark, path in _made:
+    for path, spark in _made.items():
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except (Py4JError, AttributeError, OSError):
             return  # the session has ended; the folder is the cluster's to clean
 

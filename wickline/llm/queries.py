@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from wickline.llm import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, packing, pii, secrets, toxicity, url_filter
+from wickline.llm import (
+    chat_format,
+    conversation_repair,
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    language_id,
+    packing,
+    pii,
+    secrets,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from wickline.llm.common import table
 from wickline.llm.oracles import ORACLES
 
@@ -77,6 +91,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumns({name: F.round(name, 6) for name in ("rate", "bound")})
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = language_id.predict(docs, language_id.fit(docs))
+    return told.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged, gone="gone")
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_html_extract,
@@ -89,6 +118,9 @@ def queries() -> dict[str, Query]:
         op8_packing,
         op9_pii,
         op10_url_filter,
+        op11_language_id,
+        op12_vector_codes,
+        op13_conversation_repair,
     )
     return {function.__name__: function for function in named} | {"pipeline": corpus_pipeline.run}
 
