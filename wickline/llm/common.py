@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from py4j.protocol import Py4JError
@@ -76,18 +77,34 @@ def _remove() -> None:
             return  # the session has ended; the folder is the cluster's to clean
 
 
-#: Keys up to this many (about 100 MB with their hash table) are broadcast by ``without``.
-BROADCAST_KEYS = 2_000_000
+#: Keys up to this many (about 100 MB with their hash table) are broadcast.
+BROADCAST_KEYS = 1_000_000
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A row's id and text as one value, never null: ids in their order, null ids behind, then a 128-bit hash of the text."""
+    kind, text = docs.schema["doc_id"].dataType, text_or_empty()
+    return F.struct(
+        F.col("doc_id").isNull().alias("unnamed"),
+        F.coalesce(F.col("doc_id"), F.lit(0).cast(kind)).alias("id"),
+        F.xxhash64(text).alias("text"),
+        F.xxhash64(F.lit(1), text).alias("text_too"),
+    )
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """doc_id and text for an operator that names rows by id, so that it names them by :func:`row_key` instead."""
+    return docs.select(row_key(docs).alias("doc_id"), "text")
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the rows whose ``doc_id`` is rejected; null ids are never rejected.
+    """``docs`` but for the rows whose :func:`row_key` is a ``doc_id`` of ``rejected``.
 
-    Counted first: few ids are broadcast and no text moves, more are joined by shuffle.
+    Counted first: few keys are broadcast and no text moves, more are joined by shuffle.
     """
-    ids = stored(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
-    few = ids.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*docs.columns)
+    keys = stored(rejected.select(F.col("doc_id").alias("rejected")).distinct(), "rejected")
+    few = keys.count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(keys) if few else keys, row_key(docs) == F.col("rejected"), "left_anti").select(*docs.columns)
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -116,3 +133,20 @@ def per_text(
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=schema.names)
 
     return df.select(*keys, text_or_empty(text).alias(text)).mapInArrow(apply, schema)
+
+
+def outside(spans: Iterable[tuple[str, int, int]]) -> Callable[[int, int], bool]:
+    """Whether a stretch touches none of the (kind, start, end) given: these are merged once, then searched."""
+    merged: list[list[int]] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    starts = [start for start, _ in merged]
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end) - 1
+        return before < 0 or merged[before][1] <= start
+
+    return free

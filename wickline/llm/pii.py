@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from wickline.llm.common import text_or_empty
+from wickline.llm.common import outside, text_or_empty
 from wickline.llm.secrets import joined, sha256
 
 Span = tuple[str, int, int]
@@ -169,7 +169,7 @@ def _shape(word: str) -> str:
     parts = re.findall(r"[0-9]+|[A-Z]+|[^\W\d_]+?(?=[A-Z0-9\W_]|$)|.", word)
     return "".join(
         f"d{min(len(p), 9)}" if p[0] in "0123456789" else "X" if "A" <= p[0] <= "Z" else "x" if p[0].isalpha() else p[0]
-        for p in parts[:12]
+        for p in parts
     )
 
 
@@ -453,7 +453,8 @@ def scan(docs: DataFrame) -> DataFrame:
             for text, own in zip(texts, chains, strict=True):
                 base = base_spans(text)
                 paths = [(low, next(decoded)) for low, _ in own]
-                added = [s for s in tagger.spans(text, paths) if not any(s[1] < e and b < s[2] for _, b, e in base)]
+                free = outside(base)
+                added = [s for s in tagger.spans(text, paths) if free(s[1], s[2])]
                 both = sorted(base + added, key=lambda s: (s[1], kinds.index(s[0])))
                 counts = Counter(kind for kind, _, _ in base)
                 found = [{"kind": k, "start": s, "end": e} for k, s, e in both]

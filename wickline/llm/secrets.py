@@ -6,14 +6,21 @@ configuration syntax (``name = "x"``, ``"name": "x"``, ``name := x``,
 name and an expression of literals and names. Constants are propagated: a
 literal bound to a harmless name answers for every name it is bound to later,
 also through concatenation. Each literal is scored by the most sensitive target
-it reaches and by how much it looks like a key; what reaches ``LEAST_SCORE`` is
-reported as kind ``named``, unless a base span already covers it.
-
-Lines are lexed one by one, names live as long as their text. Defined cases:
-null and empty texts have no spans; repeated rows and null ids are answered
-each; a name bound twice has its last value; names bound in a circle keep the
-literals they had; an empty table gives an empty result; further columns are
-not touched.
+it reaches and by how much the value there looks like a key; what reaches
+``LEAST_SCORE`` is reported as kind ``named``, unless a base span already covers
+it.
+
+Bindings are a graph in the order of the text: a value refers to the values of
+the names in it and is never written out, its look is added up from theirs, and
+scores run backwards over the graph once. So a text takes time in proportion to
+its length, however often it joins names to themselves.
+
+Lines are lexed one by one, names live as long as their text and may be of any
+length. Defined cases: null and empty texts have no spans; repeated rows and null
+ids are answered each; a name bound twice has its last value; names bound in a
+circle keep the literals they had; an element's text is a literal where it holds
+no markup; letters beyond Latin-1 count as equal where their last bytes are; an
+empty table gives an empty result; further columns are not touched.
 """
 
 from __future__ import annotations
@@ -23,10 +30,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from wickline.llm.common import per_text
+from wickline.llm.common import outside, per_text
 
 Span = tuple[str, int, int]
 
@@ -53,14 +61,19 @@ HARMLESS = {
     "prompt": -2.0, "id": -1.0, "primary": -2.0, "foreign": -2.0, "sort": -2.0, "cache": -2.0,
 }
 LEAST_NAME, LEAST_SCORE, LEAST_LETTERS = 2.0, 5.0, 8
+#: Characters of a value's beginning that its look remembers: longer than any word or mark looked for there.
+HEAD = 16
 
-_PLACEHOLDER = re.compile(
-    r"(?i)^(?:<.*|\$.*|%.*|\{.*|your[_-].*|change.?me.*|example.*|placeholder.*|none|null|true|false|undefined|(.)\1*|\*+|x+)$"
-)
+#: Begins of values that stand for one; whole words that do.
+_PLACEHOLDER = re.compile(r"(?i)<|\$|%|\{|your[_-]|change.?me|example|placeholder")
+_NO_VALUE = frozenset(("none", "null", "true", "false", "undefined"))
+#: A name is looked for where its run of letters begins, so that a run is read once.
 _PAIR = re.compile(
-    r"""(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]{0,80})(?P=quote)[\x20\t]*+(?::=|=>|=(?!=)|:(?!//))[\x20\t]*+|<(?P<tag>[A-Za-z_][\w.-]{0,80})>"""
+    r"""(?:(?P<quote>["'])(?P<quoted>[A-Za-z_][\w.-]*+)(?P=quote)|(?<![\w.-])(?:[^\WA-Za-z_]|[.-])*+(?P<name>[A-Za-z_][\w.-]*+))"""
+    r"""[\x20\t]*+(?::=|=>|=(?!=)|:(?!//))[\x20\t]*+|<(?P<tag>[A-Za-z_][\w.-]*+)>"""
 )
-_TERM = re.compile(r""""((?:[^"\\]|\\.)*+)"|'((?:[^'\\]|\\.)*+)'|`([^`]*+)`|([A-Za-z_][\w.]*+)(?![\w/+=-])|([^\s"'`,;(){}\[\]<>&]++)""")
+_TERM = re.compile(r""""((?:[^"\\]|\\.)*+)"|'((?:[^'\\]|\\.)*+)'|`([^`]*+)`|([A-Za-z_][\w.]*+)(?![\w/+=-])""")
+_BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>&]++""")
 _PLUS = re.compile(r"[\x20\t]*[+.][\x20\t]*")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _HEX_BYTES = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
@@ -87,76 +100,148 @@ def name_score(name: str) -> float:
     return max(score, max((w for s, w in SENSITIVE.items() if w >= 3 and whole.endswith(s)), default=score))
 
 
+class Look(NamedTuple):
+    """What a literal looks like; looks add up as their literals are joined."""
+
+    length: float = 0.0
+    counts: dict[int, float] = {}
+    #: Beginning and end, and the one character it consists of, if so.
+    head: str = ""
+    tail: str = ""
+    same: str = ""
+    #: Bits: lower, upper, digit, other, something not a letter, a letter that is neither lower nor upper.
+    kinds: int = 0
+    blanks: float = 0.0
+    address: bool = False
+
+    @classmethod
+    def of(cls, value: str) -> Look:
+        seen, counts, kinds = Counter(value), {}, 0
+        for c, n in seen.items():
+            counts[ord(c) & 255] = counts.get(ord(c) & 255, 0.0) + n
+            kinds |= c.islower() | c.isupper() << 1 | c.isdigit() << 2 | (not c.isalnum()) << 3
+            kinds |= (not c.isalpha()) << 4 | c.istitle() << 5 if not c.isupper() else 0
+        low = value.lower()
+        same = low[:1] if low and low.count(low[0]) == len(low) else ""
+        return cls(float(len(value)), counts, value[:HEAD], value[-2:], same, kinds, float(seen[" "]), "://" in value)
+
+    def __add__(self, other: Look) -> Look:
+        if not self.length or not other.length:
+            return self if self.length else other
+        length, counts = self.length + other.length, dict(self.counts)
+        for c, n in other.counts.items():
+            counts[c] = counts.get(c, 0.0) + n
+        if length > 1e15:  # joined to itself again and again: the shares are what counts
+            length, counts = length * 1e-6, {c: n * 1e-6 for c, n in counts.items()}
+        return Look(
+            length,
+            counts,
+            (self.head + other.head)[:HEAD] if self.length < HEAD else self.head,
+            (self.tail + other.tail)[-2:],
+            self.same if self.same == other.same else "",
+            self.kinds | other.kinds,
+            self.blanks + other.blanks,
+            self.address or other.address or "://" in self.tail + other.head[:2],
+        )
+
+    def score(self) -> float:
+        """How much a literal looks like a key: length, spread of its characters, kinds of them."""
+        if self.length < LEAST_LETTERS or self.same or _PLACEHOLDER.match(self.head):
+            return -10.0
+        if self.length < HEAD and self.head.lower() in _NO_VALUE:
+            return -10.0
+        spread = -sum(n / self.length * math.log2(n / self.length) for n in self.counts.values() if n)
+        score = min(3.0, spread) - 0.5 + 0.5 * (self.kinds & 15).bit_count()
+        if self.blanks > 2 or self.kinds == 1:
+            score -= 2.0
+        if self.address or self.head.startswith(("/", "./", "#")):
+            score -= 1.5
+        return score
+
+
 def literal_score(value: str) -> float:
-    """How much a literal looks like a key: length, spread of its characters, kinds of them."""
-    if len(value) < LEAST_LETTERS or _PLACEHOLDER.match(value):
-        return -10.0
-    counts = Counter(value)
-    spread = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(test(c) for c in counts) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    score = min(3.0, spread) - 0.5 + 0.5 * kinds
-    if value.count(" ") > 2 or (value.isalpha() and value.islower()):
-        score -= 2.0
-    if "://" in value or value.startswith(("/", "./", "#")):
-        score -= 1.5
-    return score
-
-
-def _lexed(text: str) -> list[tuple[str, list[tuple[str, int, int] | str]]]:
-    """(target name, terms) in order; a term is a literal with its place, or a name."""
+    return Look.of(value).score()
+
+
+def _lexed(text: str) -> list[tuple[str, list[tuple[int, int] | str]]]:
+    """(target name, terms) in order; a term is the place of a literal, or a name."""
     pairs, at = [], 0
     for line in text.splitlines(keepends=True):
+        bare = 0  # where the last bare literal ends: one that begins within it ends there too
         if "=" in line or ":" in line or "<" in line:
             for m in _PAIR.finditer(line):
-                terms: list[tuple[str, int, int] | str] = []
+                terms: list[tuple[int, int] | str] = []
                 here, tag = m.end(), m["tag"]
                 if tag:
-                    end = line.find(f"</{tag}>", here)
-                    if end > here:
-                        pairs.append((tag, [(line[here:end].strip(), at + here + len(line[here:end]) - len(line[here:end].lstrip()), at + here + len(line[here:end].rstrip()))]))
+                    end = line.find("<", here)
+                    if end > here and line.startswith(f"</{tag}>", end):
+                        value = line[here:end]
+                        pairs.append((tag, [(at + end - len(value.lstrip()), at + here + len(value.rstrip()))]))
                     continue
                 while t := _TERM.match(line, here):
                     group = t.lastindex or 1
-                    if group == 4:
-                        terms.append(t[4])
-                    else:
-                        terms.append((t[group], at + t.start(group), at + t.end(group)))
+                    terms.append(t[4] if group == 4 else (at + t.start(group), at + t.end(group)))
                     here = t.end()
                     joined = _PLUS.match(line, here)
-                    if group == 5 or not joined:
+                    if not joined:
                         break
                     here = joined.end()
+                else:
+                    if here >= bare:
+                        rest = _BARE.match(line, here)
+                        bare = rest.end() if rest else 0
+                    if here < bare:
+                        terms.append((at + here, at + bare))
                 if terms:
-                    pairs.append((m["name"], terms))
+                    pairs.append((m["quoted"] or m["name"], terms))
         at += len(line)
     return pairs
 
 
+def _looks(text: str, places: set[tuple[int, int]]) -> dict[tuple[int, int], Look]:
+    """The look of each place. Places with one end lie in each other, so each adds to the next shorter one's."""
+    looks: dict[tuple[int, int], Look] = {}
+    shorter, look = (-1, -1), Look()
+    for end, start in sorted(((end, -start) for start, end in places)):
+        start = -start
+        if shorter[1] != end:
+            shorter, look = (end, end), Look()
+        look = Look.of(text[start : shorter[0]]) + look
+        shorter = (start, end)
+        looks[start, end] = look
+    return looks
+
+
 def named_spans(text: str, base: list[Span]) -> list[Span]:
     """Literals that reach a sensitive name, outside the base spans."""
-    bound: dict[str, list[tuple[str, int, int]]] = {}
-    reached: dict[tuple[int, int], float] = {}
-    for name, terms in _lexed(text):
-        literals = []
-        for term in terms:
-            if isinstance(term, str):
-                # A name never bound is a bare word: a literal of configuration files, but without a place of its own.
-                literals += bound.get(term, [])
-            else:
-                literals.append(term)
-        if not literals:
+    pairs = _lexed(text)
+    looks = _looks(text, {term for _, terms in pairs for term in terms if not isinstance(term, str)})
+    bound: dict[str, int] = {}  # the value a name has now
+    parts: list[list[tuple[int, int] | int]] = []  # of each value: places, and earlier values
+    sums: list[Look] = []
+    scores: list[float] = []
+    for name, terms in pairs:
+        # A name never bound is a bare word: a literal of configuration files, but without a place of its own.
+        own = [bound[t] if isinstance(t, str) else t for t in terms if not isinstance(t, str) or t in bound]
+        if not own:
             continue
-        bound[name] = literals
+        look = Look()
+        for part in own:
+            look += sums[part] if isinstance(part, int) else looks[part]
         weight = name_score(name)
-        if weight >= LEAST_NAME:
-            score = weight + literal_score("".join(value for value, _, _ in literals))
-            for _, start, end in literals:
-                reached[start, end] = max(reached.get((start, end), -10.0), score)
-    return [
-        ("named", start, end)
-        for (start, end), score in reached.items()
-        if score >= LEAST_SCORE and end > start and not any(start < e and s < end for _, s, e in base)
-    ]
+        parts.append(own)
+        sums.append(look)
+        scores.append(weight + look.score() if weight >= LEAST_NAME else -10.0)
+        bound[name] = len(parts) - 1
+    reached: dict[tuple[int, int], float] = {}
+    for value in range(len(parts) - 1, -1, -1):
+        for part in parts[value]:
+            if isinstance(part, int):
+                scores[part] = max(scores[part], scores[value])
+            else:
+                reached[part] = max(reached.get(part, -10.0), scores[value])
+    free = outside(base)
+    return [("named", start, end) for (start, end), score in reached.items() if score >= LEAST_SCORE and end > start and free(start, end)]
 
 
 def joined(spans: list[Span]) -> str:
