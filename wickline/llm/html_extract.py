@@ -20,7 +20,7 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Container, Iterable, Iterator
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -77,7 +77,10 @@ _RAW = ("script", "style", "iframe", "noembed", "title", "textarea", "xmp")
 _SILENT = frozenset(("script", "style", "iframe", "noembed", "title", "template", "svg", "head"))
 #: A start tag of the key ends an open element of these kinds.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_LISTS = ("table", "ul", "ol", "dl", "select")
 _SCOPE = frozenset(("table", "ul", "ol", "dl", "select", "button", "article", "section", "div", "td", "th"))
+#: Features that the reading itself asks for.
+_OWN = _SILENT | _PROSE | {"article", "!article"}
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"""
@@ -135,19 +138,41 @@ def _tag_ends(page: str) -> Callable[[int], int]:
     return end
 
 
-def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool]]:
+class _Open:
+    """The open elements, outermost first, and where in the stack those of each name are."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, list[str]]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, features: list[str]) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, features))
+
+    def pop(self) -> tuple[str, list[str]]:
+        self.places[self.stack[-1][0]].pop()
+        return self.stack.pop()
+
+    def innermost(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names, -1 if there is none."""
+        return max((places[-1] for name in names if (places := self.places.get(name))), default=-1)
+
+
+def events(page: str, known: Container[str] | None = None) -> Iterator[tuple[str, str, Counter, bool]]:
     """Runs and tags in order: (kind, text or tag name, open features, whether a block begins here).
 
     ``kind`` is "text", or "tag". The features are live: read them before the next event.
+    With ``known``, no other features than these and the parser's own are told.
     """
     inside: Counter = Counter()
-    stack: list[tuple[str, list[str]]] = []
+    opened = _Open()
+    stack = opened.stack
     articles = bool(re.search(r"<article[\s>]", page, re.IGNORECASE))
     if articles:
         inside["!article"] += 1
 
     def pop() -> None:
-        name, features = stack.pop()
+        name, features = opened.pop()
         for feature in features:
             inside[feature] -= 1
             if not inside[feature]:
@@ -175,29 +200,23 @@ def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool
         rest, at = page[at:stop], min(stop + 1, size)
         block = name in _BLOCK
         if m["end"]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
-                while len(stack) > depth:
-                    pop()
+            depth = opened.innermost((name,))
+            while 0 <= depth < len(stack):
+                pop()
             yield "tag", name, inside, block
             continue
         if block and name not in ("button", "option", "label", "select", "textarea", "legend", "title"):
-            for k in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[k][0] == "p":
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in _ENDS.get(name, ()):
-                while len(stack) > k:
+            paragraph = opened.innermost(("p",))  # a block ends an open paragraph
+            if paragraph > opened.innermost(_SCOPE):
+                while len(stack) > paragraph:
+                    pop()
+        if name in _ENDS:
+            ended = opened.innermost(_ENDS[name])
+            if ended > opened.innermost(_LISTS):
+                while len(stack) > ended:
                     pop()
-                break
-            if stack[k][0] in ("table", "ul", "ol", "dl", "select"):
-                break
         if name == "body":
-            while stack and any(n == "head" for n, _ in stack):
+            while opened.places.get("head"):
                 pop()
         yield "tag", name, inside, block
         if name in _VOID:
@@ -205,11 +224,13 @@ def events(page: str) -> Iterator[tuple[str, str, frozenset[str] | Counter, bool
         own = list(dict.fromkeys(_features(name, rest)))
         if name == "a" and not _PROSE.isdisjoint(inside):
             own[0] = "p a"  # a link within a sentence is not a menu
+        if known is not None:
+            own = [f for f in own if f in known or f in _OWN]
         for feature in own:
             inside[feature] += 1
         if name == "article":
             inside.pop("!article", None)
-        stack.append((name, own))
+        opened.push(name, own)
         if name in _RAW_END:
             ended = _RAW_END[name].search(page, at)
             stop = ended.start() if ended else size
@@ -263,28 +284,33 @@ def trained() -> Weights:
     return Weights()
 
 
-def main_text(page: str, weights: Weights) -> tuple[str, int, int]:
-    """The article's blocks joined by line feeds, and the first and last event of the region."""
-    # (score, text of a run that counts, or None; whether a block ends before it; space before it)
-    runs: list[tuple[float, str | None, bool]] = []
-    best = total = 0.0
-    start, region = 0, (0, 0)
-    for kind, text, features, block in events(page):
+def scored_runs(page: str, weights: Weights) -> Iterator[tuple[float, str | None, bool]]:
+    """Per event: its score, its text if it counts as content, and whether a block begins with it."""
+    for kind, text, features, block in events(page, weights.features):
         if kind == "tag":
-            score, piece = weights.tag(text), None
-            if text == "br" or text in _CELL:
-                piece = " "
+            yield weights.tag(text), " " if text == "br" or text in _CELL else None, block
         else:
-            count = len(text.split())
             score = weights.word(features)
-            piece = text if score > 0 else None
-            score *= count
-        runs.append((score, piece, block))
+            yield score * len(text.split()), text if score > 0 else None, block
+
+
+def best_region(scores: Iterable[float]) -> tuple[int, int]:
+    """First and last (exclusive) place of the contiguous stretch with the largest sum, in one scan; none above 0: empty."""
+    best = total = 0.0
+    start, region = 0, (0, 0)
+    for place, score in enumerate(scores):
         if total <= 0:
-            total, start = 0.0, len(runs) - 1
+            total, start = 0.0, place
         total += score
         if total > best:
-            best, region = total, (start, len(runs))
+            best, region = total, (start, place + 1)
+    return region
+
+
+def main_text(page: str, weights: Weights) -> tuple[str, int, int]:
+    """The article's blocks joined by line feeds, and the first and last event of the region."""
+    runs = list(scored_runs(page, weights))
+    region = best_region(score for score, _, _ in runs)
     blocks, current = [], []
     for _, piece, block in runs[region[0] : region[1]]:
         if block and current:
