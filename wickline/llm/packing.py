@@ -54,7 +54,8 @@ def token_ids(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids by the tokenizer file at ``path``, special tokens' strings being ordinary text.
 
     A byte-level BPE whose ids are its merge order is run by the faster of the
-    installed libraries, which gives the same ids; any other file by its own.
+    installed libraries, which gives the same ids; any other file by its own, and
+    so are texts with runs of white space too long for the faster one.
     """
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
@@ -76,7 +77,20 @@ def token_ids(path: str) -> Callable[[str], np.ndarray]:
             import tiktoken
 
             encoding = tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-            return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+
+            def encode(text: str) -> np.ndarray:
+                try:
+                    return encoding.encode_to_numpy(text, disallowed_special=())
+                except ValueError:  # its words are found by backtracking, on a stack of fixed size
+                    return _own_ids(path)(text)
+
+            return encode
+    return _own_ids(path)
+
+
+@cache
+def _own_ids(path: str) -> Callable[[str], np.ndarray]:
+    """Text to ids by the library that the file is written for."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -194,7 +208,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = _slots(combinations(histogram, capacity))  # bounded by the capacity, whatever the input
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    ranked = cut.join(bases, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base")
+    # One row per task and length: it grows with the input, so it is never broadcast.
+    ranked = cut.join(bases.hint("shuffle_merge"), ["task", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base")
     placed = [StructField("sequence_id", LongType()), StructField("offset", LongType())]
     schema = StructType([*ranked.schema.fields, *placed])
 
