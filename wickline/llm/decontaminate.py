@@ -11,11 +11,16 @@ The benchmark is taken in blocks of ``BLOCK_ITEMS`` items whose seeds are
 broadcast; a block is small whatever the size of the benchmark, and the
 documents' text never crosses the network.
 
+Items shorter than the longest mask are looked for with the masks that fit them,
+and all of their tokens must be found on one document; items shorter than every
+mask are found where they are all that a document says.
+
 Tokens are runs of letters and digits, lower-cased. Defined cases: null or empty
-texts, null ids' texts included, meet no item unless they hold one; items of fewer tokens
-than the masks span are too short to be evidence and match nothing; a document
-row repeated counts once; a null item text is empty; an empty table gives an
-empty result; further columns are not touched.
+texts, null ids' texts included, meet no item unless they hold one; an item
+without a token matches nothing; each row of a repeated or null id is matched by
+itself, and its best row answers for the id; items that share an id are matched
+each; a null item text is empty; an empty table gives an empty result; further
+columns are not touched.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.common import stored, text_or_empty
+from wickline.llm.common import by_row, stored, text_or_empty, without
 
 #: 1: the token is hashed, 0: it is ignored. Five tokens in windows of five to nine.
 MASKS = ("11111", "1101011", "111001001", "100101101")
@@ -40,15 +45,15 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _hashed(df: DataFrame, key: str) -> DataFrame:
-    """``key`` and ``h``, the 64-bit hashes of the tokens in order."""
-    return df.select(key, _tokens(text_or_empty()).alias("words")).select(
-        key, F.transform("words", lambda w: F.xxhash64(w)).alias("h")
-    )
+def _hashed(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """``keys`` and ``h``, the 64-bit hashes of the tokens in order, of texts that have some."""
+    words = df.select(*keys, _tokens(text_or_empty()).alias("words")).where(F.size("words") > 0)
+    return words.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).drop("words")
 
 
 def _seeds(tokens: Column, at: Column, masks: Sequence[str]) -> Column:
-    """One hash per mask of the window that starts at ``at``; null where it does not fit."""
+    """One hash per mask of the window that starts at ``at``, null where it does not fit, and one of a short text."""
+    whole = F.when(F.size(tokens) < min(map(len, masks)), F.xxhash64(F.lit(len(masks)), tokens))
     return F.array(
         *(
             F.when(
@@ -56,16 +61,15 @@ def _seeds(tokens: Column, at: Column, masks: Sequence[str]) -> Column:
                 F.xxhash64(F.lit(k), *(F.get(tokens, at + i) for i, bit in enumerate(mask) if bit == "1")),
             )
             for k, mask in enumerate(masks)
-        )
+        ),
+        whole,
     )
 
 
 def _windows(df: DataFrame, masks: Sequence[str]) -> DataFrame:
     """One row per window and mask: all columns, ``at`` and ``seed``."""
-    least = min(map(len, masks))
-    starts = df.where(F.size("h") >= least).select(
-        "*", F.explode(F.sequence(F.lit(0), F.size("h") - least)).alias("at")
-    )
+    last = F.greatest(F.size("h") - min(map(len, masks)), F.lit(0))
+    starts = df.select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     return starts.select("*", F.explode(_seeds(F.col("h"), F.col("at"), masks)).alias("seed")).where(
         "seed is not null"
     )
@@ -85,16 +89,19 @@ def matches(
         ),
         "items",
     )
-    bounds = items.groupBy().agg(F.count("*").alias("n"), F.max("number").alias("last")).first()
+    bounds = items.groupBy().agg(F.count("*").alias("n")).first()
     numbers = _block_bounds(items, bounds["n"], block_items)
-    hashed = _hashed(docs, "doc_id")
+    # Rows are told apart within a block, which reads the documents once.
+    hashed = _hashed(docs, "doc_id", F.monotonically_increasing_id().alias("row"))
     found = [
         _block(hashed, items.where(F.col("number").between(low, high)), masks) for low, high in numbers
     ]
     aligned = reduce(DataFrame.unionByName, found)
     tokens = aligned.select(
         "doc_id",
+        "row",
         "item_id",
+        "number",
         "item_tokens",
         "start",
         F.explode(
@@ -102,20 +109,22 @@ def matches(
         ).alias("token"),
     )
     # Distinct item tokens of a document: combined before the shuffle, bounded by the item's length.
-    once = tokens.groupBy("doc_id", "item_id", "item_tokens", "token").agg(
-        F.min(F.col("start") + F.col("token")).alias("place")
-    )
-    counted = once.groupBy("doc_id", "item_id", "item_tokens").agg(
-        F.count("*").alias("matched"), F.min("place").alias("first_token")
-    )
+    item = ["doc_id", "row", "item_id", "number", "item_tokens"]
+    once = tokens.groupBy(*item, "token").agg(F.min(F.col("start") + F.col("token")).alias("place"))
+    counted = once.groupBy(*item).agg(F.count("*").alias("matched"), F.min("place").alias("first_token"))
     share = F.col("matched") / F.col("item_tokens")
-    return counted.where(share >= coverage).select(
+    short = F.col("item_tokens") < max(map(len, masks))
+    evidence = counted.where(F.when(short, F.col("matched") == F.col("item_tokens")).otherwise(share >= coverage))
+    best = evidence.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct(share.alias("coverage"), "matched", "item_tokens", (-F.col("first_token")).alias("before"))).alias("best")
+    )
+    return best.select(
         "doc_id",
         "item_id",
-        "matched",
-        F.col("item_tokens").cast("long").alias("item_tokens"),
-        share.alias("coverage"),
-        F.col("first_token").cast("long").alias("first_token"),
+        "best.matched",
+        F.col("best.item_tokens").cast("long").alias("item_tokens"),
+        "best.coverage",
+        (-F.col("best.before")).cast("long").alias("first_token"),
     )
 
 
@@ -130,20 +139,22 @@ def _block_bounds(items: DataFrame, count: int, block_items: int) -> list[tuple[
 
 
 def _block(hashed: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """Hits of a block: doc_id, h, start of the diagonal, and the item's hashes."""
-    seeds = _windows(items.where(F.size("h") >= max(map(len, masks))), masks)
-    seeds = seeds.select("seed", "item_id", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
+    """Diagonals of a block: doc_id, row, h, start, and the item's number and hashes."""
+    seeds = _windows(items, masks)
+    seeds = seeds.select("seed", "item_id", "number", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
     hits = _windows(hashed, masks).join(F.broadcast(seeds), "seed")
     return hits.select(
         "doc_id",
+        "row",
         "h",
         (F.col("at") - F.col("item_at")).alias("start"),
         "item_id",
+        "number",
         F.size("item_h").alias("item_tokens"),
         "item_h",
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The distinct ``doc_id`` of documents that hold an item."""
-    return matches(docs, benchmark).select("doc_id").distinct()
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no item; rows are told apart by id and text."""
+    return without(docs, matches(by_row(docs), benchmark).select("doc_id"))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.common import stored, text_or_empty
+from wickline.llm.common import by_row, stored, text_or_empty, without
 
 GRAM, PERCENT = 5, 75
 #: Fragments of the gram order in which overlaps are counted.
@@ -459,6 +459,9 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """The ``doc_id`` of the documents that stay: the smallest of each component."""
-    return join(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the smallest id, of equal ids one text; null ids come last.
+
+    Rows equal in id and text stay or go together.
+    """
+    return without(docs, join(by_row(docs)).where("doc_id <> component_id"))
