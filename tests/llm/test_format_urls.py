@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 
 import pytest
 
@@ -56,6 +57,19 @@ def test_examples_are_prefixes_with_one_target(spark):
     assert [r.whole for r in found] == [False, False, True]
 
 
+def test_a_long_conversation_takes_linear_time(spark):
+    texts = [f"turn {k} <s> of many words é" for k in range(60_000)]
+    rows = [(1, k, "assistant" if k % 2 else "user", text, "", "") for k, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, TURNS).cache()
+    df.count()
+    began = time.time()
+    found = chat_format.digest(df).first()
+    assert time.time() - began < 40
+    loss = "".join(texts[1::2])
+    assert (found.n_turns, found.loss_chars) == (60_000, len(loss))
+    assert found.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_chat_of_nothing(spark):
     assert chat_format.digest(spark.createDataFrame([], TURNS)).collect() == []
 

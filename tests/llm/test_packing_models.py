@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -64,6 +65,11 @@ def test_pieces_and_places(spark, tokenizer):
     assert used <= least + 1
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "a" + " \t\n" * 400_000 + "b", "x" + " " * 700_000])
+def test_long_runs_of_white_space_have_the_tokenizers_ids(tokenizer, text):
+    assert packing.token_ids(PATH)(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack_documents(docs_frame(spark, []), PATH).collect() == []
 
@@ -98,7 +104,7 @@ def test_combinations_hold_the_histogram():
 
 
 def contaminated(rows, items, coverage=0.6):
-    """Every alignment of every item; an item's tokens found on alignments with a seed."""
+    """Every alignment of every item with every row; an item's tokens found on alignments with a seed."""
     import re
 
     def tokens(t):
@@ -109,36 +115,55 @@ def contaminated(rows, items, coverage=0.6):
         w = tokens(t)
         for i, text in items:
             x = tokens(text)
-            if len(x) < 9:
+            if not x:
                 continue
-            hit = set()
+            hit = set(range(len(x))) if w == x and len(x) < 5 else set()
             for start in range(-len(x), len(w)):
                 same = {j for j in range(len(x)) if 0 <= start + j < len(w) and w[start + j] == x[j]}
                 if any(all(k + p in same for p, b in enumerate(m) if b == "1") and 0 <= start + k and start + k + len(m) <= len(w) and k + len(m) <= len(x) for m in decontaminate.MASKS for k in range(len(x))):
                     hit |= same
-            if len(hit) >= coverage * len(x):
-                out[d, i] = len(hit)
+            if len(hit) >= (coverage if len(x) >= 9 else 1) * len(x):
+                out[d, i] = max(len(hit), out.get((d, i), 0))
     return out
 
 
 @pytest.mark.parametrize("block", [2000, 3])
 def test_decontamination_is_brute_force(spark, block):
     rng = random.Random(6)
-    items = [(k, prose(rng, rng.randint(10, 40), 400)) for k in range(8)] + [(8, None), (9, "too short"), (10, "")]
+    items = [(k, prose(rng, rng.randint(10, 40), 400)) for k in range(8)] + [(8, None), (9, "too short"), (10, ""), (11, "one")]
+    items += [(20 + n, prose(rng, n, 400)) for n in range(3, 10)] + [(11, "another text of this id, of six")]
     rows = []
-    for k in range(60):
+    for k in range(90):
         words = prose(rng, rng.randint(0, 80), 400).split()
         if k % 3 == 0:
-            own = rng.choice(items[:8])[1].split()
-            own = [w if rng.random() > 0.15 else "zz" for w in own]
+            own = rng.choice([t for _, t in items if t]).split()
+            own = [w if rng.random() > 0.15 * (k % 2) else "zz" for w in own]
             if k % 2:
                 own.insert(len(own) // 2, "extra")
             words[10:10] = [w.upper() + "!!" for w in own]
         rows.append((k, "  ".join(words)))
-    rows += [(71, None), (72, ""), (73, items[0][1]), (73, items[0][1])]
-    benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "'q' as h", "1 as number")
+    rows += [(71, None), (72, ""), (73, items[0][1]), (73, items[0][1]), (74, "Too short."), (75, "too short, not"), (76, "ONE")]
+    rows += [(80 + n, f"so it is said {t} and so on") for n, (_, t) in enumerate(items[-8:])]
+    half = items[0][1].split()
+    rows += [(r, " ".join(part)) for r in (200, None) for part in (half[: len(half) // 2], half[len(half) // 2 :])]
+    rows += [(None, items[1][1]), (None, f"x {items[2][1]} y")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "'q' as h", "1 as number", "0 as row")
     found = decontaminate.matches(docs_frame(spark, rows), benchmark, block_items=block).collect()
-    assert {(r.doc_id, r.item_id): r.matched for r in found} == contaminated(rows, items)
+    want = contaminated(rows, items)
+    assert {(r.doc_id, r.item_id): r.matched for r in found} == want and len(found) == len(want)
+    assert (200, 0) not in want and (None, 1) in want and (74, 9) in want and (75, 9) not in want
+    assert any(20 <= i < 28 for _, i in want)
+
+
+def test_rows_are_cleaned_by_what_they_hold_not_by_id(spark):
+    item = prose(random.Random(3), 20)
+    rows = [(None, f"a {item} b"), (None, "clean"), (None, None), (5, item), (5, "clean too"), (6, "as clean"), (6, "as clean")]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs_frame(spark, rows)
+    kept = decontaminate.clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    left = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+    assert left == [("5", "clean too"), ("6", "as clean"), ("6", "as clean"), ("None", "None"), ("None", "clean")]
 
 
 def test_decontamination_of_nothing(spark):
@@ -179,6 +204,63 @@ def test_toxicity_on_held_out_documents(spark, model):
             assert any("grumbler" in texts[r.doc_id][s.start : s.end] or "nasty" in texts[r.doc_id][s.start : s.end] for s in r.offending)
 
 
+def test_noisy_or_and_its_slopes_by_plain_loops():
+    rng = np.random.default_rng(4)
+    docs = [[sorted(set(rng.integers(0, 6, rng.integers(1, 4)).tolist())) for _ in range(rng.integers(0, 5))] for _ in range(9)]
+    label, blank = rng.integers(0, 2, 9), rng.integers(0, 3, 9)
+    sentences = [(d, hits) for d, found in enumerate(docs) for hits in found]
+    bags = toxicity.Bags(
+        label.astype(float),
+        blank.astype(float),
+        np.array([d for d, _ in sentences]),
+        np.array([len(hits) for _, hits in sentences], np.int32),
+        np.array([k for _, hits in sentences for k in hits], np.uint16),
+    )
+
+    def loss(weights, bias):
+        total = 0.0
+        for found, toxic, n in zip(docs, label, blank, strict=True):
+            clean = 1.0
+            for hits in [*found, *[[]] * n]:
+                clean *= 1 - 1 / (1 + math.exp(-(bias + sum(weights[k] for k in hits))))
+            chance = max(1 - clean, 1e-12)
+            total -= math.log(chance) if toxic else math.log(1 - chance)
+        return total / len(docs)
+
+    weights, bias = rng.normal(0, 1, 6), -1.5
+    got, slant, tilt = toxicity.loss_and_slopes(bags, weights, bias)
+    assert abs(got - loss(weights, bias)) < 1e-6
+    for k in range(6):
+        step = np.eye(6)[k] * 1e-6
+        assert abs((loss(weights + step, bias) - loss(weights - step, bias)) / 2e-6 - slant[k]) < 1e-6
+    assert abs((loss(weights, bias + 1e-6) - loss(weights, bias - 1e-6)) / 2e-6 - tilt) < 1e-6
+
+
+def test_blocks_of_hits_do_not_change_the_slopes(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 9, 300).astype(np.int32)
+    bags = toxicity.Bags(rng.integers(0, 2, 40).astype(float), np.ones(40), np.sort(rng.integers(0, 40, 300)), sizes, rng.integers(0, 50, sizes.sum()).astype(np.uint16))
+    weights = rng.normal(0, 1, 50)
+    whole = toxicity.loss_and_slopes(bags, weights, -2.0)
+    monkeypatch.setattr(toxicity, "BLOCK", 5)
+    small = toxicity.loss_and_slopes(bags, weights, -2.0)
+    assert whole[0] == pytest.approx(small[0]) and np.allclose(whole[1], small[1]) and whole[2] == pytest.approx(small[2])
+
+
+def test_what_training_takes_is_bounded(spark, model):
+    rows = model[1][:200]
+    labels = spark.createDataFrame([(i, int(k % 4 == 0)) for k, (i, _) in enumerate(rows)], "doc_id long, toxic int")
+    docs = docs_frame(spark, rows)
+    again = docs.union(docs).union(docs_frame(spark, [(rows[0][0], f"other {k}") for k in range(50)]))
+    taken = toxicity.training_rows(again, labels)
+    assert taken.count() == taken.select("doc_id").distinct().count() == toxicity.training_rows(docs, labels).count()
+    index = {w: k for k, w in enumerate(sorted({w for _, t in rows for w in t.lower().split()}))}
+    hits = toxicity._numbered(toxicity.training_rows(docs, labels), index)
+    whole = toxicity._gathered(hits, 10**9)
+    part = toxicity._gathered(hits, len(whole.hits) // 2)
+    assert 0 < len(part.hits) < 0.8 * len(whole.hits) and len(part.hits) == part.sizes.sum()
+
+
 def test_toxicity_of_awkward_rows(spark, model):
     fitted, _, _ = model
     found = toxicity.score(docs_frame(spark, AWKWARD), fitted).collect()
@@ -189,6 +271,13 @@ def test_toxicity_of_awkward_rows(spark, model):
     assert toxicity.fit(docs_frame(spark, AWKWARD), none).weights == {}
 
 
+def test_pipeline_of_nothing(spark, tmp_path):
+    docs_frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_labels_of_held_out_documents_are_not_read(spark):
     rows, labels = labelled(random.Random(9), 200)
     taken = toxicity.training_rows(docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
@@ -203,7 +292,8 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     rows += [(1000 + k, copy) for k in range(30)]
     rows += [(2000 + k, " ".join([*near, *["tail"] * k])) for k in range(4)]
     rows += [(3000, f"{prose(rng, 20)} {item} {prose(rng, 20)}"), (None, "no id at all"), (4000, None), (4001, "")]
-    docs_frame(spark, rows, clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    rows += [(None, " ".join([*near, "tail", "end"])), (None, f"{prose(rng, 20)} {item}"), (5000, "clean text of this id"), (5000, f"{item} too")]
+    docs_frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, toxic int").selectExpr("doc_id", "1 as quality", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
@@ -215,11 +305,12 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
         kept[name] = {r.doc_id for r in docs.collect()}
         assert docs.columns == columns and kept[name] <= before and None in kept[name]
     toxic = {i for i, y in labels if y}
-    assert len(toxic & kept["toxicity"]) < 0.1 * len(toxic) and len(kept["toxicity"] - toxic) >= len(rows) - len(toxic) - 33 - 6
+    assert len(toxic & kept["toxicity"]) < 0.1 * len(toxic) and len(kept["toxicity"] - toxic) >= len(rows) - len(toxic) - 33 - 8
     assert {i for i in kept["exact_dedup"] if i and 1000 <= i < 2000} == {1029}
     assert {i for i in kept["jaccard_join"] if i and 2000 <= i < 3000} == {2000}
     assert {4000, 4001} & kept["jaccard_join"] == {4001}
     assert 3000 in kept["jaccard_join"] and 3000 not in kept["decontaminate"]
     assert kept["jaccard_join"] - kept["decontaminate"] == {3000}
+    assert {r.text for r in docs.where("doc_id is null or doc_id = 5000").collect()} == {"no id at all", "clean text of this id"}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {p.doc_id for p in packed} == kept["decontaminate"]

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -219,3 +220,139 @@ def test_extract_of_awkward_rows(spark):
     found = html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in found) == [(0, "", 0), (1, "", 0), (2, "hi you", 6), (2, "hi you", 6)]
     assert html_extract.extract(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_the_region_is_the_best_of_all_contiguous_ranges():
+    rng = random.Random(12)
+    weights = html_extract.trained()
+    pages = [p.replace("[[", "").replace("]]", "") for p in html_extract.LABELLED]
+    sums = [[score for score, _, _ in html_extract.scored_runs(page, weights)] for page in pages]
+    sums += [[rng.choice([-2.0, -0.5, 0.0, 0.25, 1.0]) for _ in range(rng.randrange(0, 40))] for _ in range(300)]
+    for scores in sums:
+        best = max(sum(scores[a:b]) for a in range(len(scores) + 1) for b in range(a, len(scores) + 1))
+        start, end = html_extract.best_region(scores)
+        assert sum(scores[start:end]) == pytest.approx(best)
+
+
+def within(seconds, work):
+    began = time.process_time()
+    result = work()
+    assert time.process_time() - began < seconds
+    return result
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 150_000 + "</i>" * 150_000,
+        "<b>" * 150_000 + "<br>" * 150_000,
+        "<p><td>" + "<b>" * 100_000 + "<h1>x</h1>" * 60_000,
+        "".join(f'<div class="k{k}">word ' for k in range(40_000)),
+        "<b>" * 120_000 + "<body>" * 100_000,
+        '<b class="menu">word ' * 50_000,
+    ],
+)
+def test_a_large_page_of_unclosed_tags_is_read_in_linear_time(page):
+    within(30, lambda: html_extract.main_text(page, html_extract.trained()))
+
+
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ('secret_x = "Kd93kfLL02qP"\n' + "secret_x = secret_x + secret_x\n" * 32_000, 1),
+        ('secret_q = "Kd93kfLL02qP"\n' + "secret_q = secret_q + 'abcd'\n" * 34_000, 34_001),
+        ("<ab>" * 250_000, 0),
+        ("secret=" * 145_000, 0),
+        ("a" * 1_000_000, 0),
+        ("db_pwd_" * 140_000 + '="Kd93kfLL02qP"', 1),
+        ("password=abcdefgh12 " * 50_000, 0),
+        ("<a>" * 150_000 + "</a>" * 100_000, 0),
+    ],
+)
+def test_a_large_text_of_assignments_is_read_in_linear_time(text, spans):
+    found = within(30, lambda: secrets.named_spans(text, secrets.base_spans(text)))
+    assert len(found) == spans
+
+
+def test_a_name_of_any_length_binds_as_it_is_written():
+    name = "very_" * 40 + "long_name"
+    text = f'{name} = "Kd93kfLL02qP"\ndb_pwd = {name}\ndb_pwd = {name[90:]}\n'
+    start = text.index("Kd93")
+    assert secrets.named_spans(text, []) == [("named", start, start + 12)]
+
+
+def test_joined_looks_are_the_looks_of_joined_literals():
+    rng = random.Random(8)
+    for _ in range(3000):
+        parts = ["".join(rng.choice("abXY09-/:. #<$x") for _ in range(rng.randrange(0, 9))) for _ in range(4)]
+        look = secrets.Look()
+        for part in parts:
+            look += secrets.Look.of(part)
+        assert look.score() == pytest.approx(secrets.literal_score("".join(parts)))
+        assert look == secrets.Look.of("".join(parts))
+
+
+#: Labelled lines that the field was not trained on, in the notation of its table.
+HELD_OUT = (
+    "write {email kim at haven dot org} if you can",
+    "or mail {email lou (at) river (dot) example (dot) net} instead",
+    "her address is {email nora [at] stone [dot] com} , he wrote",
+    "e-mail {email otto at depot dot org} before nine",
+    "ask {email pia at mill dot net} about the key",
+    "call {phone (444) 321-7654} tonight",
+    "phone: {phone 444-321-7654} or write",
+    "tel. {phone 040 7654321} in the evening",
+    "dial {phone 0151 5559876} for news",
+    "mobile {phone 0152-55587654} after noon",
+    "the ssn {id 321-54-9876} was sold",
+    "SSN: {id 456-12-7890}",
+    "passport {id K03Z11P52} is lost",
+    "iban {id NL91ABNA0417164300} was seen",
+    "IBAN: {id ES9121000418450200051332}",
+    "yesterday {name Dr. Lena Frost} came",
+    "ask {name Mr. Harper} about that",
+    "with {name Mrs. Ida Brandt} and more",
+    "name: {name Paul Winter} , aged nine",
+    "contact {name Ms. Nell Archer} here",
+    "they looked at the dot at the end of it",
+    "it was at home at ten and at work at noon",
+    "there were 42 of them and 512 more in 1987",
+    "see pages 31-38 and chapter 9 of part 2",
+    "order 88123 came on 2019-02-11 and cost 17.20",
+    "The Long Road To The Coast Was Closed And Nobody Went There",
+    "He found a card and a number in the old house",
+)
+
+
+def test_the_field_on_lines_it_has_not_seen():
+    field = pii.trained()
+    tagger = pii.Tagger(field)
+    hits, told, every = ({kind: 0 for kind in pii.LABELS[1:]} for _ in range(3))
+    for line in HELD_OUT:
+        words, labels = pii._read(line)
+        chains = tagger.chains(" ".join(words))
+        out = [0] * len(words)
+        for (low, _), path in zip(chains, field.decode([s for _, s in chains]), strict=True):
+            out[low : low + len(path)] = path
+        for a, b in zip(out, labels, strict=True):
+            if a:
+                told[pii.LABELS[a]] += 1
+                hits[pii.LABELS[a]] += a == b
+            if b:
+                every[pii.LABELS[b]] += 1
+    assert all(hits[kind] >= 0.8 * every[kind] for kind in every), (hits, every)  # recall
+    assert all(hits[kind] >= 0.8 * told[kind] for kind in every), (hits, told)  # precision
+
+
+def test_the_field_decides_and_not_the_pattern_of_spelled_addresses():
+    """Sentences that the pattern takes for an address, and the field does not."""
+    field = pii.trained()
+    tagger = pii.Tagger(field)
+    for text in ("we looked at the dot on that map", "she was at home dot and left", "they met at that dot over there"):
+        assert pii._SPELLED.search(text)
+        chains = tagger.chains(text)
+        assert tagger.spans(text, list(zip([low for low, _ in chains], field.decode([s for _, s in chains]), strict=True))) == []
+
+
+def test_a_long_word_has_the_shape_of_all_its_runs():
+    assert pii._shape("a1" * 20) == "xd1" * 20 and pii._shape("a1" * 20) != pii._shape("a1" * 19)
