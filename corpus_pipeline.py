@@ -2,8 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
-the columns of ``documents``. A null ``doc_id`` passes the filters that name
-documents by id, since nothing names it.
+the columns of ``documents``.
+
+Filters judge rows, by id and text: a null id is no exemption, and of rows that
+share an id each is judged by its own text. Defined cases: a null text is empty,
+never toxic, never contaminated and near to nothing, and of all empty texts one
+stays (that with the largest id); of a component of near copies the smallest id
+stays, null ids last, and of one id's texts one; a text of any length is read
+whole; repeated rows are one after exact dedup; an empty table passes through
+all stages; further columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wickline.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
-from wickline.llm.common import stored, table, without
+from wickline.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,12 +36,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the smallest id stays."""
-    return without(docs, jaccard_join.join(docs).where("doc_id <> component_id"))
+    return jaccard_join.keep(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
