@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline import configure
-from wickline.constants import DATASETS
+from wickline.constants import DATASETS, KLINES
 from wickline.functions import errors, keys, numbers, times
 from wickline.operators import candles, coverage, funding, gaps, status, universe
-from wickline.plans import adapters, api, compaction
+from wickline.plans import adapters, api, compaction, ingest
 from wickline.schemas import SOURCE
 from wickline.session import Scratch, remove_folders
 from wickline.sources import archives, ledgers, listing, pages, tables
@@ -39,6 +39,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 WINDOW = (1704412800, 1705622400)  # 2024-01-05 .. 2024-01-19
 FUNDING_WINDOW = (852076800, 915148799)  # 1997 .. 1998
 DAYS = (dt.date(2024, 1, 1), dt.date(2024, 2, 10))
+#: A range around all events.
+EVENT_DAYS = (dt.date(2023, 12, 1), dt.date(2024, 3, 31))
 QUOTES = ("USDT", "USDC")
 FALLBACK_URL = "premium-endpoint"
 REST_URL = "funding-endpoint"
@@ -633,6 +635,26 @@ def stored_empty_days(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(api.load_klines(spark, layout.root, ordered=False), "volume")
 
 
+def _refreshed(spark: SparkSession, sf: str, times_: int) -> DataFrame:
+    """Candles after archives of all events landed, and maybe corrected ones of even days, and were refreshed each time."""
+    root = _fresh_folder(spark, "refreshed")
+    symbols = adapters.event_candles(spark, sf).select("symbol").distinct()
+    request = ingest.Request(symbols, *EVENT_DAYS, datasets=[KLINES], base_url="https://host")
+    for turn in range(times_):
+        landed = _fresh_folder(spark, "landed")
+        adapters.land(adapters.daily_archives(spark, sf, again=turn > 0), landed)
+        ingest.ingest_landed(spark, root, landed, request)
+    return _rounded(api.load_klines(spark, root, ordered=False), "volume")
+
+
+def refresh_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, 1)
+
+
+def refresh_twice(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, 2)
+
+
 # --- keys ---
 
 
@@ -778,6 +800,8 @@ def queries() -> dict[str, Query]:
         symbol_key,
         storage_key,
         canonical_symbols,
+        refresh_round_trip,
+        refresh_twice,
         stored_candles,
         stored_resampled,
         stored_gap_ledger,

@@ -216,14 +216,15 @@ def test_ledgers(spark, tmp_path):
     assert sorted(r["row_count"] for r in ledgers.read_sources(spark, layout).collect()) == [0, 2]
     stored = ledgers.read_status(spark, layout).first()
     assert (stored["status"], stored["failed_item_count"], stored["source_count"]) == ("degraded", 1, 1)
-    lines = spark.read.text(layout.ledger("sources")).collect()
+    lines = spark.read.text(layout.version(spark).folders("sources")).collect()
     assert all(line[0].startswith('{"checksum":null,"dataset":') for line in lines)
 
 
 @pytest.mark.parametrize("line", ['{"dataset":1}', "[]", '{"dataset":"d"', "null"])
 def test_broken_ledger_lines_are_errors(spark, tmp_path, line):
     layout = Layout(str(tmp_path))
-    spark.createDataFrame([(line,)], "value string").write.text(layout.ledger("failures"))
+    with layout.changing(spark) as inside:
+        inside.commit.write_ledger(spark.createDataFrame([(line,)], "value string"), "failures")
     with pytest.raises(Exception, match="ledger field|MALFORMED"):
         ledgers.read_failures(spark, layout).collect()
 
@@ -235,7 +236,8 @@ def test_gap_ledger_drops_mistyped_records_and_appends_once(spark, tmp_path):
         '"observed_after_ts":1700000120,"observed_before_ts":1699999940,"reason":"timestamp_gap","symbol":"BTCUSDT"}'
     )
     lines = [good.replace("BTCUSDT", "A").replace(':1,', ':"1",'), good.replace(':1,', ":true,"), "[1]", good]
-    spark.createDataFrame([(x,) for x in lines], "value string").write.text(layout.ledger("gaps"))
+    with layout.changing(spark) as inside:
+        inside.commit.write_ledger(spark.createDataFrame([(x,) for x in lines], "value string"), "gaps")
     assert ledgers.read_gaps(spark, layout).count() == 1
     found = ledgers.read_gaps(spark, layout).withColumn("reason", F.lit("other"))
     more = found.unionByName(found.withColumn("symbol", F.lit("ETHUSDT")))

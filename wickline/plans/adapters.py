@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickline.constants import ARCHIVE_COLUMNS, ARCHIVE_KEY_ROOT, KLINES, PREMIUM
+from wickline.functions import keys
 from wickline.functions.times import timestamp_millis
 
 PAGE_ROWS = 500
@@ -199,17 +201,11 @@ def _zipped(texts: pd.Series) -> pd.Series:
     return texts.map(pack)
 
 
-def archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Events as zip archives and their checksum texts; the checksums of signups are wrong.
-
-    Archives of views have a header line; those of errors with a value below 1
-    hold a cell that is no number.
-    """
-    events = table(spark, sf_dir, "events").withColumn("symbol", _symbol())
-    spoilt = (F.col("event_type") == "error") & (F.col("value") < 1)
+def _event_lines(events: DataFrame, spoilt: Column) -> Column:
+    """An archive line of each event; the low price of spoilt ones is no number."""
     price = F.col("value")
     zero = F.lit("0")
-    line = F.concat_ws(
+    return F.concat_ws(
         ",",
         timestamp_millis(F.col("ts")).cast("string"),
         price.cast("string"),
@@ -224,6 +220,20 @@ def archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         zero,
         zero,
     )
+
+
+def _spoilt() -> Column:
+    return (F.col("event_type") == "error") & (F.col("value") < 1)
+
+
+def archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events as zip archives and their checksum texts; the checksums of signups are wrong.
+
+    Archives of views have a header line; those of errors with a value below 1
+    hold a cell that is no number.
+    """
+    events = table(spark, sf_dir, "events").withColumn("symbol", _symbol())
+    line = _event_lines(events, _spoilt())
     header = ",".join("count" if name == "trade_count" else name for name in ARCHIVE_COLUMNS)
     texts = _pages(events, ["symbol"], line, "\n").select(
         F.concat_ws("/", "symbol", F.concat("page_no", F.lit(".zip"))).alias("path"),
@@ -234,10 +244,61 @@ def archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         ).alias("csv"),
     )
     zips = texts.select("path", _zipped("csv").alias("content"))
-    wrong = F.col("path").startswith("SIGNUP")
+    return zips, _checksums(zips, F.col("path").startswith("SIGNUP"))
+
+
+def _checksums(zips: DataFrame, wrong: Column) -> DataFrame:
     digest = F.when(wrong, F.repeat(F.lit("0"), F.lit(64))).otherwise(F.sha2("content", 256))
-    checksums = zips.select("path", F.concat_ws("  ", digest, "path").alias("checksum_text"))
-    return zips, checksums
+    return zips.select("path", F.concat_ws("  ", digest, "path").alias("checksum_text"))
+
+
+def daily_archives(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """Events as landed files of daily candle archives: ``path`` and ``content``, checksums among them.
+
+    Checksums of signups are wrong. With ``again`` as they land a second time:
+    even days only, ten dearer, with right checksums, and clicks of days that
+    end in 0 as archives without a line.
+    """
+    events = table(spark, sf_dir, "events").withColumn("symbol", _symbol())
+    events = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    line = _event_lines(events, _spoilt())
+    if again:
+        number = F.dayofmonth("ts")
+        events = events.where(number % 2 == 0).withColumn("value", F.col("value") + 10)
+        # Its own value decides whether a cell is spoilt, as it did before.
+        line = _event_lines(events, (F.col("event_type") == "error") & (F.col("value") < 11))
+        line = F.when((F.col("event_type") == "click") & (number % 10 == 0), F.lit(None)).otherwise(line)
+    lines = events.groupBy("symbol", "day").agg(F.sort_array(F.collect_list(F.struct("event_id", line.alias("line")))).alias("lines"))
+    key = keys.archive_key(F.lit(KLINES), F.col("symbol"), F.lit("1m"), F.col("day"))
+    text = F.array_join(F.transform("lines.line", lambda written: F.concat(written, F.lit("\n"))), "")
+    header = ",".join("count" if name == "trade_count" else name for name in ARCHIVE_COLUMNS)
+    zips = lines.select(key.alias("path"), F.concat(F.lit(header + "\n"), text).alias("csv")).select("path", _zipped("csv").alias("content"))
+    wrong = F.lit(False) if again else F.col("path").contains("/SIGNUP")
+    checksums = _checksums(zips, wrong)
+    return zips.unionByName(
+        checksums.select(F.concat("path", F.lit(".CHECKSUM")).alias("path"), F.encode("checksum_text", "utf-8").alias("content"))
+    )
+
+
+def land(landed: DataFrame, folder: str) -> None:
+    """Write files (``path``, ``content``) below a folder, each by the task that has it."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                uri = f"{folder.rstrip('/')}/{path}"
+                if uri.startswith("file:"):
+                    uri = "/" + uri.removeprefix("file:").lstrip("/")
+                remote = "://" in uri
+                system, place = pafs.FileSystem.from_uri(uri) if remote else (pafs.LocalFileSystem(), uri)
+                system.create_dir(place.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(place) as stream:
+                    stream.write(content)
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    landed.mapInPandas(write, "files long").agg(F.sum("files")).collect()
 
 
 def fetch_outcomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from wickline.constants import FUNDING as FUNDING_DATASET
 from wickline.functions import keys
 from wickline.operators import candles, funding, gaps
 from wickline.schemas import FUNDING
-from wickline.sources import ledgers, listing, tables
+from wickline.sources import ledgers, tables, versions
 from wickline.sources.tables import Layout
 
 Symbols = str | Sequence[str] | None
@@ -215,8 +215,8 @@ def record_kline_gaps(
 def available_klines(
     spark: SparkSession, root: str, symbols: Symbols = None, interval: str | None = None
 ) -> DataFrame:
-    """Compacted (symbol, interval) pairs, ordered. No file is opened."""
-    found = listing.partition_values(spark, Layout(root).klines, tables.COMPACTED_PARTITIONS)
+    """Compacted (symbol, interval) pairs, ordered. No file of the table is opened."""
+    found = tables.partitions(spark, Layout(root), versions.KLINES)
     rows = _of_symbols(found, symbols)
     if interval is not None:
         rows = rows.where(F.col("interval") == keys.require_interval(interval))

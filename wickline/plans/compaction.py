@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from wickline.constants import DEFAULT_INTERVAL, FUNDING, KLINES
 from wickline.functions import keys, times
 from wickline.operators import candles
-from wickline.session import Scratch, remove_folders
-from wickline.sources import ledgers, listing, tables
+from wickline.session import Scratch
+from wickline.sources import ledgers, tables
 from wickline.sources.tables import Layout
 
 DAY_MILLIS = 86_400_000
@@ -77,16 +77,18 @@ def _all_values() -> Column:
 
 def store_raw_candles(rows: DataFrame, layout: Layout) -> None:
     """Replace raw partitions and note those that hold rows of other days."""
-    tables.write_raw_candles(rows, layout)
-    ledgers.record_strays(rows, "open_time", layout)
+    with layout.changing(rows.sparkSession) as inside:
+        tables.write_raw_candles(rows, inside)
+        ledgers.record_strays(rows, "open_time", inside)
 
 
 def store_raw_funding(rows: DataFrame, layout: Layout) -> None:
     """As :func:`store_raw_candles` for funding events."""
-    tables.write_raw_funding(rows, layout)
     placed = rows.withColumn("dataset", F.lit(FUNDING))
     placed = placed.withColumn("interval", F.lit(None).cast("string"))
-    ledgers.record_strays(placed, "funding_time", layout)
+    with layout.changing(rows.sparkSession) as inside:
+        tables.write_raw_funding(rows, inside)
+        ledgers.record_strays(placed, "funding_time", inside)
 
 
 def touched_years(rows: DataFrame) -> DataFrame:
@@ -105,14 +107,17 @@ def compact_klines(
     interval: str = DEFAULT_INTERVAL,
     dedupe: str | None = "latest_period",
     touched: DataFrame | None = None,
+    layout: Layout | None = None,
 ) -> None:
     """Recompute compacted candles from all their raw rows.
 
     ``symbols`` limits the work to these. ``touched`` (symbol, interval, year)
-    limits it to partitions that received rows; the others stay as they are.
+    limits it to partitions that received rows; the others stay as they are, and
+    those without a raw row left are removed. ``layout`` is the one of a change
+    that this is a part of.
     """
     keys.interval_millis(interval)  # An unsupported interval fails before any write.
-    layout = Layout(root)
+    layout = layout or Layout(root)
     named = None if symbols is None else [keys.partition_symbol(s) for s in symbols]
     if touched is None:
         raw = _raw(spark, layout, named, interval)
@@ -124,8 +129,7 @@ def compact_klines(
         if named is not None:
             touched = touched.where(F.col("symbol").isin(named))
         raw = _rows_of_years(spark, layout, touched, interval)
-        tables.write_compacted(compacted_rows(raw.drop("year"), interval, dedupe), layout)
-        _remove_emptied(spark, layout, touched, raw)
+        tables.write_compacted(compacted_rows(raw.drop("year"), interval, dedupe), layout, touched)
 
 
 def _raw(
@@ -159,20 +163,6 @@ def _rows_of_years(
     return placed.join(touched, ["symbol", "interval", "year"], "left_semi")
 
 
-def _remove_emptied(
-    spark: SparkSession, layout: Layout, touched: DataFrame, raw: DataFrame
-) -> None:
-    """Remove compacted partitions of touched years whose raw rows are all gone.
-
-    Only folders to remove reach the driver.
-    """
-    place = list(tables.COMPACTED_PARTITIONS)
-    stored = listing.partition_values(spark, layout.klines, place).join(touched, place, "left_semi")
-    alive = raw.where(_complete()).select(*place).distinct()
-    gone = stored.join(alive, place, "left_anti").select("folder")
-    remove_folders(spark, [row["folder"] for row in gone.collect()])
-
-
 def import_stored_klines(
     spark: SparkSession,
     root: str,

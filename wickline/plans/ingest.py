@@ -408,15 +408,15 @@ def ingest_landed(spark: SparkSession, root: str, landed: str, request: Request)
 
     Raw partitions of the archives and pages found are replaced, the ledgers and
     the status document are published, and the touched years are compacted again
-    from all their raw rows.
+    from all their raw rows. All of it is one change: readers see it when it is
+    complete, and a refresh that fails leaves everything as it was.
     """
     keys.interval_millis(request.interval)
-    layout = Layout(root)
     started = dt.datetime.now(dt.UTC)
     symbols = _symbols(spark, request.symbols)
     datasets = [keys.require_dataset(name) for name in request.datasets]
     request = Request(**{**request.__dict__, "datasets": datasets})
-    with Scratch(spark, root) as scratch:
+    with Scratch(spark, root) as scratch, Layout(root).changing(spark) as layout:
         symbols = scratch.keep(symbols)
         targets = coverage.refresh_targets(
             symbols,
@@ -437,7 +437,7 @@ def ingest_landed(spark: SparkSession, root: str, landed: str, request: Request)
             parts.append(_refresh_funding(job))
         resolved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         if request.compact and touched is not None:
-            compaction.compact_klines(spark, root, None, request.interval, touched=touched)
+            compaction.compact_klines(spark, root, None, request.interval, touched=touched, layout=layout)
         return _publish(spark, layout, request, symbols, resolved, started)
 
 

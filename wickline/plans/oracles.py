@@ -25,6 +25,28 @@ _WINDOW = "e BETWEEN 1704412800 AND 1705622400"
 _FUNDING_WINDOW = "BETWEEN 852076800 AND 915148799"
 
 
+# Daily archives: refused whole if their checksum is wrong or a cell is spoilt. The second landing has even days only.
+_LANDED = """landed AS (
+  SELECT *, bool_or(spoilt) OVER (PARTITION BY symbol, d) AS refused
+  FROM (SELECT upper(event_type) || 'USDT' AS symbol, CAST(ts AS DATE) AS d, epoch_ms(ts) AS ms, value AS v,
+               event_id AS k, event_type = 'error' AND value < 1 AS spoilt FROM events)),
+landing_one AS (SELECT symbol, d, ms, v, k FROM landed WHERE NOT refused AND symbol <> 'SIGNUPUSDT'),
+landing_two AS (
+  SELECT symbol, d, ms, v + 10 AS v, k FROM landed
+  WHERE NOT refused AND day(d) % 2 = 0 AND NOT (symbol = 'CLICKUSDT' AND day(d) % 10 = 0)),
+landing_both AS (
+  SELECT * FROM landing_two UNION ALL
+  SELECT * FROM landing_one WHERE day(d) % 2 = 1)"""
+
+
+def _refreshed(rows: str) -> str:
+    return f"""WITH {_LANDED},
+unique_times AS (SELECT symbol, ms, arg_max(v, k) AS v FROM {rows} GROUP BY 1, 2)
+SELECT symbol, ms // 60000 * 60 AS "timestamp", arg_min(v, ms) AS "open", max(v + 1) AS high,
+       min(v - 1) AS low, arg_max(v + 0.5, ms) AS "close", round(sum(v), 6) AS volume
+FROM unique_times GROUP BY 1, 2"""
+
+
 def _resample(seconds: int, where: str = "TRUE") -> str:
     return f"""WITH {_EVENTS}
 SELECT symbol, CAST(floor(e / {seconds}) * {seconds} AS BIGINT) AS "timestamp",
@@ -436,6 +458,8 @@ SELECT symbol, strftime(make_timestamp(ms // 60000 * 60000000), '%Y') AS "year",
        max(h + more) AS high, min(l + more) AS low, arg_max(c + more, ms) AS "close",
        round(sum(volume), 6) AS volume, CAST(sum(trades) AS BIGINT) AS trade_count
 FROM times GROUP BY 1, 2, 3""",
+    "refresh_round_trip": _refreshed("landing_one"),
+    "refresh_twice": _refreshed("landing_both"),
     "stored_candles": f"""WITH {_EVENTS}, {_STORED % ''}
 SELECT symbol, t AS "timestamp", o AS "open", h AS high, l AS low, c AS "close",
        round(v, 6) AS volume FROM minute_rows""",

@@ -15,7 +15,7 @@ from wickline.constants import (
 from wickline.functions import times
 from wickline.operators import status as status_operators
 from wickline.operators import universe as universe_operators
-from wickline.sources import ledgers, listing, pages, tables
+from wickline.sources import ledgers, listing, pages, tables, versions
 from wickline.sources.tables import Layout
 
 
@@ -53,9 +53,8 @@ def status(spark: SparkSession, root: str) -> DataFrame:
 
 
 def local_symbols(spark: SparkSession, root: str) -> DataFrame:
-    """Symbols with raw candles, ordered. No file is opened."""
-    folder = f"{Layout(root).raw_candles}/dataset={KLINES}"
-    found = listing.partition_values(spark, folder, ["symbol"])
+    """Symbols with raw candles, ordered. No file of the table is opened."""
+    found = tables.partitions(spark, Layout(root), versions.RAW_CANDLES).where(F.col("dataset") == KLINES)
     return found.select("symbol").distinct().orderBy("symbol")
 
 
@@ -78,13 +77,11 @@ def local_observations(spark: SparkSession, root: str) -> DataFrame:
     """What the stored tables show per dataset, interval, symbol and period."""
     layout = Layout(root)
     candles = status_operators.compacted_observations(tables.read_compacted(spark, layout))
-    raw = f"{layout.raw_candles}/dataset={PREMIUM}"
-    premium = listing.partition_values(spark, raw, tables.RAW_PARTITIONS[1:])
-    funding = listing.partition_values(spark, layout.raw_funding, tables.FUNDING_PARTITIONS)
+    premium = tables.partitions(spark, layout, versions.RAW_CANDLES).where(F.col("dataset") == PREMIUM)
+    funding = tables.partitions(spark, layout, versions.RAW_FUNDING)
 
     def of_periods(rows: DataFrame, dataset: str, interval: str | None) -> DataFrame:
         column = F.col(interval) if interval else F.lit(None).cast("string")
-        # Names of directories alone, so no file is opened.
         periods = rows.select(column.alias("interval"), "symbol", "period").distinct()
         return periods.select(
             F.lit(dataset).alias("dataset"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on. All can be changed on a live session.
@@ -94,6 +95,50 @@ class Scratch:
         return self._spark.read.schema(df.schema).parquet(path)
 
 
+def file_names(spark: SparkSession, path: str, older_than_hours: float | None = None) -> list[str]:
+    """Names of what a folder holds, none where it does not exist; maybe only what is old enough."""
+    system, folder, _ = _file_system(spark, path)
+    if not system.exists(folder):
+        return []
+    entries = system.listStatus(folder)
+    if older_than_hours is not None:
+        newest = (time.time() - older_than_hours * 3600) * 1000
+        entries = [entry for entry in entries if entry.getModificationTime() <= newest]
+    return [entry.getPath().getName() for entry in entries]
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    system, place, _ = _file_system(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with all of its content at once; False where there is one of this name."""
+    system, place, _ = _file_system(spark, path)
+    jvm = spark._jvm
+    system.mkdirs(place.getParent())
+    draft = jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE  # fails where the name is taken
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, place, options)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def remove_folders(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         system, folder, _ = _file_system(spark, path)

@@ -30,8 +30,15 @@ _GETTERS = {
 }
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return listing.or_empty(spark, lambda: spark.read.text(path), _TEXT)
+def _lines(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    folders = layout.version(spark).folders(name)
+    return spark.read.text(folders) if folders else spark.createDataFrame([], _TEXT)
+
+
+def _json(spark: SparkSession, layout: Layout, name: str, schema: T.StructType, **options: str) -> DataFrame:
+    folders = layout.version(spark).folders(name)
+    reader = spark.read.schema(schema).options(**options)
+    return reader.json(folders) if folders else spark.createDataFrame([], schema)
 
 
 def _records(lines: DataFrame) -> DataFrame:
@@ -65,39 +72,34 @@ def gap_records(lines: DataFrame) -> DataFrame:
     return _records(lines).select(*[_typed(f).alias(f.name) for f in GAP.fields]).dropna()
 
 
-def _sorted_keys(df: DataFrame) -> DataFrame:
-    return df.select(*sorted(df.columns))
-
-
-def _overwrite(df: DataFrame, path: str) -> None:
-    _sorted_keys(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
-
-
-def _append(df: DataFrame, path: str) -> None:
-    _sorted_keys(df).write.mode("append").option("ignoreNullFields", False).json(path)
+def _write(df: DataFrame, layout: Layout, name: str, keep: bool = False) -> None:
+    """Replace a ledger, or with ``keep`` add to it: one JSON object a line, its keys sorted."""
+    record = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    with layout.changing(df.sparkSession) as inside:
+        inside.commit.write_ledger(df.select(record.alias("value")), name, keep)
 
 
 def read_failures(spark: SparkSession, layout: Layout) -> DataFrame:
-    return strict_records(_lines(spark, layout.ledger("failures")), FAILURE)
+    return strict_records(_lines(spark, layout, "failures"), FAILURE)
 
 
 def read_sources(spark: SparkSession, layout: Layout) -> DataFrame:
-    return strict_records(_lines(spark, layout.ledger("sources")), SOURCE)
+    return strict_records(_lines(spark, layout, "sources"), SOURCE)
 
 
 def append_failures(failures: DataFrame, layout: Layout) -> None:
     """Add failures; the status document stays as it is."""
-    _append(failures.select(*FAILURE.names), layout.ledger("failures"))
+    _write(failures.select(*FAILURE.names), layout, "failures", keep=True)
 
 
 def append_sources(sources: DataFrame, layout: Layout) -> None:
     """Add sources; the status document stays as it is."""
-    _append(sources.select(*SOURCE.names), layout.ledger("sources"))
+    _write(sources.select(*SOURCE.names), layout, "sources", keep=True)
 
 
 def read_gaps(spark: SparkSession, layout: Layout) -> DataFrame:
     """Missing-candle ranges by key. Records with a field of another type are left out."""
-    return gap_records(_lines(spark, layout.ledger("gaps"))).orderBy(*GAP_KEY)
+    return gap_records(_lines(spark, layout, "gaps")).orderBy(*GAP_KEY)
 
 
 def record_gaps(found: DataFrame, layout: Layout) -> None:
@@ -107,31 +109,34 @@ def record_gaps(found: DataFrame, layout: Layout) -> None:
     adds nothing.
     """
     existing = read_gaps(found.sparkSession, layout)
-    _append(new_gaps(existing, found), layout.ledger("gaps"))
+    _write(new_gaps(existing, found), layout, "gaps", keep=True)
 
 
 def _read_strays(spark: SparkSession, layout: Layout) -> DataFrame:
-    reader = spark.read.schema(STRAY)
-    return listing.or_empty(spark, lambda: reader.json(layout.ledger("strays")), STRAY)
+    return _json(spark, layout, "strays", STRAY)
 
 
 def record_strays(rows: DataFrame, time: str, layout: Layout) -> None:
-    """Note raw partitions with rows outside their own period.
+    """Note which of the raw partitions of ``rows`` have rows outside their own period.
 
-    Takes raw rows with their partition columns. Reads of a time range open the
-    partitions of the range and the noted ones, so none has to open them all.
+    Takes raw rows with their partition columns; earlier notes of these partitions
+    go. Reads of a time range open the partitions of the range and the noted
+    ones, so none has to open them all.
     """
     day = F.col(time).cast("date")
     period = F.col("period")
     outside = (day < times.period_start_day(period)) | (
         day > times.period_end_day(period).cast("date")
     )
-    found = rows.where(outside).select(*STRAY.names).distinct()
     known = _read_strays(rows.sparkSession, layout)
-    same = [found[name].eqNullSafe(known[name]) for name in STRAY.names]
-    new = found.join(known, same, "left_anti")
-    if not new.isEmpty():
-        _append(new, layout.ledger("strays"))
+    places = rows.groupBy(*STRAY.names).agg(F.coalesce(F.bool_or(outside), F.lit(False)).alias("stray"))
+    strays = places.where("stray").select(*STRAY.names)
+    if known.isEmpty():
+        if not strays.isEmpty():
+            _write(strays, layout, "strays")
+        return
+    same = [known[name].eqNullSafe(places[name]) for name in STRAY.names]
+    _write(known.join(places, same, "left_anti").unionByName(strays), layout, "strays")
 
 
 def stray_periods(spark: SparkSession, layout: Layout, dataset: str) -> list[str]:
@@ -142,8 +147,7 @@ def stray_periods(spark: SparkSession, layout: Layout, dataset: str) -> list[str
 
 def read_status(spark: SparkSession, layout: Layout) -> DataFrame:
     """The published status, one row; status ``missing`` when none has been published."""
-    reader = spark.read.schema(STATUS).option("mode", "FAILFAST")
-    stored = listing.or_empty(spark, lambda: reader.json(layout.ledger("status")), STATUS)
+    stored = _json(spark, layout, "status", STATUS, mode="FAILFAST")
     default = spark.range(1).select(
         F.lit("missing").alias("status"),
         F.lit(None).cast(STATUS["last_run"].dataType).alias("last_run"),
@@ -159,15 +163,16 @@ def read_status(spark: SparkSession, layout: Layout) -> DataFrame:
 def publish(
     layout: Layout, status: DataFrame, failures: DataFrame, sources: DataFrame
 ) -> None:
-    """Replace the status document, the failures and the sources."""
-    _overwrite(failures.select(*FAILURE.names), layout.ledger("failures"))
-    _overwrite(sources.select(*SOURCE.names), layout.ledger("sources"))
-    _overwrite(status.select(*STATUS.names), layout.ledger("status"))
+    """Replace the status document, the failures and the sources, all at once."""
+    with layout.changing(status.sparkSession) as inside:
+        _write(failures.select(*FAILURE.names), inside, "failures")
+        _write(sources.select(*SOURCE.names), inside, "sources")
+        _write(status.select(*STATUS.names), inside, "status")
 
 
 def publish_universe(universe: DataFrame, layout: Layout) -> None:
     """Replace the stored universe."""
-    _overwrite(universe.select(*UNIVERSE.names), layout.ledger("universe"))
+    _write(universe.select(*UNIVERSE.names), layout, "universe")
 
 
 def publish_symbols(symbols: DataFrame, layout: Layout) -> None:
@@ -176,8 +181,7 @@ def publish_symbols(symbols: DataFrame, layout: Layout) -> None:
 
 
 def read_universe(spark: SparkSession, layout: Layout) -> DataFrame:
-    reader = spark.read.schema(UNIVERSE).option("mode", "FAILFAST")
-    return listing.or_empty(spark, lambda: reader.json(layout.ledger("universe")), UNIVERSE)
+    return _json(spark, layout, "universe", UNIVERSE, mode="FAILFAST")
 
 
 def read_universe_document(spark: SparkSession, path: str) -> DataFrame:

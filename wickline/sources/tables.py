@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,20 +22,32 @@ from wickline.constants import (
 from wickline.functions import keys, numbers, times
 from wickline.operators.candles import OHLCV
 from wickline.schemas import COMPACTED, KLINE, RAW_FUNDING, RAW_KLINE, RESAMPLED
-from wickline.session import remove_folders
-from wickline.sources import listing
+from wickline.sources import listing, versions
 
-RAW_PARTITIONS = ("dataset", "symbol", "interval", "period")
-FUNDING_PARTITIONS = ("symbol", "period")
-COMPACTED_PARTITIONS = ("symbol", "interval", "year")
-RESAMPLED_PARTITIONS = ("timeframe", "symbol", "year")
+RAW_PARTITIONS = versions.PLACES[versions.RAW_CANDLES]
+FUNDING_PARTITIONS = versions.PLACES[versions.RAW_FUNDING]
+COMPACTED_PARTITIONS = versions.PLACES[versions.KLINES]
+RESAMPLED_PARTITIONS = versions.PLACES[versions.RESAMPLED]
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables lie under one root (any Spark path or URI)."""
+    """The tables under one root (any Spark path or URI), as readers or as one unfinished change sees them."""
 
     root: str
+    commit: versions.Commit | None = None
+
+    def version(self, spark: SparkSession) -> versions.Version:
+        return self.commit.version if self.commit else versions.latest(spark, self.root)
+
+    @contextmanager
+    def changing(self, spark: SparkSession) -> Iterator[Layout]:
+        """The layout within a change; what is written through it becomes visible when the outermost block ends."""
+        if self.commit:
+            yield self
+            return
+        with versions.commit(spark, self.root) as commit:
+            yield Layout(self.root, commit)
 
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -47,17 +60,6 @@ class Layout:
     def raw_funding(self) -> str:
         return self._at("raw_funding")
 
-    @property
-    def klines(self) -> str:
-        return self._at("klines")
-
-    @property
-    def resampled(self) -> str:
-        return self._at("resampled")
-
-    def ledger(self, name: str) -> str:
-        return self._at(f"ledger/{name}")
-
 
 def _segments(symbols: Sequence[str] | None) -> str:
     """Glob of the ``symbol=`` directories. Spark writes special characters as ``%XX``."""
@@ -71,10 +73,12 @@ def _segments(symbols: Sequence[str] | None) -> str:
     return "symbol=" + listing.one_of(names)
 
 
-def _read_below(spark: SparkSession, base: str, below: str, schema: StructType) -> DataFrame:
-    """A partitioned table, listed from the directories that match ``below`` on."""
-    reader = spark.read.schema(schema).option("basePath", base)
-    return listing.or_empty(spark, lambda: reader.parquet(f"{base}/{below}"), schema)
+def _scope(symbols: Sequence[str] | None, **values: str | None) -> Column:
+    """A test of partition columns: the symbols and values asked for, where any are."""
+    asked = F.lit(True) if symbols is None else F.col("symbol").isin(list(symbols))
+    for name, value in values.items():
+        asked = asked if value is None else asked & (F.col(name) == value)
+    return asked
 
 
 def read_raw_candles(
@@ -89,14 +93,16 @@ def read_raw_candles(
     Filters on symbol, interval and period prune directories.
     """
     below = f"dataset={dataset}/{_segments(symbols)}/interval={interval or '*'}"
-    rows = _read_below(spark, layout.raw_candles, below, RAW_KLINE)
+    scope = _scope(symbols, dataset=dataset, interval=interval)
+    rows = versions.read(spark, layout.version(spark), versions.RAW_CANDLES, below, RAW_KLINE, scope)
     return rows.where(F.col("dataset") == dataset)
 
 
 def read_raw_funding(
     spark: SparkSession, layout: Layout, symbols: Sequence[str] | None = None
 ) -> DataFrame:
-    return _read_below(spark, layout.raw_funding, _segments(symbols), RAW_FUNDING)
+    version = layout.version(spark)
+    return versions.read(spark, version, versions.RAW_FUNDING, _segments(symbols), RAW_FUNDING, _scope(symbols))
 
 
 def read_compacted(
@@ -107,19 +113,26 @@ def read_compacted(
 ) -> DataFrame:
     """Compacted candles; no rows where nothing has been compacted. Raw rows are never used."""
     below = f"{_segments(symbols)}/interval={interval or '*'}"
-    return _read_below(spark, layout.klines, below, COMPACTED)
+    scope = _scope(symbols, interval=interval)
+    return versions.read(spark, layout.version(spark), versions.KLINES, below, COMPACTED, scope)
 
 
 def read_resampled(spark: SparkSession, layout: Layout, bucket_seconds: int) -> DataFrame:
     """Stored candles of one timeframe, see ``streaming.incremental.resample_new_rows``."""
-    rows = _read_below(spark, layout.resampled, f"timeframe={bucket_seconds}", RESAMPLED)
+    below, scope = f"timeframe={bucket_seconds}", _scope(None, timeframe=str(bucket_seconds))
+    rows = versions.read(spark, layout.version(spark), versions.RESAMPLED, below, RESAMPLED, scope)
     return rows.drop("timeframe", "year")
 
 
-def _replace(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Replace exactly the partitions that ``df`` holds."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "zstd").partitionBy(*partitions).parquet(path)
+def partitions(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The partition columns of a table's partitions. No directory is listed and no file of the table opened."""
+    return layout.version(spark).index(spark, name).drop("batch")
+
+
+def _replace(df: DataFrame, layout: Layout, name: str, covering: DataFrame | None = None) -> None:
+    """Replace the partitions that ``df`` holds, and remove those of ``covering`` that it does not hold."""
+    with layout.changing(df.sparkSession) as inside:
+        inside.commit.replace(df, name, covering)
 
 
 def _named(rows: DataFrame) -> DataFrame:
@@ -133,16 +146,18 @@ def write_raw_candles(rows: DataFrame, layout: Layout) -> None:
 
     An archive is one partition and comes out of one task, so nothing is shuffled.
     """
-    _replace(_named(rows).select(*RAW_KLINE.names), layout.raw_candles, RAW_PARTITIONS)
+    _replace(_named(rows).select(*RAW_KLINE.names), layout, versions.RAW_CANDLES)
 
 
 def write_raw_funding(rows: DataFrame, layout: Layout) -> None:
-    _replace(_named(rows).select(*RAW_FUNDING.names), layout.raw_funding, FUNDING_PARTITIONS)
+    _replace(_named(rows).select(*RAW_FUNDING.names), layout, versions.RAW_FUNDING)
 
 
-def write_compacted(rows: DataFrame, layout: Layout) -> None:
+def write_compacted(rows: DataFrame, layout: Layout, covering: DataFrame | None = None) -> None:
     """Replace the compacted (symbol, interval, year) partitions of ``rows``.
 
+    Those of ``covering`` for which ``rows`` has none are removed.
+
     ``rows`` must already be clustered by these columns. A year of minute
     candles is some half a million rows, so one file per partition stays small
     however much of the data one symbol holds.
@@ -150,7 +165,7 @@ def write_compacted(rows: DataFrame, layout: Layout) -> None:
     ordered = rows.select(*COMPACTED.names).sortWithinPartitions(
         *COMPACTED_PARTITIONS, "open_time"
     )
-    _replace(ordered, layout.klines, COMPACTED_PARTITIONS)
+    _replace(ordered, layout, versions.KLINES, covering)
 
 
 def write_resampled(rows: DataFrame, layout: Layout) -> None:
@@ -158,26 +173,20 @@ def write_resampled(rows: DataFrame, layout: Layout) -> None:
     ordered = rows.select(*RESAMPLED.names).sortWithinPartitions(
         *RESAMPLED_PARTITIONS, "timestamp"
     )
-    _replace(ordered, layout.resampled, RESAMPLED_PARTITIONS)
+    _replace(ordered, layout, versions.RESAMPLED)
 
 
 def remove_raw(places: DataFrame, layout: Layout, dataset: str) -> None:
     """Remove the raw partitions of ``places`` that exist: periods replaced by nothing.
 
-    Their completion is in the source ledger. Symbols to look below, and folders
-    found there, are all that reaches the driver.
+    Their completion is in the source ledger.
     """
     spark = places.sparkSession
-    owners = [row["symbol"] for row in places.select("symbol").distinct().collect()]
-    if not owners:
-        return
-    if dataset == FUNDING:
-        base, names = layout.raw_funding, list(FUNDING_PARTITIONS)
-    else:
-        base, names = f"{layout.raw_candles}/dataset={dataset}", list(RAW_PARTITIONS[1:])
-    found = listing.partition_values(spark, f"{base}/{_segments(owners)}", names)
-    gone = found.join(places.select(*names).distinct(), names, "left_semi")
-    remove_folders(spark, [row["folder"] for row in gone.select("folder").collect()])
+    with layout.changing(spark) as inside:
+        if dataset == FUNDING:
+            inside.commit.remove(places, versions.RAW_FUNDING)
+        else:
+            inside.commit.remove(places.withColumn("dataset", F.lit(dataset)), versions.RAW_CANDLES)
 
 
 # --- archives written by others: one file per period, column types vary by file ---

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wickline.constants import DEFAULT_INTERVAL, KLINES
 from wickline.functions import times
@@ -16,20 +17,27 @@ from wickline.operators import candles
 from wickline.plans import compaction
 from wickline.schemas import RAW_KLINE
 from wickline.session import Scratch
-from wickline.sources import tables
+from wickline.sources import tables, versions
 from wickline.sources.tables import Layout
 
 
 def raw_candle_stream(
     spark: SparkSession, root: str, dataset: str = KLINES, files_per_batch: int | None = None
 ) -> DataFrame:
-    """New raw candles of a dataset as a stream of files."""
-    reader = spark.readStream.schema(RAW_KLINE)
+    """New raw candles of a dataset as a stream of files, with the batch that brought them."""
+    reader = spark.readStream.schema(StructType([*RAW_KLINE.fields, StructField("batch", StringType())]))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(Layout(root).raw_candles).where(F.col("dataset") == dataset)
 
 
+def _settled(batch: DataFrame, root: str) -> None:
+    """An error where the rows may be of a refresh that is not committed yet: the next run takes them again."""
+    found = [row["batch"] for row in batch.select("batch").distinct().collect()]
+    if open_ := versions.unsettled(batch.sparkSession, root, versions.RAW_CANDLES, found):
+        raise RuntimeError(f"a refresh is still writing {open_[0]}; run again when it has ended")
+
+
 def compact_new_rows(
     spark: SparkSession,
     root: str,
@@ -43,10 +51,11 @@ def compact_new_rows(
     their raw rows and replaces them, so a repeated batch gives the same table.
     """
     rows = raw_candle_stream(spark, root, files_per_batch=files_per_batch)
-    rows = rows.where(F.col("interval") == interval).select("symbol", "interval", "open_time")
+    rows = rows.where(F.col("interval") == interval).select("symbol", "interval", "open_time", "batch")
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
+        _settled(batch, root)
         with Scratch(session, root) as scratch:
             touched = scratch.keep(compaction.touched_years(batch))
             compaction.compact_klines(session, root, interval=interval, touched=touched)
@@ -69,10 +78,9 @@ def resample_new_rows(
     minutes and replaced, by the same function as the batch read. Late, repeated
     and incomplete rows so count as they do there, and nothing is withheld.
     """
-    layout = Layout(root)
     rows = raw_candle_stream(spark, root, files_per_batch=files_per_batch)
     rows = rows.where(F.col("interval") == DEFAULT_INTERVAL)
-    rows = rows.select("symbol", "interval", "open_time")
+    rows = rows.select("symbol", "interval", "open_time", "batch")
 
     def bucket_year(second: Column) -> Column:
         start = times.bucket_start(second, bucket_seconds)
@@ -80,12 +88,13 @@ def resample_new_rows(
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        with Scratch(session, root) as scratch:
+        _settled(batch, root)
+        with Scratch(session, root) as scratch, Layout(root).changing(session) as layout:
             second = times.epoch_seconds(batch, "open_time")
             new = batch.select("symbol", "interval", "open_time", bucket_year(second).alias("year"))
             new = scratch.keep(new.where(F.col("open_time").isNotNull()).distinct())
             touched = scratch.keep(compaction.touched_years(new))
-            compaction.compact_klines(session, root, interval=DEFAULT_INTERVAL, touched=touched)
+            compaction.compact_klines(session, root, interval=DEFAULT_INTERVAL, touched=touched, layout=layout)
             # Symbols of a batch and years of the calendar: bounded.
             places = scratch.keep(new.select("symbol", "year").distinct())
             owners = [row["symbol"] for row in places.select("symbol").distinct().collect()]
