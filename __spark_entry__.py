@@ -655,6 +655,14 @@ def refresh_twice(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed(spark, sf, 2)
 
 
+def mixed_files_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Candles of files whose column names and types differ, united."""
+    folder = _fresh_folder(spark, "mixed")
+    adapters.land(adapters.mixed_files(spark, sf), folder)
+    rows = tables.read_stored_klines(spark, folder, KLINES)
+    return _seconds(rows.drop("dataset", "interval"))
+
+
 # --- keys ---
 
 
@@ -800,6 +808,7 @@ def queries() -> dict[str, Query]:
         symbol_key,
         storage_key,
         canonical_symbols,
+        mixed_files_union,
         refresh_round_trip,
         refresh_twice,
         stored_candles,

@@ -280,6 +280,38 @@ def daily_archives(spark: SparkSession, sf_dir: str, again: bool = False) -> Dat
     )
 
 
+def mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as stored candle files, one a symbol and day, of varying columns: ``path`` and ``content``.
+
+    Clicks have times and numbers; views texts throughout; errors whole
+    milliseconds and their trade count under its other name; purchases neither
+    trade count nor, as their closing price, anything but a boolean.
+    """
+    events = table(spark, sf_dir, "events").withColumn("symbol", _symbol())
+    events = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    rows = events.select("symbol", "day", "event_id", "event_type", "value", timestamp_millis(F.col("ts")).alias("ms"))
+
+    def stored(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("event_id")
+        kind, symbol, day = pdf["event_type"].iat[0], pdf["symbol"].iat[0], pdf["day"].iat[0]
+        made = pd.DataFrame({"open_time": pdf["ms"], "open": pdf["value"], "high": pdf["value"] + 1, "low": pdf["value"] - 1})
+        made = made.assign(close=pdf["value"] + 0.5, volume=pdf["value"], trade_count=pdf["event_id"] % 7)
+        if kind == "click":
+            made["open_time"] = pd.to_datetime(made["open_time"], unit="ms", utc=True)
+        elif kind == "view":
+            made = made.astype(str)
+        elif kind == "error":
+            made = made.rename(columns={"trade_count": "number_of_trades"})
+        elif kind == "purchase":
+            made = made.drop(columns="trade_count").assign(close=True)
+        buffer = io.BytesIO()
+        made.to_parquet(buffer, index=False)
+        path = f"{KLINES}/{symbol}/{symbol}_{KLINES}_1m_{day}.parquet"
+        return pd.DataFrame({"path": [path], "content": [buffer.getvalue()]})
+
+    return rows.groupBy("symbol", "day").applyInPandas(stored, "path string, content binary")
+
+
 def land(landed: DataFrame, folder: str) -> None:
     """Write files (``path``, ``content``) below a folder, each by the task that has it."""
 

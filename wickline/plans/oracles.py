@@ -458,6 +458,12 @@ SELECT symbol, strftime(make_timestamp(ms // 60000 * 60000000), '%Y') AS "year",
        max(h + more) AS high, min(l + more) AS low, arg_max(c + more, ms) AS "close",
        round(sum(volume), 6) AS volume, CAST(sum(trades) AS BIGINT) AS trade_count
 FROM times GROUP BY 1, 2, 3""",
+    "mixed_files_union": """SELECT upper(event_type) || 'USDT' AS symbol, strftime(ts, '%Y-%m-%d') AS period,
+       row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) - 1 AS source_row,
+       epoch_ms(ts) AS open_time, value AS "open", value + 1 AS high, value - 1 AS low,
+       CASE WHEN event_type <> 'purchase' THEN value + 0.5 END AS "close", value AS volume,
+       CASE WHEN event_type <> 'purchase' THEN event_id % 7 ELSE 0 END AS trade_count
+FROM events""",
     "refresh_round_trip": _refreshed("landing_one"),
     "refresh_twice": _refreshed("landing_both"),
     "stored_candles": f"""WITH {_EVENTS}, {_STORED % ''}

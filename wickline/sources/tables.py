@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +20,7 @@ from wickline.constants import (
 from wickline.functions import keys, numbers, times
 from wickline.operators.candles import OHLCV
 from wickline.schemas import COMPACTED, KLINE, RAW_FUNDING, RAW_KLINE, RESAMPLED
-from wickline.sources import listing, versions
+from wickline.sources import listing, mixed, versions
 
 RAW_PARTITIONS = versions.PLACES[versions.RAW_CANDLES]
 FUNDING_PARTITIONS = versions.PLACES[versions.RAW_FUNDING]
@@ -192,91 +190,33 @@ def remove_raw(places: DataFrame, layout: Layout, dataset: str) -> None:
 # --- archives written by others: one file per period, column types vary by file ---
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            uri = path.replace("s3a://", "s3://")
-            if uri.startswith("file:") and not uri.startswith("file://"):
-                uri = uri.removeprefix("file:")
-            if "://" in uri:
-                system, inner = pafs.FileSystem.from_uri(uri)
-            else:
-                system, inner = pafs.LocalFileSystem(), uri
-            schema = pq.read_schema(inner, filesystem=system)
-            columns = sorted((field.name, str(field.type)) for field in schema)
-            found.append(";".join(f"{name}:{kind}" for name, kind in columns))
-        yield batch.assign(signature=found)
-
-
-def read_mixed(
-    spark: SparkSession, found: DataFrame, normalise: Callable[[DataFrame], DataFrame]
-) -> DataFrame | None:
-    """Union of listed Parquet files whose column names and types differ from file to file.
-
-    Footers are read on the executors. Files of one signature are read together
-    with their own schema, brought to common columns by ``normalise``, and the
-    groups are united by name. Only file paths, which the scan's own file index
-    holds anyway, reach the driver. None when there are no files.
-    """
-    signed = found.select("path").mapInPandas(_footers, "path string, signature string")
-    groups: dict[str, list[str]] = {}
-    for row in signed.toLocalIterator():
-        groups.setdefault(row["signature"], []).append(row["path"])
-    parts = [
-        normalise(_with_place(_read_files(spark, sorted(paths))))
-        for _, paths in sorted(groups.items())
-    ]
-    if not parts:
-        return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # Symbols are taken from the path, not from partition columns: those of
-    # encoded directory names are decoded byte by byte.
-    reader = spark.read.option("recursiveFileLookup", True)
-    return reader.parquet(*[_literal(path) for path in paths])
-
-
-def _literal(path: str) -> str:
-    """A path in which no character is taken for a glob."""
-    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
-
-
 def _with_place(df: DataFrame) -> DataFrame:
-    """Adds symbol, interval and period of each row's file, and the row's place in it.
+    """Adds symbol, interval and period of each row's file.
 
     They come from the file name and directory, or from ``symbol=`` and
     ``interval=`` directories.
     """
-    columns = [F.col(f"`{name}`") for name in df.columns]
-    located = df.select(
-        *columns,
-        keys.symbol_of_key(F.col("_metadata.file_path")).alias("path"),
-        F.col("_metadata.row_index").alias("source_row"),
-    )
-    parsed = located.withColumn("parts", times.file_name_parts(listing.segment("path", 1)))
+    parsed = df.withColumn("parts", times.file_name_parts(listing.segment("path", 1)))
     named = F.regexp_extract("path", "/symbol=([^/]+)/interval=[^/]+/[^/]+$", 1)
     folder = F.coalesce(F.nullif(named, F.lit("")), listing.segment("path", 2))
     width = F.nullif(F.regexp_extract("path", "/interval=([^/]+)/[^/]+$", 1), F.lit(""))
     return parsed.select(
-        *columns,
+        "*",
         keys.canonical_symbol(folder, strict=False).alias("symbol"),
         F.coalesce(times.part("interval"), width).alias("interval"),
         times.part("period").alias("period"),
-        "source_row",
     )
 
 
-def _klines_of(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.timestamp_millis(times.epoch_millis(df, "open_time")).alias("open_time"),
-        *[numbers.to_double(df, name).alias(name) for name in OHLCV],
-        numbers.trade_count(df, TRADE_COUNT_NAMES).alias("trade_count"),
+def _klines_of(found: DataFrame) -> DataFrame:
+    """Candles of the files found, whatever the types of their columns; prices or volumes not stored are NULL."""
+    names = ("open_time", *OHLCV, *TRADE_COUNT_NAMES)
+    df = mixed.read_columns(found, {name: (name,) for name in names}, required=("open_time",))
+    counts = [mixed.of_any(df, name, numbers.to_long) for name in TRADE_COUNT_NAMES]
+    return _with_place(df).select(
+        F.timestamp_millis(mixed.of_any(df, "open_time", times.epoch_millis)).alias("open_time"),
+        *[mixed.of_any(df, name, numbers.to_double).alias(name) for name in OHLCV],
+        F.coalesce(*counts, F.lit(0).cast("bigint")).alias("trade_count"),
         "source_row",
         "symbol",
         "interval",
@@ -284,26 +224,19 @@ def _klines_of(df: DataFrame) -> DataFrame:
     )
 
 
-def _funding_of(df: DataFrame) -> DataFrame:
-    time = numbers.first_present(df, FUNDING_TIME_NAMES)
-    rate = numbers.first_present(df, FUNDING_RATE_NAMES)
-    place = ["source_row", "symbol", "period"]
-    if time is None or rate is None:
-        empty = df.select(
-            F.lit(None).cast("timestamp").alias("funding_time"),
-            F.lit(None).cast("double").alias("funding_rate"),
-            F.lit(None).cast("double").alias("mark_price"),
-            *place,
-        )
-        return empty.where(F.lit(False))
-    value = times.epoch_millis(df, time)
+def _funding_of(found: DataFrame) -> DataFrame:
+    """Funding events of the files found; a file without a time or a rate has none."""
+    names = {"time": FUNDING_TIME_NAMES, "rate": FUNDING_RATE_NAMES, "mark_price": ("mark_price",)}
+    df = mixed.read_columns(found, names, required=("time", "rate"))
+    value = mixed.of_any(df, "time", times.epoch_millis)
     millis = value * F.when(value > MILLIS_THRESHOLD, 1).otherwise(1000)
-    mark = numbers.to_double(df, "mark_price") if "mark_price" in df.columns else F.lit(None)
-    return df.select(
+    return _with_place(df).select(
         F.timestamp_millis(millis).alias("funding_time"),
-        numbers.to_double(df, rate).alias("funding_rate"),
-        mark.cast("double").alias("mark_price"),
-        *place,
+        mixed.of_any(df, "rate", numbers.to_double).alias("funding_rate"),
+        mixed.of_any(df, "mark_price", numbers.to_double).alias("mark_price"),
+        "source_row",
+        "symbol",
+        "period",
     )
 
 
@@ -315,20 +248,14 @@ def read_stored_klines(
     interval: str | None = None,
 ) -> DataFrame:
     """Candles of stored one-file-per-period archives, as raw rows."""
-    found = listing.find_raw_archives(spark, raw_root, dataset, symbol, interval)
-    rows = read_mixed(spark, found, _klines_of)
-    if rows is None:
-        return spark.createDataFrame([], RAW_KLINE)
-    named = rows.withColumn("dataset", F.lit(keys.require_dataset(dataset)))
+    found = listing.find_raw_archives(spark, raw_root, dataset, symbol, interval, ordered=False)
+    named = _klines_of(found).withColumn("dataset", F.lit(keys.require_dataset(dataset)))
     return named.select(*RAW_KLINE.names)
 
 
 def read_stored_compacted(spark: SparkSession, optimized_root: str) -> DataFrame:
     """Candles of ``symbol=<KEY>/interval=<I>/candles.parquet`` files, as compacted rows."""
-    found = listing.files(spark, optimized_root, "candles.parquet")
-    rows = read_mixed(spark, found, _klines_of)
-    if rows is None:
-        return spark.createDataFrame([], COMPACTED)
+    rows = _klines_of(listing.files(spark, optimized_root, "candles.parquet"))
     complete = rows.where(numbers.all_present("open_time", *OHLCV))
     placed = complete.withColumn("year", F.date_format("open_time", "yyyy"))
     return placed.select(*COMPACTED.names).repartition(*COMPACTED_PARTITIONS)
@@ -338,11 +265,8 @@ def read_stored_funding(
     spark: SparkSession, raw_root: str, symbol: str | None = None
 ) -> DataFrame:
     """Funding events of stored one-file-per-period archives, as raw rows."""
-    found = listing.find_raw_archives(spark, raw_root, "fundingRate", symbol)
-    rows = read_mixed(spark, found, _funding_of)
-    if rows is None:
-        return spark.createDataFrame([], RAW_FUNDING)
-    return rows.select(*RAW_FUNDING.names)
+    found = listing.find_raw_archives(spark, raw_root, "fundingRate", symbol, ordered=False)
+    return _funding_of(found).select(*RAW_FUNDING.names)
 
 
 def normalise_strict(df: DataFrame) -> DataFrame:
