@@ -29,7 +29,8 @@ from wickline.sources import archives, ledgers, listing, pages, tables
 try:  # The training-data operators are an optional part.
     from wickline.llm import queries as llm
 except ImportError as missing:
-    if missing.name not in ("wickline.llm", "corpus_pipeline"):
+    # Left out where the part, or a module that it alone needs, is not installed.
+    if missing.name is None or (missing.name.startswith("wickline") and missing.name != "wickline.llm"):
         raise
     llm = None
 
@@ -202,8 +203,8 @@ def funding_mixed_units(spark: SparkSession, sf: str) -> DataFrame:
     return funding.funding_events(legacy, *FUNDING_WINDOW)
 
 
-def funding_page_merge(spark: SparkSession, sf: str) -> DataFrame:
-    items = adapters.order_funding(spark, sf).select(
+def _funding_items(spark: SparkSession, sf: str) -> DataFrame:
+    return adapters.order_funding(spark, sf).select(
         "symbol",
         F.unix_millis(F.col("funding_time").cast("timestamp")).alias("funding_millis"),
         "funding_rate",
@@ -211,7 +212,16 @@ def funding_page_merge(spark: SparkSession, sf: str) -> DataFrame:
         F.floor(F.col("o_orderkey") / 1000).alias("page_no"),
         F.pmod("o_orderkey", F.lit(1000)).alias("position"),
     )
-    return _seconds(funding.merge_pages(items), "funding_time")
+
+
+def funding_page_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return _seconds(funding.merge_pages(_funding_items(spark, sf)), "funding_time")
+
+
+def funding_page_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``funding_page_merge``, of the events within two bounds."""
+    merged = funding.merge_pages(_funding_items(spark, sf), *(second * 1000 for second in FUNDING_WINDOW))
+    return _seconds(merged, "funding_time")
 
 
 # --- pages, archives, listings ---
@@ -239,7 +249,10 @@ def funding_payload_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fresh_folder(spark: SparkSession, use: str) -> str:
     """A folder for tables that lazy results read; removed when the process ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickline-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:  # machine-local only where the session is
+        alone = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+        base = tempfile.mkdtemp(prefix="wickline-") if alone else spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{base.rstrip('/')}/{use}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, folder)
     return folder
@@ -595,6 +608,29 @@ def stored_resampled(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rows, "volume")
 
 
+def stored_funding(spark: SparkSession, sf: str) -> DataFrame:
+    """Funding events of orders as they are read back: ``place`` is the position of the sorted result itself.
+
+    Orders of one symbol and day share their second and stay in the order of their source.
+    """
+    root = _fresh_folder(spark, "funding")
+    time = F.col("funding_time").cast("timestamp")
+    events = adapters.order_funding(spark, sf).select(
+        "symbol",
+        F.concat(F.date_format(time, "yyyy"), F.lit("-12")).alias("period"),  # a file a year
+        F.col("o_orderkey").alias("source_row"),
+        time.alias("funding_time"),
+        "funding_rate",
+        F.col("o_totalprice").alias("mark_price"),
+    )
+    compaction.store_raw_funding(events.repartition("symbol", "period"), tables.Layout(root))
+    read = api.load_funding_rates(spark, root)
+    # Positions within the partitions of the global sort: no order is computed again.
+    placed = read.withColumn("at", F.monotonically_increasing_id())
+    within = Window.partitionBy("symbol").orderBy("at")
+    return placed.withColumn("place", F.row_number().over(within).cast("bigint")).drop("at")
+
+
 def stored_gap_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Recorded twice: a known range keeps its one record. The rank tells the order."""
     root = _stored_root(spark, sf, "read")
@@ -766,6 +802,7 @@ def queries() -> dict[str, Query]:
         funding_window,
         funding_mixed_units,
         funding_page_merge,
+        funding_page_bounds,
         premium_payload_parse,
         premium_page_outcomes,
         premium_window,
@@ -809,6 +846,7 @@ def queries() -> dict[str, Query]:
         storage_key,
         canonical_symbols,
         mixed_files_union,
+        stored_funding,
         refresh_round_trip,
         refresh_twice,
         stored_candles,

@@ -255,6 +255,15 @@ SELECT symbol, epoch_ms(t) AS funding_time, rate AS funding_rate,
        CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS mark_price
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol, t ORDER BY o_orderkey DESC) AS n
       FROM funding) WHERE n = 1""",
+    "funding_page_bounds": f"""WITH {_FUNDING}
+SELECT symbol, epoch_ms(t) AS funding_time, rate AS funding_rate,
+       CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS mark_price
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, t ORDER BY o_orderkey DESC) AS n
+      FROM funding WHERE e {_FUNDING_WINDOW}) WHERE n = 1""",
+    "stored_funding": f"""WITH {_FUNDING}
+SELECT symbol, e AS "timestamp", rate AS funding_rate,
+       row_number() OVER (PARTITION BY symbol ORDER BY e, o_orderkey) AS place
+FROM funding""",
     "premium_payload_parse": f"""WITH {_PAGED}
 SELECT symbol, page_no, "position", ms AS open_time, value - 50 AS "open",
        value - 50 + 1 AS high, value - 50 - 1 AS low, value - 50 + 0.5 AS "close",
