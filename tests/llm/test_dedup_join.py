@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -137,3 +138,20 @@ def test_components_of_long_paths(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100 + k, 100) for k in range(1, 30)] + [(7, 7)]
     found = dict(map(tuple, jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert found == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(30)}
+
+
+def test_texts_that_share_a_passage_and_are_not_alike_cost_their_number(spark):
+    rng = random.Random(21)
+    shared = " ".join(f"s{k}" for k in range(40))
+
+    def seconds(many):
+        rows = [(k, f"{shared} " + " ".join(f"o{k}x{j}{rng.random()}" for j in range(7))) for k in range(many)]
+        docs = docs_frame(spark, rows, clash=False).repartition(4).cache()
+        docs.count()
+        began = time.time()
+        assert jaccard_join.join(docs).where("doc_id <> component_id").count() == 0
+        return time.time() - began
+
+    seconds(500)
+    small = seconds(6_000)
+    assert seconds(24_000) < 3 * small + 10

@@ -81,6 +81,11 @@ def _remove() -> None:
 BROADCAST_KEYS = 1_000_000
 
 
+def counted_small(table: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """A stored table to join with: broadcast if it has at most ``most`` rows of a few numbers, else as it is."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def row_key(docs: DataFrame) -> Column:
     """A row's id and text as one value, never null: ids in their order, null ids behind, then a 128-bit hash of the text."""
     kind, text = docs.schema["doc_id"].dataType, text_or_empty()
@@ -103,8 +108,7 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     Counted first: few keys are broadcast and no text moves, more are joined by shuffle.
     """
     keys = stored(rejected.select(F.col("doc_id").alias("rejected")).distinct(), "rejected")
-    few = keys.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(keys) if few else keys, row_key(docs) == F.col("rejected"), "left_anti").select(*docs.columns)
+    return docs.join(counted_small(keys), row_key(docs) == F.col("rejected"), "left_anti").select(*docs.columns)
 
 
 def text_or_empty(name: str = "text") -> Column:

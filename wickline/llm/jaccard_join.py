@@ -16,9 +16,12 @@ result is the connected components of all links.
    fewest rare grams of its own, not with each other. After the links so found are closed
    into components, only pairs of different components are candidates, so a
    group of copies costs its size and not its square, and no link that joins
-   components is lost.
-5. To verify, the sets are cut into fragments of the gram order. Overlaps of a
-   pair are counted fragment by fragment and summed.
+   components is lost. Postings whose place leaves no room for a set of any size
+   that the gram has are left out before, and the rest meets within bands of
+   sizes, so a gram that many different texts share costs its size too.
+5. To verify, the sets are cut into fragments of a gram order that all share, that
+   of the hashes, so that fragments are of like size. Overlaps of a pair are
+   counted fragment by fragment and summed.
 
 Texts are read where they lie in each pass; only ids, first fragments and the
 sets of candidates cross the network.
@@ -41,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.common import by_row, stored, text_or_empty, without
+from wickline.llm.common import by_row, counted_small, release, stored, text_or_empty, without
 
 GRAM, PERCENT = 5, 75
 #: Fragments of the gram order in which overlaps are counted.
@@ -51,8 +54,8 @@ FRAGMENTS = 8
 CHUNK, LEAST_FREQUENT, MOST_FREQUENT = 4_000_000, 32, 1 << 20
 #: Tasks among which the postings of one frequent gram are dealt.
 DEALT = 64
-#: Ids up to this many (16 MB) are broadcast to find their texts; more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids up to this many (4 MB, with the text's hash in them 50) are broadcast to find their texts; more are joined by shuffle.
+BROADCAST_IDS = 500_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -252,11 +255,41 @@ def _shared(postings: DataFrame, classes: DataFrame) -> DataFrame:
     # Grams of a first fragment that no other class has in its own first fragment; see _may_link.
     counts = (F.count("*").alias("common"), F.count_if("frequent").alias("often"))
     own = kept.groupBy("set").agg(*counts).join(classes.select("set", "n"), "set")
-    # Sets of one band differ in size by less than the similarity asks for.
-    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
     lone, rare = ((_reach(F.col("n")) - F.col(c)).cast("int") for c in ("common", "often"))
-    own = own.select("set", "n", lone.alias("lone"), rare.alias("rare"), band.alias("band"))
-    return stored(kept.drop("frequent").join(own, "set"), "postings")
+    own = stored(own.select("set", F.col("n").cast("int").alias("n"), lone.alias("lone"), rare.alias("rare")), "own")
+    shared = stored(kept.drop("frequent").join(counted_small(own), "set"), "postings")
+    release(kept, own)
+    return shared
+
+
+def _band(n: Column) -> Column:
+    """Sets of one band differ in size by less than the similarity asks for; linked ones are in the same or the next."""
+    return F.floor(F.log(n) / F.log(F.lit(100 / PERCENT))).cast("int")
+
+
+def _sizes() -> Column:
+    """Of a group of postings: bits of the sizes of their sets, four to a doubling."""
+    return F.bit_or(_shifted(1, _size_bit(F.col("n"))))
+
+
+def _shifted(bits: int, by: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(bits).cast("long"), by)
+
+
+def _size_bit(n: Column) -> Column:
+    return F.least(F.floor(4 * F.log2(n)), F.lit(61)).cast("int")
+
+
+def _fits_some(sizes: str) -> Column:
+    """Whether a posting's ``at`` leaves room for a partner of some size among ``sizes``.
+
+    A partner has m >= 0.75 n grams, and n - at >= 3 (n + m) / 7 bounds m from above.
+    """
+    n = F.col("n")
+    most = F.floor((100 + PERCENT) * (n - F.col("at")) / F.lit(PERCENT)) - n
+    low, high = _size_bit(F.ceil(PERCENT * n / F.lit(100))), _size_bit(F.greatest(most, F.lit(1)))
+    above, below = _shifted(2, high) - 1, _shifted(1, low) - 1
+    return (100 * most >= PERCENT * n) & (F.col(sizes).bitwiseAND(above) > F.col(sizes).bitwiseAND(below))
 
 
 def _reach(n: Column) -> Column:
@@ -296,8 +329,9 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     In a group of altered copies that is the text they were made from.
     """
     center = F.min(F.struct("rare", "lone", "set", "n", "at")).alias("c")
-    centers = shared.groupBy("gram", "band").agg(center).select("gram", "band", "c.*")
-    joined = shared.alias("x").join(centers.alias("y"), ["gram", "band"])
+    banded = shared.withColumn("band", _band(F.col("n")))
+    centers = banded.groupBy("gram", "band").agg(center).select("gram", "band", "c.*")
+    joined = banded.alias("x").join(centers.alias("y"), ["gram", "band"])
     return _pairs(joined.where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y")))
 
 
@@ -307,14 +341,32 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     Only of classes with a possible partner in another component.
     """
     label = F.coalesce(F.col("label"), F.col("set")).alias("label")
-    tagged = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select("gram", "set", "n", "lone", "at", label)
-    held = tagged.groupBy("gram", "label").agg(F.count("*").alias("many"))
-    mixed = held.groupBy("gram").agg(F.max_by("label", "many").alias("main"), F.count("*").alias("kinds"))
-    mixed = stored(tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram"), "open")
-    x, y = mixed.alias("x"), mixed.alias("y")
-    other = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y")
-    partnered = x.join(y, other, "left_semi").select("set").distinct()
-    return stored(mixed.join(partnered, "set", "left_semi"), "open")
+    tagged = shared.join(counted_small(labels.withColumnRenamed("node", "set")), "set", "left").select("gram", "set", "n", "lone", "at", label)
+    mixed = stored(_mixed_grams(tagged), "open")
+    other = (F.col("x.label") != F.col("y.label")) & _may_link("x", "y")
+    partnered = stored(_met(mixed, mixed, other, "left_semi").select("set").distinct(), "partnered")
+    open_ = stored(mixed.join(counted_small(partnered), "set", "left_semi"), "open")
+    release(mixed, partnered)
+    return open_
+
+
+def _mixed_grams(tagged: DataFrame) -> DataFrame:
+    """Postings of grams that several components have, with the largest one, if some set of the gram is of a size that fits."""
+    held = tagged.groupBy("gram", "label").agg(F.count("*").alias("many"), _sizes().alias("sizes"))
+    mixed = held.groupBy("gram").agg(F.max_by("label", "many").alias("main"), F.count("*").alias("kinds"), F.bit_or("sizes").alias("sizes"))
+    found = tagged.join(mixed.where("kinds > 1").drop("kinds"), "gram")
+    return found.where(_fits_some("sizes")).drop("sizes")
+
+
+def _met(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
+    """Postings ``x`` and ``y`` of one gram whose sets may be linked by their sizes, and by ``condition``.
+
+    Joined on gram and band of sizes: a set meets its own band and the two beside it.
+    """
+    bands = F.array(*(_band(F.col("n")) + k for k in (-1, 0, 1)))
+    x, y = left.withColumn("band", _band(F.col("n"))), right.withColumn("band", F.explode(bands))
+    same = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band"))
+    return x.alias("x").join(y.alias("y"), same & condition, how)
 
 
 def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
@@ -326,18 +378,20 @@ def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
     """
     grams = cut.select("set", F.explode("grams").alias("gram")).groupBy("gram")
     alone = grams.agg(F.count("*").alias("many"), F.min("set").alias("set")).where("many = 1")
-    alone = alone.groupBy("set").agg(F.count("*").cast("int").alias("alone"))
-    counted = open_.join(alone, "set", "left")
+    alone = stored(alone.groupBy("set").agg(F.count("*").cast("int").alias("alone")), "alone")
+    counted = open_.join(counted_small(alone), "set", "left")
     # Missing for certain, as those before the gram are.
     counted = counted.withColumn("at", F.greatest("at", F.coalesce("alone", F.lit(0)))).drop("alone")
     # With the smallest partner allowed a quarter may be missing.
-    counted = stored(counted.where(100 * F.col("at") <= (100 - PERCENT) * F.col("n")), "open")
-    x, y = counted.where("label != main").alias("x"), counted.alias("y")
+    counted = counted.where(100 * F.col("at") <= (100 - PERCENT) * F.col("n")).drop("main")
+    counted = stored(_mixed_grams(counted), "open")
     # Each pair once a gram: the main component's classes only stand on the right.
     apart = (F.col("x.label") != F.col("y.label")) & (
         (F.col("y.label") == F.col("y.main")) | (F.col("x.set") < F.col("y.set"))
     )
-    return _pairs(x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & _may_link("x", "y")))
+    pairs = stored(_pairs(_met(counted.where("label != main"), counted, apart & _may_link("x", "y"))), "pairs")
+    release(counted, alone)
+    return pairs
 
 
 def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
@@ -351,7 +405,7 @@ def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> Dat
     docs = docs.select("doc_id", "text")
     docs = docs.join(ids, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
     names = None
-    if few:  # 16 MB at most
+    if few:  # 4 MB at most
         names = spark.sparkContext.broadcast(np.sort(needed.select("set").toArrow().column(0).to_numpy().astype(np.int64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,14 +438,17 @@ def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> Dat
     cutting = docs.select(text_or_empty().alias("text")).mapInArrow(cut, "set long, fragment byte, grams array<long>")
     if not few:
         cutting = cutting.join(needed.select("set"), "set", "left_semi")
-    return stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
+    cut = stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
+    release(needed)
+    return cut
 
 
 def _links(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     """The pairs whose overlap, summed over the fragments ``cut``, is large enough: (a, b)."""
     left = cut.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = cut.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
+    # One array of each pair has to move to the other; the pairs go to the first where they are few.
+    met = counted_small(pairs).join(left, "a").join(right, ["b", "fragment"])
     part = F.size(F.array_intersect("grams_a", "grams_b"))
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum(part).alias("overlap"))
     union = F.col("n_a") + F.col("n_b") - F.col("overlap")
@@ -417,12 +474,15 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        former, current = current, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        release(former)
         before, mark = mark, _mark(current)
         if mark == before:
             break
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+    labels = stored(current.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots), "labels")
+    release(current)
+    return labels
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -439,19 +499,28 @@ def join(docs: DataFrame) -> DataFrame:
     shared = _shared(_postings(docs, _frequent(scanned, total)), classes)
     star = stored(_star_pairs(shared), "pairs")
     ends = star.select(F.col("a").alias("set")).unionByName(star.select(F.col("b").alias("set")))
-    links = _links(star, _fragments_of(docs, ends, classes))
-    labels = stored(components(links), "labels")
+    cut = _fragments_of(docs, ends, classes)
+    links = _links(star, cut)
+    release(cut)
+    labels = components(links)
+    release(links)
     open_ = _open(shared, labels)
+    release(shared)
     cut = _fragments_of(docs, open_.select("set"), classes)
-    rest = stored(_remaining_pairs(open_, cut).join(star, ["a", "b"], "left_anti"), "pairs")
+    found = _remaining_pairs(open_, cut)
+    rest = stored(found.join(star, ["a", "b"], "left_anti"), "pairs")
+    release(open_, found, star)
     more = _links(rest, cut)
+    release(cut, rest)
     hung = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    labels = stored(components(hung.unionByName(more)), "labels").withColumnRenamed("node", "set")
-    named = classes.drop("n").join(labels, "set", "left").select(
+    last = components(hung.unionByName(more))
+    release(labels, more)
+    named = classes.drop("n").join(last.withColumnRenamed("node", "set"), "set", "left").select(
         "set", "doc_id", F.coalesce("label", "set").alias("label")
     )
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = stored(named.join(smallest, "label").select("set", "component_id"), "found")
+    release(last, classes)
     return rows.join(found, "set", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
