@@ -224,8 +224,9 @@ def commit(spark: SparkSession, root: str) -> Iterator[Commit]:
 
 def unsettled(spark: SparkSession, root: str, name: str, batches: Sequence[str]) -> list[str]:
     """Those of ``batches`` that a job may still be writing: neither in the latest version nor given up."""
-    if not file_names(spark, f"{root.rstrip('/')}/versions/open"):
-        return []
+    marks = f"{root.rstrip('/')}/versions/open"
+    if not set(file_names(spark, marks)) - set(file_names(spark, marks, KEPT_HOURS)):
+        return []  # a mark that old is of a job that was killed
     known = latest(spark, root).table(name).batches
     return sorted(set(batches) - set(known))
 
