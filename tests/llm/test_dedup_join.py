@@ -130,6 +130,58 @@ def test_jaccard_join_of_lone_pairs_inside_each_other(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == brute(rows)
 
 
+def watched(monkeypatch):
+    """Label, plan and rows of each table that the join stores."""
+    made, real = [], jaccard_join.stored
+
+    def stored(df, label):
+        table = real(df, label)
+        made.append((label, df._jdf.queryExecution().executedPlan().toString(), table.count()))
+        return table
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    return made
+
+
+def test_pairs_that_differ_in_the_first_fragments_are_not_met_in_the_others(spark, monkeypatch):
+    rng, rows, sets = random.Random(31), [], {}
+    for name in range(40):  # pairs of 2k and 2k + 1; every fourth is alike, some lack fragments
+        if name % 2:
+            share = 0.95 if name % 8 == 1 else rng.uniform(0, 0.9)
+            sets[name] = {g if rng.random() < share else g + 500_000 for g in sets[name - 1]}
+        else:
+            sets[name] = {8_000_000 * rng.choice([0, 1, 5] if name % 6 else range(8)) + rng.randint(0, 400_000) for _ in range(rng.randint(4, 90))}
+        parts = collections.defaultdict(list)
+        for g in sorted(sets[name]):
+            parts[g // 8_000_000].append(g)
+        rows += [(name, k, part) for k, part in parts.items()]
+    cut = spark.createDataFrame(rows, "set long, fragment byte, grams array<long>")
+    pairs = [(a, b, len(sets[a]), len(sets[b])) for a in range(40) for b in (a + 1, a + 2) if b < 40]
+    made = watched(monkeypatch)
+    found = jaccard_join._links(spark.createDataFrame(pairs, "a long, b long, n_a long, n_b long"), cut)
+    linked = {(a, b) for a, b, _, _ in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {tuple(r) for r in found.collect()} == linked and linked
+    left = [n for label, _, n in made if label == "left"]
+    assert len(left) == 1 and len(linked) <= left[0] < len(pairs)
+
+
+def test_jaccard_join_of_repeated_rows_and_rows_without_ids(spark, monkeypatch):
+    rng, rows = random.Random(32), []
+    for k in range(40):
+        words = [f"r{k}w{j}" for j in range(rng.randint(4, 90))]
+        near = [*words[:-1], "z"] if k % 2 else [*words, "z", "y"]
+        rows += [(2 * k, " ".join(words))] * rng.randint(1, 4) + [(rng.choice([2 * k + 1, None]), " ".join(near))] * rng.randint(1, 4)
+    once = sorted({i: (i, t) for i, t in rows if i is not None}.values())
+    for given, moved in ((rows, True), (once, False)):
+        made = watched(monkeypatch)
+        found = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(docs_frame(spark, given).repartition(6)).collect()}
+        assert found == set(brute(given))
+        # Only what is cut in several tasks is moved to be there once.
+        plans = [plan for label, plan, _ in made if label == "fragments"]
+        assert any("Exchange hashpartitioning(set" in plan for plan in plans) == moved
+        monkeypatch.undo()
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.join(docs_frame(spark, [])).collect() == []
 

@@ -21,7 +21,8 @@ result is the connected components of all links.
    sizes, so a gram that many different texts share costs its size too.
 5. To verify, the sets are cut into fragments of a gram order that all share, that
    of the hashes, so that fragments are of like size. Overlaps of a pair are
-   counted fragment by fragment and summed.
+   counted fragment by fragment and summed: first in FIRST_FRAGMENTS, whose
+   missing grams rule out most pairs that are not linked, then in the rest.
 
 Texts are read where they lie in each pass; only ids, first fragments and the
 sets of candidates cross the network.
@@ -44,11 +45,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.common import by_row, counted_small, release, stored, text_or_empty, without
+from wickline.llm.common import BROADCAST_KEYS, by_row, counted_small, release, stored, text_or_empty, without
 
 GRAM, PERCENT = 5, 75
 #: Fragments of the gram order in which overlaps are counted.
 FRAGMENTS = 8
+#: Of these, the ones counted first for all pairs, and those in which grams of a single class are looked for first.
+FIRST_FRAGMENTS, FIRST_ALONE = 2, 3
 #: Grams counted together within a task, and the counts that make a gram frequent:
 #: LEAST_FREQUENT at least, and enough that MOST_FREQUENT grams reach it at most.
 CHUNK, LEAST_FREQUENT, MOST_FREQUENT = 4_000_000, 32, 1 << 20
@@ -283,13 +286,16 @@ def _size_bit(n: Column) -> Column:
 def _fits_some(sizes: str) -> Column:
     """Whether a posting's ``at`` leaves room for a partner of some size among ``sizes``.
 
-    A partner has m >= 0.75 n grams, and n - at >= 3 (n + m) / 7 bounds m from above.
     """
+    least, most = _partner_sizes()
+    above, below = _shifted(2, _size_bit(F.greatest(most, F.lit(1)))) - 1, _shifted(1, _size_bit(least)) - 1
+    return (least <= most) & (F.col(sizes).bitwiseAND(above) > F.col(sizes).bitwiseAND(below))
+
+
+def _partner_sizes() -> tuple[Column, Column]:
+    """The least and the most grams of a posting's partner: m >= 0.75 n, and n - at >= 3 (n + m) / 7 bounds m from above."""
     n = F.col("n")
-    most = F.floor((100 + PERCENT) * (n - F.col("at")) / F.lit(PERCENT)) - n
-    low, high = _size_bit(F.ceil(PERCENT * n / F.lit(100))), _size_bit(F.greatest(most, F.lit(1)))
-    above, below = _shifted(2, high) - 1, _shifted(1, low) - 1
-    return (100 * most >= PERCENT * n) & (F.col(sizes).bitwiseAND(above) > F.col(sizes).bitwiseAND(below))
+    return F.ceil(PERCENT * n / F.lit(100)), F.floor((100 + PERCENT) * (n - F.col("at")) / F.lit(PERCENT)) - n
 
 
 def _reach(n: Column) -> Column:
@@ -361,10 +367,13 @@ def _mixed_grams(tagged: DataFrame) -> DataFrame:
 def _met(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
     """Postings ``x`` and ``y`` of one gram whose sets may be linked by their sizes, and by ``condition``.
 
-    Joined on gram and band of sizes: a set meets its own band and the two beside it.
+    Joined on gram and band of sizes: a set meets the bands of the sizes that its
+    place in the gram's order leaves room for, three at most. ``condition`` has to
+    imply :func:`_may_link`.
     """
-    bands = F.array(*(_band(F.col("n")) + k for k in (-1, 0, 1)))
-    x, y = left.withColumn("band", _band(F.col("n"))), right.withColumn("band", F.explode(bands))
+    low, high = _partner_sizes()
+    x = left.withColumn("band", _band(F.col("n")))
+    y = right.where(low <= high).withColumn("band", F.explode(F.sequence(_band(low), _band(high))))
     same = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band"))
     return x.alias("x").join(y.alias("y"), same & condition, how)
 
@@ -376,15 +385,15 @@ def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
     of these has are missing from every overlap still to be looked at, wherever
     in the set they stand.
     """
-    grams = cut.select("set", F.explode("grams").alias("gram")).groupBy("gram")
-    alone = grams.agg(F.count("*").alias("many"), F.min("set").alias("set")).where("many = 1")
-    alone = stored(alone.groupBy("set").agg(F.count("*").cast("int").alias("alone")), "alone")
-    counted = open_.join(counted_small(alone), "set", "left")
-    # Missing for certain, as those before the gram are.
-    counted = counted.withColumn("at", F.greatest("at", F.coalesce("alone", F.lit(0)))).drop("alone")
-    # With the smallest partner allowed a quarter may be missing.
-    counted = counted.where(100 * F.col("at") <= (100 - PERCENT) * F.col("n")).drop("main")
+    some = stored(_alone(cut.where(F.col("fragment") < FIRST_ALONE)), "alone")
+    # Of these fragments alone; what is still in question is looked for in the others.
+    left = stored(_without_alone(open_, some).select("set").distinct(), "left")
+    rest = cut.where(F.col("fragment") >= FIRST_ALONE).join(counted_small(left), "set", "left_semi")
+    both = some.join(counted_small(left), "set", "left_semi").unionByName(_alone(rest))
+    alone = stored(both.groupBy("set").agg(F.sum("alone").cast("int").alias("alone")), "alone")
+    counted = _without_alone(open_.join(counted_small(left), "set", "left_semi"), alone).drop("main")
     counted = stored(_mixed_grams(counted), "open")
+    release(some, left)
     # Each pair once a gram: the main component's classes only stand on the right.
     apart = (F.col("x.label") != F.col("y.label")) & (
         (F.col("y.label") == F.col("y.main")) | (F.col("x.set") < F.col("y.set"))
@@ -394,6 +403,21 @@ def _remaining_pairs(open_: DataFrame, cut: DataFrame) -> DataFrame:
     return pairs
 
 
+def _alone(cut: DataFrame) -> DataFrame:
+    """Per class the number of its grams in ``cut`` that no other class has there."""
+    grams = cut.select("set", F.explode("grams").alias("gram")).groupBy("gram")
+    single = grams.agg(F.count("*").alias("many"), F.min("set").alias("set")).where("many = 1")
+    return single.groupBy("set").agg(F.count("*").cast("int").alias("alone"))
+
+
+def _without_alone(open_: DataFrame, alone: DataFrame) -> DataFrame:
+    """Postings whose set can still be linked, with the grams it has alone missing for certain, as those before the gram are."""
+    counted = open_.join(counted_small(alone), "set", "left")
+    counted = counted.withColumn("at", F.greatest("at", F.coalesce("alone", F.lit(0)))).drop("alone")
+    # With the smallest partner allowed a quarter may be missing.
+    return counted.where(100 * F.col("at") <= (100 - PERCENT) * F.col("n"))
+
+
 def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """(set, fragment, grams) of the classes ``wanted``, each from one of its documents."""
     spark = docs.sparkSession
@@ -436,23 +460,49 @@ def _fragments_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> Dat
                 )
 
     cutting = docs.select(text_or_empty().alias("text")).mapInArrow(cut, "set long, fragment byte, grams array<long>")
-    if not few:
+    if few:
+        cut = stored(cutting, "fragments")
+        # A class is cut in several tasks only by repeated ids or rows without one; else no set has to move.
+        if not cut.groupBy("set", "fragment").count().where("count > 1").isEmpty():
+            repeated, cut = cut, stored(cut.dropDuplicates(["set", "fragment"]), "fragments")
+            release(repeated)
+    else:
         cutting = cutting.join(needed.select("set"), "set", "left_semi")
-    cut = stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
+        cut = stored(cutting.dropDuplicates(["set", "fragment"]), "fragments")
     release(needed)
     return cut
 
 
 def _links(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     """The pairs whose overlap, summed over the fragments ``cut``, is large enough: (a, b)."""
+    first = _overlaps(pairs, cut.where(F.col("fragment") < FIRST_FRAGMENTS))
+    # What one of a pair has alone in these fragments is missing from the whole overlap.
+    most = F.least(F.col("n_a") - F.col("only_a"), F.col("n_b") - F.col("only_b"))
+    left = stored(first.where(most >= _least_overlap(F.col("n_a"), F.col("n_b"))).drop("only_a", "only_b"), "left")
+    rest = _overlaps(left.drop("overlap"), cut.where(F.col("fragment") >= FIRST_FRAGMENTS)).drop("only_a", "only_b")
+    counted = left.unionByName(rest).groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
+    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
+    links = stored(counted.where(100 * F.col("overlap") >= PERCENT * union).select("a", "b"), "links")
+    release(left)
+    return links
+
+
+def _overlaps(pairs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The pairs with their overlap in the fragments ``cut``, and the grams that only one of them has in fragments of both."""
     left = cut.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = cut.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    # One array of each pair has to move to the other; the pairs go to the first where they are few.
-    met = counted_small(pairs).join(left, "a").join(right, ["b", "fragment"])
+    # One array of each pair has to move to the other; the pairs go to both where they are few.
+    known = pairs
+    if pairs.count() <= BROADCAST_KEYS:
+        known = F.broadcast(pairs)
+        right = right.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
+    met = known.join(left, "a").join(right, ["b", "fragment"])
     part = F.size(F.array_intersect("grams_a", "grams_b"))
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum(part).alias("overlap"))
-    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-    return stored(counted.where(100 * F.col("overlap") >= PERCENT * union).select("a", "b"), "links")
+    only = [(F.size(f"grams_{c}") - part).alias(f"only_{c}") for c in ("a", "b")]
+    # Pairs without a fragment in common have no overlap there.
+    none = pairs.select("a", "b", "n_a", "n_b", *(F.lit(0).alias(c) for c in ("overlap", "only_a", "only_b")))
+    counted = none.unionByName(met.select("a", "b", "n_a", "n_b", part.alias("overlap"), *only)).groupBy("a", "b", "n_a", "n_b")
+    return counted.agg(*(F.sum(c).alias(c) for c in ("overlap", "only_a", "only_b")))
 
 
 def components(edges: DataFrame) -> DataFrame:
