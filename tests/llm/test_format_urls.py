@@ -57,6 +57,27 @@ def test_examples_are_prefixes_with_one_target(spark):
     assert [r.whole for r in found] == [False, False, True]
 
 
+def test_the_digest_is_read_from_the_examples(spark, monkeypatch):
+    df = spark.createDataFrame(conversations(), TURNS).cache()
+    spelled = {(r.conv_id, r.example): r for r in chat_format.expand(df).collect()}
+    made = sorted(chat_format.examples(df).collect(), key=lambda r: (str(r.conv_id), r.example))
+    assert set(spelled) == {(r.conv_id, r.example) for r in made} and len(made) == len(spelled)
+    before = {}
+    for r in made:  # a text is the text of the example before, and what is added
+        whole = spelled[r.conv_id, r.example]
+        before[r.conv_id] = before.get(r.conv_id, "") + r.added
+        assert whole.text == before[r.conv_id] and r.n_chars == len(whole.text) and r.start == len(whole.text) - len(r.added)
+        assert (r.n_turns, r.loss_start, r.loss_end, r.whole) == (whole.n_turns, whole.loss_start, whole.loss_end, whole.whole)
+    chars = {r.conv_id: r.formatted_chars for r in chat_format.digest(df).collect()}
+    assert chars == {c: sum(r.n_chars for r in made if r.conv_id == c) for c in chars}
+    real = chat_format.examples
+    monkeypatch.setattr(chat_format, "examples", lambda rows: real(rows).where("example <> 1 or conv_id <> 78"))
+    less = {r.conv_id: r for r in chat_format.digest(df).collect()}
+    gone = next(r for r in made if (r.conv_id, r.example) == (78, 1))
+    assert (less[78].n_turns, less[78].loss_chars) == (298, 149 * len("long " * 50))
+    assert less[78].formatted_chars == chars[78] - gone.n_chars
+
+
 def test_a_long_conversation_takes_linear_time(spark):
     texts = [f"turn {k} <s> of many words é" for k in range(60_000)]
     rows = [(1, k, "assistant" if k % 2 else "user", text, "", "") for k, text in enumerate(texts)]
