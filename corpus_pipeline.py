@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
-the columns of ``documents``.
+the columns of ``documents``. Texts reach Python in batches of at most
+``BATCH_BYTES`` (a longer text alone in one), since each task holds a batch and
+what is made of it several times over, in the JVM and in its worker.
 
 Filters judge rows, by id and text: a null id is no exemption, and of rows that
 share an id each is judged by its own text. Defined cases: a null text is empty,
@@ -15,6 +17,9 @@ all stages; further columns are kept up to the last stage, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,28 +27,51 @@ from wickline.llm import decontaminate, exact_dedup, jaccard_join, packing, toxi
 from wickline.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Of texts on their way to Python.
+BATCH_BYTES = 4 * 1024 * 1024
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """``stage`` with the session's limit of a batch set to ``BATCH_BYTES``.
+
+    The limit stays set, as what the stage returns runs only when it is written.
+    """
+
+    @wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return limited
 
 
+@in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
     return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@in_small_batches
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest id stays."""
     return exact_dedup.keep(docs)
 
 
+@in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the smallest id stays."""
     return jaccard_join.keep(docs)
 
 
+@in_small_batches
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left and their places in the training sequences."""
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))

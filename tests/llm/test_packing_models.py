@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import AccumulatorParam
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -314,3 +315,46 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert {r.text for r in docs.where("doc_id is null or doc_id = 5000").collect()} == {"no id at all", "clean text of this id"}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {p.doc_id for p in packed} == kept["decontaminate"]
+
+
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, one, other):
+        return max(one, other)
+
+
+def test_stages_take_texts_in_batches_of_bounded_size(spark, tmp_path, monkeypatch):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(limit)
+    rng = random.Random(14)
+    rows, labels = labelled(rng, 400)
+    rows += [(9000 + k, prose(rng, 1500)) for k in range(2000)]
+    docs_frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").selectExpr("doc_id", "1 as quality", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(rng, 30, 400))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kind, longest = type(docs), max(len(t or "") for _, t in rows)
+    assert sum(len(t or "") for _, t in rows) > 2 * corpus_pipeline.BATCH_BYTES
+    plain = kind.mapInArrow
+    try:
+        for name, stage in (s for s in corpus_pipeline.STAGES if s[0] in ("toxicity", "jaccard_join", "packing")):
+            largest = spark.sparkContext.accumulator(0, Largest())
+
+            def noted(self, function, schema, *args, largest=largest, **kwargs):
+                def seen(batches):
+                    for batch in batches:
+                        if "text" in batch.schema.names:
+                            largest.add(batch.nbytes)
+                        yield batch
+
+                return plain(self, lambda batches: function(seen(batches)), schema, *args, **kwargs)
+
+            spark.conf.set(limit, "67108864")
+            monkeypatch.setattr(kind, "mapInArrow", noted)
+            stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+            monkeypatch.undo()
+            assert 0 < largest.value <= corpus_pipeline.BATCH_BYTES + 2 * longest, name
+    finally:
+        spark.conf.set(limit, given)
