@@ -156,6 +156,23 @@ def test_decontamination_is_brute_force(spark, block):
     assert any(20 <= i < 28 for _, i in want)
 
 
+def test_a_long_item_is_broadcast_once_not_at_each_seed(spark):
+    words = [f"w{k}" for k in range(6000)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[::-1]))], "item_id long, text string")
+    rows = [(1, " ".join(["x", *words, "y"])), (2, " ".join(words[:3000])), (3, " ".join(words[:2000] + ["z"] + words[2000:5000]))]
+    found = decontaminate.matches(docs_frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.matched, r.first_token) for r in found} == {(1, 1, 6000, 1), (3, 1, 5000, 0)}
+
+
+def test_blocks_hold_few_tokens_and_find_the_same(spark):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 30, 400)) for k in range(6)]
+    rows = [(k, f"as {items[k % 6][1]} is said") for k in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = (sorted(decontaminate.matches(docs_frame(spark, rows), benchmark, block_tokens=n).collect()) for n in (10**6, 50))
+    assert whole == parts and {(r.doc_id, r.item_id) for r in parts} == {(k, k % 6) for k in range(12)}
+
+
 def test_rows_are_cleaned_by_what_they_hold_not_by_id(spark):
     item = prose(random.Random(3), 20)
     rows = [(None, f"a {item} b"), (None, "clean"), (None, None), (5, item), (5, "clean too"), (6, "as clean"), (6, "as clean")]

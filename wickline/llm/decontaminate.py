@@ -7,9 +7,12 @@ names a diagonal, along which all tokens of the item are compared with the
 document where it stands; the tokens found on any diagonal of an item are counted
 once, so that an inserted or lost word does not hide the rest of a passage.
 
-The benchmark is taken in blocks of ``BLOCK_ITEMS`` items whose seeds are
-broadcast; a block is small whatever the size of the benchmark, and the
-documents' text never crosses the network.
+The benchmark is taken in blocks of about ``BLOCK_ITEMS`` items and
+``BLOCK_TOKENS`` tokens, one after the other, each with one pass over the
+documents. What is broadcast of a block is three numbers a seed, and the hashes
+of each item once, so that a block is small whatever the size of the benchmark
+and however long its items (an item is in one block); the documents' text never
+crosses the network.
 
 Items shorter than the longest mask are looked for with the masks that fit them,
 and all of their tokens must be found on one document; items shorter than every
@@ -39,6 +42,8 @@ MASKS = ("11111", "1101011", "111001001", "100101101")
 COVERAGE = 0.6
 #: Items whose seeds are broadcast together.
 BLOCK_ITEMS = 2000
+#: Their tokens, with a seed of each mask: about 25 MB with their hash table.
+BLOCK_TOKENS = 80_000
 
 
 def _tokens(text: Column) -> Column:
@@ -67,10 +72,10 @@ def _seeds(tokens: Column, at: Column, masks: Sequence[str]) -> Column:
 
 
 def _windows(df: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """One row per window and mask: all columns, ``at`` and ``seed``."""
+    """One row per window and mask: all columns, ``at``, ``mask`` and ``seed``."""
     last = F.greatest(F.size("h") - min(map(len, masks)), F.lit(0))
     starts = df.select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    return starts.select("*", F.explode(_seeds(F.col("h"), F.col("at"), masks)).alias("seed")).where(
+    return starts.select("*", F.posexplode(_seeds(F.col("h"), F.col("at"), masks)).alias("mask", "seed")).where(
         "seed is not null"
     )
 
@@ -81,6 +86,7 @@ def matches(
     masks: Sequence[str] = MASKS,
     coverage: float = COVERAGE,
     block_items: int = BLOCK_ITEMS,
+    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, matched, item_tokens, coverage, first_token."""
     items = stored(
@@ -89,15 +95,34 @@ def matches(
         ),
         "items",
     )
-    bounds = items.groupBy().agg(F.count("*").alias("n")).first()
-    numbers = _block_bounds(items, bounds["n"], block_items)
+    size = items.groupBy().agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("h")), F.lit(0)).alias("tokens")).first()
+    blocks = max(1, -(-size["n"] // block_items), -(-size["tokens"] // block_tokens))
     # Rows are told apart within a block, which reads the documents once.
     hashed = _hashed(docs, "doc_id", F.monotonically_increasing_id().alias("row"))
-    found = [
-        _block(hashed, items.where(F.col("number").between(low, high)), masks) for low, high in numbers
-    ]
-    aligned = reduce(DataFrame.unionByName, found)
-    tokens = aligned.select(
+    if blocks == 1:
+        evidence = _evidence(hashed, items, masks, coverage)
+    else:  # stored, so that one block is broadcast at a time
+        dealt = F.pmod(F.xxhash64("number"), F.lit(blocks))
+        evidence = reduce(
+            DataFrame.unionByName,
+            [stored(_evidence(hashed, items.where(dealt == k), masks, coverage), "evidence") for k in range(blocks)],
+        )
+    best = evidence.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct((F.col("matched") / F.col("item_tokens")).alias("coverage"), "matched", "item_tokens", (-F.col("first_token")).alias("before"))).alias("best")
+    )
+    return best.select(
+        "doc_id",
+        "item_id",
+        "best.matched",
+        F.col("best.item_tokens").cast("long").alias("item_tokens"),
+        "best.coverage",
+        (-F.col("best.before")).cast("long").alias("first_token"),
+    )
+
+
+def _evidence(hashed: DataFrame, items: DataFrame, masks: Sequence[str], coverage: float) -> DataFrame:
+    """Documents' rows that hold an item: doc_id, row, item_id, number, item_tokens, matched, first_token."""
+    tokens = _diagonals(hashed, items, masks).select(
         "doc_id",
         "row",
         "item_id",
@@ -112,38 +137,30 @@ def matches(
     item = ["doc_id", "row", "item_id", "number", "item_tokens"]
     once = tokens.groupBy(*item, "token").agg(F.min(F.col("start") + F.col("token")).alias("place"))
     counted = once.groupBy(*item).agg(F.count("*").alias("matched"), F.min("place").alias("first_token"))
-    share = F.col("matched") / F.col("item_tokens")
     short = F.col("item_tokens") < max(map(len, masks))
-    evidence = counted.where(F.when(short, F.col("matched") == F.col("item_tokens")).otherwise(share >= coverage))
-    best = evidence.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct(share.alias("coverage"), "matched", "item_tokens", (-F.col("first_token")).alias("before"))).alias("best")
-    )
-    return best.select(
-        "doc_id",
-        "item_id",
-        "best.matched",
-        F.col("best.item_tokens").cast("long").alias("item_tokens"),
-        "best.coverage",
-        (-F.col("best.before")).cast("long").alias("first_token"),
-    )
-
-
-def _block_bounds(items: DataFrame, count: int, block_items: int) -> list[tuple[int, int]]:
-    """Ranges of ``number`` with about ``block_items`` items each; one range where all fit."""
-    blocks = max(1, -(-count // block_items))
-    if blocks == 1:
-        return [(0, (1 << 62))]
-    cuts = items.stat.approxQuantile("number", [k / blocks for k in range(1, blocks)], 0.1 / blocks)
-    edges = [0, *sorted({int(c) + 1 for c in cuts}), 1 << 62]
-    return [(low, high - 1) for low, high in zip(edges, edges[1:], strict=False)]
-
-
-def _block(hashed: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """Diagonals of a block: doc_id, row, h, start, and the item's number and hashes."""
-    seeds = _windows(items, masks)
-    seeds = seeds.select("seed", "item_id", "number", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
-    hits = _windows(hashed, masks).join(F.broadcast(seeds), "seed")
-    return hits.select(
+    share = F.col("matched") / F.col("item_tokens")
+    return counted.where(F.when(short, F.col("matched") == F.col("item_tokens")).otherwise(share >= coverage))
+
+
+def _diagonals(hashed: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
+    """Diagonals on which a document's row meets an item: doc_id, row, h, start, and the item's id, number and hashes.
+
+    A hit whose neighbour before it on the diagonal is a hit of the same mask is
+    left to that one, so a passage names its diagonal a few times, not at every token.
+    """
+    seeds = _windows(items, masks).select("seed", "number", F.col("at").alias("item_at"))
+    texts = items.select("number", "item_id", F.col("h").alias("item_h"))
+    hits = _windows(hashed, masks).join(F.broadcast(seeds), "seed").join(F.broadcast(texts), "number")
+    # Places before the first token are null.
+    same = [
+        reduce(
+            Column.__and__,
+            (F.get("h", F.col("at") + (i - 1)) == F.get("item_h", F.col("item_at") + (i - 1)) for i, bit in enumerate(mask) if bit == "1"),
+        )
+        for mask in masks
+    ]
+    follows = F.coalesce(F.get(F.array(*same, F.lit(False)), F.col("mask")), F.lit(False))
+    return hits.where(~follows).select(
         "doc_id",
         "row",
         "h",
