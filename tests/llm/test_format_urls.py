@@ -78,6 +78,21 @@ def test_the_digest_is_read_from_the_examples(spark, monkeypatch):
     assert less[78].formatted_chars == chars[78] - gone.n_chars
 
 
+def test_every_text_is_spelled_out_and_read(spark, monkeypatch):
+    df = spark.createDataFrame(conversations(), TURNS).cache()
+    assert sorted(map(str, chat_format.digest_texts(df).collect())) == sorted(map(str, chat_format.digest(df).collect()))
+    found = {r.conv_id: r for r in queries.op2_chat_format(spark, SF).collect()}
+    real, told = chat_format.expand, {}
+    for r in real(spark.read.parquet(f"{SF}/conversations.parquet")).collect():
+        told.setdefault(r.conv_id, []).append(r)
+    assert all(found[c].formatted_chars == sum(len(r.text) for r in rows) for c, rows in told.items())
+    longer = "text", chat_format.F.concat("text", chat_format.F.lit("x"))
+    monkeypatch.setattr(chat_format, "expand", lambda rows: real(rows).withColumn(*longer))
+    for r in queries.op2_chat_format(spark, SF).collect():
+        assert r.formatted_chars == found[r.conv_id].formatted_chars + len(told.get(r.conv_id, [0]))
+        assert (r.n_turns, r.loss_sha256) == (found[r.conv_id].n_turns, found[r.conv_id].loss_sha256)
+
+
 def test_a_long_conversation_takes_linear_time(spark):
     texts = [f"turn {k} <s> of many words é" for k in range(60_000)]
     rows = [(1, k, "assistant" if k % 2 else "user", text, "", "") for k, text in enumerate(texts)]
