@@ -173,6 +173,14 @@ def test_blocks_hold_few_tokens_and_find_the_same(spark):
     assert whole == parts and {(r.doc_id, r.item_id) for r in parts} == {(k, k % 6) for k in range(12)}
 
 
+def test_the_pipelines_stage_takes_a_long_item(spark, tmp_path):
+    words = [f"w{k}" for k in range(6000)]
+    spark.createDataFrame([(1, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_frame(spark, [(1, " ".join(["x", *words])), (2, " ".join(words[:3000])), (3, None)])
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {2, 3}
+
+
 def test_rows_are_cleaned_by_what_they_hold_not_by_id(spark):
     item = prose(random.Random(3), 20)
     rows = [(None, f"a {item} b"), (None, "clean"), (None, None), (5, item), (5, "clean too"), (6, "as clean"), (6, "as clean")]
